@@ -112,7 +112,7 @@ def revenue_by(
     and map task, and a key that holds much of the fact joins as a single row.
     """
     per_key = fact.groupBy(key).agg(
-        F.count(order_id).alias("orders"), F.sum(amount).alias("revenue"), F.count(amount).alias("paid")
+        F.count(order_id).alias("orders"), F.sum(amount).alias("revenue"), F.count(amount).alias("priced")
     )
     result = (
         per_key.join(dim.select(key, col), key)
@@ -120,7 +120,7 @@ def revenue_by(
         .agg(
             F.sum("orders").alias("num_orders"),
             F.round(F.sum("revenue"), digits).alias("total_revenue"),
-            mean_of(F.sum("revenue"), F.sum("paid"), digits).alias("avg_order_value"),
+            mean_of(F.sum("revenue"), F.sum("priced"), digits).alias("avg_order_value"),
         )
         .orderBy(F.desc("total_revenue"), col)
     )

@@ -50,13 +50,13 @@ def classification_features(
     )
 
 
-def customer_features(tx: DataFrame, customers: DataFrame) -> DataFrame:
+def customer_features(tx: DataFrame, customers: DataFrame, paid: str = "Success") -> DataFrame:
     """Buying behaviour of each customer with a successful transaction.
 
     Transactions are aggregated first; the join then sees one row per customer.
     """
     behaviour = (
-        tx.where(F.col("payment_status") == "Success")
+        tx.where(F.col("payment_status") == paid)
         .groupBy("customer_id")
         .agg(
             F.sum("total_amount").alias("total_spend"),

@@ -21,8 +21,12 @@ LOWEST_SEGMENT = "Occasional"
 FUNNEL = ("view_product", "add_to_cart", "checkout")
 
 
-def succeeded() -> Column:
-    return F.col("payment_status") == "Success"
+# Fixed value: the payment status of a transaction that counts as revenue.
+PAID = "Success"
+
+
+def succeeded(status: str = PAID) -> Column:
+    return F.col("payment_status") == status
 
 
 def revenue_ranked(tx: DataFrame, digits: int = 2) -> DataFrame:
@@ -53,6 +57,7 @@ def customer_ltv(
     top: int = 15,
     attrs: Sequence[str] = ("first_name", "last_name", "home_country", "device_type"),
     digits: int = 2,
+    paid: str = PAID,
 ) -> DataFrame:
     """The ``top`` customers by lifetime value, ranked densely.
 
@@ -61,12 +66,12 @@ def customer_ltv(
     needs no shuffle and keeps duplicate customer rows counted as a join would.
     """
     per_customer = (
-        tx.where(succeeded())
+        tx.where(succeeded(paid))
         .groupBy("customer_id")
         .agg(
             F.count_distinct("booking_id").alias("orders"),
             F.sum("total_amount").alias("spent"),
-            F.count("total_amount").alias("paid"),
+            F.count("total_amount").alias("priced"),
             F.min("created_at").alias("first"),
             F.max("created_at").alias("last"),
             F.sum("promo_amount").alias("promo"),
@@ -78,7 +83,7 @@ def customer_ltv(
         .agg(
             F.max("orders").alias("total_orders"),
             F.round(F.sum("spent"), digits).alias("lifetime_value"),
-            mean_of(F.sum("spent"), F.sum("paid"), digits).alias("avg_order_value"),
+            mean_of(F.sum("spent"), F.sum("priced"), digits).alias("avg_order_value"),
             F.min("first").alias("first_order"),
             F.max("last").alias("last_order"),
             F.round(F.sum("promo"), digits).alias("total_promo_used"),
@@ -90,7 +95,7 @@ def customer_ltv(
     return leaders.withColumn("ltv_rank", rank).orderBy("ltv_rank", "customer_id")
 
 
-def promo_effectiveness(tx: DataFrame, digits: int = 2) -> DataFrame:
+def promo_effectiveness(tx: DataFrame, digits: int = 2, paid: str = PAID) -> DataFrame:
     """Volume, order value, discount and success rate per promotion code."""
     return (
         tx.groupBy(blank_as("promo_code", "No Promo").alias("promo_code"))
@@ -99,16 +104,16 @@ def promo_effectiveness(tx: DataFrame, digits: int = 2) -> DataFrame:
             F.round(F.avg("total_amount"), digits).alias("avg_order_value"),
             F.round(F.sum("total_amount"), digits).alias("total_revenue"),
             F.round(F.avg("promo_amount"), digits).alias("avg_discount"),
-            percent(count_where(succeeded()), F.count("*")).alias("success_rate_pct"),
+            percent(count_where(succeeded(paid)), F.count("*")).alias("success_rate_pct"),
         )
         .orderBy(F.desc("num_transactions"), "promo_code")
     )
 
 
-def monthly_revenue(tx: DataFrame, digits: int = 2) -> DataFrame:
+def monthly_revenue(tx: DataFrame, digits: int = 2, paid: str = PAID) -> DataFrame:
     """Successful transactions and rounded revenue per month, the month as its first day."""
     return (
-        tx.where(succeeded() & F.col("created_at").isNotNull())
+        tx.where(succeeded(paid) & F.col("created_at").isNotNull())
         .groupBy(F.trunc("created_at", "MM").alias("month_start"))
         .agg(
             F.count("*").alias("num_transactions"),
@@ -117,7 +122,7 @@ def monthly_revenue(tx: DataFrame, digits: int = 2) -> DataFrame:
     )
 
 
-def monthly_trend(tx: DataFrame, digits: int = 2) -> DataFrame:
+def monthly_trend(tx: DataFrame, digits: int = 2, paid: str = PAID) -> DataFrame:
     """Monthly revenue with running total and growth over the month before.
 
     The windows are unpartitioned, but one row per calendar month is all they get.
@@ -126,7 +131,7 @@ def monthly_trend(tx: DataFrame, digits: int = 2) -> DataFrame:
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     revenue, before = F.col("monthly_revenue"), F.col("previous")
     return (
-        monthly_revenue(tx, digits)
+        monthly_revenue(tx, digits, paid)
         .withColumn("previous", F.lag("monthly_revenue").over(in_order))
         .select(
             F.date_format("month_start", "yyyy-MM").alias("month"),
@@ -139,11 +144,11 @@ def monthly_trend(tx: DataFrame, digits: int = 2) -> DataFrame:
     )
 
 
-def rolling_revenue(tx: DataFrame, months: int = 3, digits: int = 2) -> DataFrame:
+def rolling_revenue(tx: DataFrame, months: int = 3, digits: int = 2, paid: str = PAID) -> DataFrame:
     """Monthly revenue with the mean of the last ``months`` months on record."""
     recent = Window.orderBy("month_start").rowsBetween(1 - months, Window.currentRow)
     return (
-        monthly_revenue(tx, digits)
+        monthly_revenue(tx, digits, paid)
         .select(
             F.date_format("month_start", "yyyy-MM").alias("month"),
             "monthly_revenue",
@@ -178,10 +183,11 @@ def segment_revenue(
     thresholds: Sequence[tuple[float, str]] = SEGMENTS,
     lowest: str = LOWEST_SEGMENT,
     digits: int = 2,
+    paid: str = PAID,
 ) -> DataFrame:
     """Customers and revenue per country and order-count segment."""
     spending = (
-        tx.where(succeeded())
+        tx.where(succeeded(paid))
         .groupBy("customer_id")
         .agg(F.count("booking_id").alias("orders"), F.sum("total_amount").alias("spent"))
     )
@@ -233,9 +239,11 @@ def revenue_by_status(tx: DataFrame, digits: int = 2) -> DataFrame:
     )
 
 
-def key_findings(tx: DataFrame, other_tables: Mapping[str, DataFrame], digits: int = 2) -> DataFrame:
+def key_findings(
+    tx: DataFrame, other_tables: Mapping[str, DataFrame], digits: int = 2, paid: str = PAID
+) -> DataFrame:
     """Revenue, mean order, success rate and table sizes as one row."""
-    success: Column = percent(count_where(succeeded()), F.count("*"))
+    success: Column = percent(count_where(succeeded(paid)), F.count("*"))
     facts = tx.agg(
         F.round(F.sum("total_amount"), digits).alias("total_revenue"),
         F.round(F.avg("total_amount"), digits).alias("avg_order_value"),

@@ -5,29 +5,34 @@ Only this package knows the given tables; operators take the logical columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.functions.columns import bucket, label_map
+from shoplens.functions.columns import bucket
 from shoplens.sources.catalog import load_table
 
-# Order status -> payment status, funnel events, traffic sources by props.k.
-STATUS = {"F": "Success", "O": "Failed", "P": "Pending"}
+# Which statuses stand for paid and failed (P is neither), funnel events, traffic
+# sources by props.k. The statuses keep their given letters, so filters on them reach the scan.
+PAID, FAILED = "F", "O"
 STAGES = ("view", "click", "purchase")
 TRAFFIC = ((67, "tablet"), (34, "web"))
 PERSON = ("username", "home_country", "device_type")
 
 
+def _session(who: str, when: str) -> Column:
+    """One session per person and day."""
+    return F.concat(F.col(who).cast("string"), F.lit("-"), F.to_date(when).cast("string")).alias("session_id")
+
+
 def orders(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions without their promotion and fee, which need the order lines."""
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return load_table(spark, "orders", sf).select(
         F.col("o_orderkey").alias("booking_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("created_at"),
-        F.concat_ws("-", F.col("o_custkey").cast("string"), day).alias("session_id"),
+        _session("o_custkey", "o_orderdate"),
         F.col("o_orderpriority").alias("payment_method"),
-        label_map("o_orderstatus", STATUS).alias("payment_status"),
+        F.col("o_orderstatus").alias("payment_status"),
         F.col("o_totalprice").alias("total_amount"),
     )
 
@@ -52,7 +57,7 @@ def line_transactions(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_discount") != 0, code).alias("promo_code"),
         (F.col("l_extendedprice") * F.col("l_discount")).alias("promo_amount"),
         F.col("l_extendedprice").alias("total_amount"),
-        F.when(F.col("l_linestatus") == "F", "Success").otherwise("Failed").alias("payment_status"),
+        F.col("l_linestatus").alias("payment_status"),
     )
 
 
@@ -97,10 +102,9 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def as_clickstream(events: DataFrame) -> DataFrame:
     """Events, batch or streaming, under the clickstream's column names."""
-    day = F.date_format("ts", "yyyy-MM-dd")
     k = F.from_json("props", "k INT")["k"]
     return events.select(
-        F.concat_ws("-", F.col("user_id").cast("string"), day).alias("session_id"),
+        _session("user_id", "ts"),
         F.col("event_type").alias("event_name"),
         F.col("ts").alias("event_time"),
         "event_id",
@@ -118,9 +122,7 @@ def clickstream(spark: SparkSession, sf: str) -> DataFrame:
 SQL_ORDERS = """orders_v AS (
     SELECT o_orderkey AS booking_id, o_custkey AS customer_id, o_orderdate AS created_at,
            o_custkey || '-' || strftime(o_orderdate, '%Y-%m-%d') AS session_id,
-           o_orderpriority AS payment_method, o_totalprice AS total_amount,
-           CASE o_orderstatus WHEN 'F' THEN 'Success' WHEN 'O' THEN 'Failed' WHEN 'P' THEN 'Pending' END
-               AS payment_status
+           o_orderpriority AS payment_method, o_totalprice AS total_amount, o_orderstatus AS payment_status
     FROM orders)"""
 
 SQL_TRANSACTIONS = f"""{SQL_ORDERS},
@@ -134,7 +136,7 @@ tx AS (
 SQL_LINES = """lines_v AS (
     SELECT CASE WHEN l_discount <> 0 THEN 'DISC' || CAST(round(l_discount * 100) AS INTEGER) END AS promo_code,
            l_extendedprice * l_discount AS promo_amount, l_extendedprice AS total_amount,
-           CASE WHEN l_linestatus = 'F' THEN 'Success' ELSE 'Failed' END AS payment_status
+           l_linestatus AS payment_status
     FROM lineitem)"""
 
 SQL_CUSTOMERS = """customers_v AS (

@@ -118,25 +118,25 @@ def _revenue_sql(col: str) -> str:
     return f"""WITH {b.SQL_ORDERS}, {b.SQL_CUSTOMERS}
 SELECT {col}, count(booking_id) AS num_orders, round(sum(total_amount), 2) AS total_revenue,
        round(avg(total_amount), 2) AS avg_order_value
-FROM orders_v JOIN customers_v USING (customer_id) WHERE payment_status = 'Success' GROUP BY 1"""
+FROM orders_v JOIN customers_v USING (customer_id) WHERE payment_status = 'F' GROUP BY 1"""
 
 
 @query(_revenue_sql("home_country"))
 def revenue_by_country(spark: SparkSession, sf: str) -> DataFrame:
-    return d.revenue_by(b.orders(spark, sf).where(succeeded()), b.customers(spark, sf), "customer_id", "home_country")
+    return d.revenue_by(b.orders(spark, sf).where(succeeded(b.PAID)), b.customers(spark, sf), "customer_id", "home_country")
 
 
 @query(_revenue_sql("device_type"))
 def revenue_by_device(spark: SparkSession, sf: str) -> DataFrame:
-    return d.revenue_by(b.orders(spark, sf).where(succeeded()), b.customers(spark, sf), "customer_id", "device_type")
+    return d.revenue_by(b.orders(spark, sf).where(succeeded(b.PAID)), b.customers(spark, sf), "customer_id", "device_type")
 
 
 @query(f"""WITH {b.SQL_ORDERS}
-SELECT payment_method, count(*) AS total, count(*) FILTER (WHERE payment_status = 'Success') AS success_count,
-       round(count(*) FILTER (WHERE payment_status = 'Success') * 100.0::DOUBLE / count(*), 1) AS success_rate
+SELECT payment_method, count(*) AS total, count(*) FILTER (WHERE payment_status = 'F') AS success_count,
+       round(count(*) FILTER (WHERE payment_status = 'F') * 100.0::DOUBLE / count(*), 1) AS success_rate
 FROM orders_v GROUP BY 1""")
 def success_rate_by_method(spark: SparkSession, sf: str) -> DataFrame:
-    return d.rate_by(b.orders(spark, sf), "payment_method", succeeded())
+    return d.rate_by(b.orders(spark, sf), "payment_method", succeeded(b.PAID))
 
 
 @query(f"""WITH {b.SQL_CLICKS}
@@ -169,13 +169,13 @@ def order_value_histogram(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {b.SQL_ORDERS},
 found AS (
     SELECT payment_status, count(*) AS class_count FROM orders_v
-    WHERE payment_status IN ('Success', 'Failed') GROUP BY 1)
+    WHERE payment_status IN ('F', 'O') GROUP BY 1)
 SELECT payment_status, class_count,
        round((SELECT sum(class_count) FROM found)
              / ((SELECT count(*) FROM found) * class_count::DOUBLE), 6) AS class_weight
 FROM found""", name="class_weights")
 def balanced_weights(spark: SparkSession, sf: str) -> DataFrame:
-    weights = class_weights(b.orders(spark, sf), "payment_status")
+    weights = class_weights(b.orders(spark, sf), "payment_status", (b.PAID, b.FAILED))
     return weights.withColumn("class_weight", F.round("class_weight", 6))
 
 

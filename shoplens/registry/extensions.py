@@ -28,7 +28,7 @@ SELECT month, monthly_revenue,
        round(avg(monthly_revenue) OVER (ORDER BY month ROWS 2 PRECEDING), 2) AS rolling_avg_revenue
 FROM months""")
 def rolling_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.rolling_revenue(b.orders(spark, sf))
+    return reports.rolling_revenue(b.orders(spark, sf), paid=b.PAID)
 
 
 @query(f"""WITH {b.SQL_ORDERS}

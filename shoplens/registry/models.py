@@ -24,13 +24,15 @@ def forget_fits() -> None:
 
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
-    return f.classification_features(b.transactions(spark, sf), b.customers(spark, sf), keep=["booking_id"])
+    return f.classification_features(
+        b.transactions(spark, sf), b.customers(spark, sf), (b.PAID, b.FAILED), keep=["booking_id"]
+    )
 
 
 def _classifiers(spark: SparkSession, sf: str) -> tuple[c.Classifiers, DataFrame]:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _fitted:
-        train, test = c.prepare(_features(spark, sf), "booking_id")
+        train, test = c.prepare(_features(spark, sf), "booking_id", b.FAILED, (b.PAID, b.FAILED))
         fitted = c.fit_classifiers(train)
         _fitted[key] = fitted, c.score(fitted, test)
     return _fitted[key]
@@ -39,7 +41,7 @@ def _classifiers(spark: SparkSession, sf: str) -> tuple[c.Classifiers, DataFrame
 def _sweep(spark: SparkSession, sf: str) -> s.Sweep:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _swept:
-        _swept[key] = s.kmeans_sweep(f.customer_features(b.transactions(spark, sf), b.customers(spark, sf)))
+        _swept[key] = s.kmeans_sweep(f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID))
     return _swept[key]
 
 
@@ -47,7 +49,7 @@ def _sweep(spark: SparkSession, sf: str) -> s.Sweep:
 SELECT booking_id, total_amount, round(shipment_fee, 6) AS shipment_fee, round(promo_amount, 6) AS promo_amount,
        CASE WHEN promo_amount > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS has_promo,
        payment_method, device_type, gender, payment_status
-FROM tx JOIN customers_v USING (customer_id) WHERE payment_status IN ('Success', 'Failed')""")
+FROM tx JOIN customers_v USING (customer_id) WHERE payment_status IN ('F', 'O')""")
 def classification_features(spark: SparkSession, sf: str) -> DataFrame:
     features = _features(spark, sf)
     return features.withColumns({col: F.round(col, 6) for col in ("shipment_fee", "promo_amount")})
@@ -58,13 +60,13 @@ spending AS (
     SELECT customer_id, sum(total_amount) AS spend, count(*) AS num_transactions, avg(total_amount) AS mean,
            count(DISTINCT session_id) AS num_sessions, sum(promo_amount) AS promo,
            count(DISTINCT payment_method) AS payment_methods_used
-    FROM tx WHERE payment_status = 'Success' GROUP BY 1)
+    FROM tx WHERE payment_status = 'F' GROUP BY 1)
 SELECT customer_id, round(spend, 6) AS total_spend, num_transactions, round(mean, 6) AS avg_order_value, num_sessions,
        round(promo, 6) AS total_promo_used, payment_methods_used,
        round(CASE WHEN spend > 0 THEN promo / spend ELSE 0.0::DOUBLE END, 6) AS promo_usage_rate, device_type, gender
 FROM spending JOIN customers_v USING (customer_id)""")
 def customer_features(spark: SparkSession, sf: str) -> DataFrame:
-    features = f.customer_features(b.transactions(spark, sf), b.customers(spark, sf))
+    features = f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID)
     doubles = present(features, ["total_spend", "avg_order_value", "total_promo_used", "promo_usage_rate"])
     return features.withColumns({col: F.round(col, 6) for col in doubles})
 

@@ -29,27 +29,27 @@ spending AS (
            round(avg(total_amount), 6) AS avg_order_value, min(created_at) AS first_order,
            max(created_at) AS last_order, round(sum(promo_amount), 6) AS total_promo_used
     FROM tx JOIN customers_v USING (customer_id)
-    WHERE payment_status = 'Success' GROUP BY ALL)
+    WHERE payment_status = 'F' GROUP BY ALL)
 SELECT *, dense_rank() OVER (ORDER BY lifetime_value DESC) AS ltv_rank
 FROM spending ORDER BY lifetime_value DESC, customer_id LIMIT 15""")
 def customer_ltv(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.customer_ltv(b.transactions(spark, sf), b.customers(spark, sf), attrs=b.PERSON, digits=6)
+    return reports.customer_ltv(b.transactions(spark, sf), b.customers(spark, sf), attrs=b.PERSON, digits=6, paid=b.PAID)
 
 
 @query(f"""WITH {b.SQL_LINES}
 SELECT CASE WHEN coalesce(promo_code, '') = '' THEN 'No Promo' ELSE promo_code END AS promo_code,
        count(*) AS num_transactions, round(avg(total_amount), 2) AS avg_order_value,
        round(sum(total_amount), 2) AS total_revenue, round(avg(promo_amount), 2) AS avg_discount,
-       round(count(*) FILTER (WHERE payment_status = 'Success') * 100.0::DOUBLE / count(*), 1) AS success_rate_pct
+       round(count(*) FILTER (WHERE payment_status = 'F') * 100.0::DOUBLE / count(*), 1) AS success_rate_pct
 FROM lines_v GROUP BY 1""")
 def promo_effectiveness(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.promo_effectiveness(b.line_transactions(spark, sf))
+    return reports.promo_effectiveness(b.line_transactions(spark, sf), paid=b.PAID)
 
 
 _SQL_MONTHS = """months AS (
     SELECT strftime(created_at, '%Y-%m') AS month, count(*) AS num_transactions,
            round(sum(total_amount), 2) AS monthly_revenue
-    FROM orders_v WHERE payment_status = 'Success' AND created_at IS NOT NULL GROUP BY 1)"""
+    FROM orders_v WHERE payment_status = 'F' AND created_at IS NOT NULL GROUP BY 1)"""
 
 
 @query(f"""WITH {b.SQL_ORDERS}, {_SQL_MONTHS},
@@ -59,7 +59,7 @@ SELECT month, num_transactions, monthly_revenue,
        round((monthly_revenue - before) * 100.0::DOUBLE / nullif(before, 0), 1) AS mom_growth_pct
 FROM linked""")
 def monthly_revenue_trend(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.monthly_trend(b.orders(spark, sf))
+    return reports.monthly_trend(b.orders(spark, sf), paid=b.PAID)
 
 
 @query(f"""WITH {b.SQL_CLICKS},
@@ -82,17 +82,17 @@ def clickstream_funnel(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {b.SQL_ORDERS}, {b.SQL_CUSTOMERS},
 spending AS (
     SELECT home_country, customer_id, count(booking_id) AS n, sum(total_amount) AS spent
-    FROM customers_v JOIN orders_v USING (customer_id) WHERE payment_status = 'Success' GROUP BY ALL)
+    FROM customers_v JOIN orders_v USING (customer_id) WHERE payment_status = 'F' GROUP BY ALL)
 SELECT home_country, CASE WHEN n >= 5 THEN 'VIP' WHEN n >= 3 THEN 'Regular' ELSE 'Occasional' END AS customer_segment,
        count(*) AS num_customers, round(sum(spent), 6) AS segment_revenue, round(avg(spent), 6) AS avg_customer_value
 FROM spending GROUP BY 1, 2""")
 def revenue_by_country_segment(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.segment_revenue(b.orders(spark, sf), b.customers(spark, sf), digits=6)
+    return reports.segment_revenue(b.orders(spark, sf), b.customers(spark, sf), digits=6, paid=b.PAID)
 
 
 @query(f"""WITH {b.SQL_ORDERS}
 SELECT round(sum(total_amount), 2) AS total_revenue, round(avg(total_amount), 2) AS avg_order_value,
-       round(count(*) FILTER (WHERE payment_status = 'Success') * 100.0::DOUBLE / count(*), 1) AS success_pct,
+       round(count(*) FILTER (WHERE payment_status = 'F') * 100.0::DOUBLE / count(*), 1) AS success_pct,
        count(*) AS transactions_rows, (SELECT count(*) FROM customer) AS customers_rows,
        (SELECT count(*) FROM part) AS products_rows, (SELECT count(*) FROM events) AS clickstream_rows
 FROM orders_v""")
@@ -102,4 +102,4 @@ def key_findings(spark: SparkSession, sf: str) -> DataFrame:
         "products": b.load_table(spark, "part", sf),
         "clickstream": b.load_table(spark, "events", sf),
     }
-    return reports.key_findings(b.orders(spark, sf), others)
+    return reports.key_findings(b.orders(spark, sf), others, paid=b.PAID)
