@@ -85,15 +85,12 @@ def fit_classifiers(train: DataFrame, weighted: Sequence[str] = WEIGHTED) -> Cla
     try:
         for name, (kind, settings) in MODELS.items():
             slug = _slug(name)
-            outputs = {
-                "predictionCol": f"prediction_{slug}",
-                "rawPredictionCol": f"raw_{slug}",
-                "probabilityCol": f"probability_{slug}",
-            }
-            if name in weighted:
-                outputs["weightCol"] = "class_weight"
+            weight = {"weightCol": "class_weight"} if name in weighted else {}
             try:
-                model = kind(featuresCol="features", labelCol="label", **settings, **outputs)
+                model = kind(featuresCol="features", labelCol="label", **settings, **weight)
+                model.setPredictionCol(f"prediction_{slug}")
+                model.setRawPredictionCol(f"raw_{slug}")
+                model.setProbabilityCol(f"probability_{slug}")
                 fitted.models[name] = model.fit(ready)
             except Exception as error:  # whatever stops one model must not cost the others
                 fitted.errors[name] = str(error)
