@@ -24,14 +24,23 @@ def safe_ratio(num: Column | str, den: Column | str, default: float = 0.0) -> Co
     return F.when(den > 0, as_col(num) / den).otherwise(F.lit(default))
 
 
+def near(value: Column | str, digits: int = 2) -> Column:
+    """Round half up, after settling on six digits more.
+
+    The last bits of a sum of doubles depend on the order of the rows; settled, they no longer
+    decide which way a half goes, and the result does not change with the partitioning.
+    """
+    return F.round(F.round(value, digits + 6), digits)
+
+
 def percent(num: Column, den: Column, digits: int = 1) -> Column:
     """100 * num / den, rounded; NULL where den is zero. Doubles throughout, no decimals."""
-    return F.round(num.cast("double") * 100.0 / F.nullif(den.cast("double"), F.lit(0.0)), digits)
+    return near(num.cast("double") * 100.0 / F.nullif(den.cast("double"), F.lit(0.0)), digits)
 
 
 def mean_of(total: Column, n: Column, digits: int = 2) -> Column:
     """Mean rebuilt from a sum and a count of partial aggregates."""
-    return F.round(total / F.nullif(n.cast("double"), F.lit(0.0)), digits)
+    return near(total / F.nullif(n.cast("double"), F.lit(0.0)), digits)
 
 
 def count_where(condition: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from shoplens.functions.columns import near
 from shoplens.operators.features import CUSTOMER_FEATURES
 from shoplens.scratch import materialize
 
@@ -86,11 +87,11 @@ def cluster_profile(assigned: DataFrame) -> DataFrame:
         assigned.groupBy("cluster")
         .agg(
             F.count("*").alias("num_customers"),
-            F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
-            F.round(F.avg("num_transactions"), 2).alias("avg_transactions"),
-            F.round(F.avg("avg_order_value"), 2).alias("avg_order_value"),
-            F.round(F.avg("num_sessions"), 2).alias("avg_sessions"),
-            F.round(F.avg("promo_usage_rate"), 4).alias("avg_promo_rate"),
+            near(F.avg("total_spend"), 2).alias("avg_total_spend"),
+            near(F.avg("num_transactions"), 2).alias("avg_transactions"),
+            near(F.avg("avg_order_value"), 2).alias("avg_order_value"),
+            near(F.avg("num_sessions"), 2).alias("avg_sessions"),
+            near(F.avg("promo_usage_rate"), 4).alias("avg_promo_rate"),
         )
         .orderBy("cluster")
     )

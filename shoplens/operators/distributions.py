@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.columns import as_col, count_where, mean_of, percent
+from shoplens.functions.columns import as_col, count_where, mean_of, near, percent
 
 # Weekday numbers as Spark counts them.
 DAY_NAMES = {1: "Sun", 2: "Mon", 3: "Tue", 4: "Wed", 5: "Thu", 6: "Fri", 7: "Sat"}
@@ -87,12 +87,12 @@ def summary(
     return df.agg(
         F.count("*").alias("total_transactions"),
         F.count_distinct(customer).alias("unique_customers"),
-        F.round(F.avg(amount), digits).alias("avg_order_value"),
-        F.round(F.min(amount), digits).alias("min_order_value"),
-        F.round(F.max(amount), digits).alias("max_order_value"),
-        F.round(F.sum(amount), digits).alias("total_revenue"),
-        F.round(F.avg(fee), digits).alias("avg_shipment_fee"),
-        F.round(F.avg(promo), digits).alias("avg_promo_amount"),
+        near(F.avg(amount), digits).alias("avg_order_value"),
+        near(F.min(amount), digits).alias("min_order_value"),
+        near(F.max(amount), digits).alias("max_order_value"),
+        near(F.sum(amount), digits).alias("total_revenue"),
+        near(F.avg(fee), digits).alias("avg_shipment_fee"),
+        near(F.avg(promo), digits).alias("avg_promo_amount"),
     )
 
 
@@ -119,7 +119,7 @@ def revenue_by(
         .groupBy(col)
         .agg(
             F.sum("orders").alias("num_orders"),
-            F.round(F.sum("revenue"), digits).alias("total_revenue"),
+            near(F.sum("revenue"), digits).alias("total_revenue"),
             mean_of(F.sum("revenue"), F.sum("priced"), digits).alias("avg_order_value"),
         )
         .orderBy(F.desc("total_revenue"), col)
@@ -140,7 +140,7 @@ def histogram(df: DataFrame, col: str | Column, bins: int = 40, digits: int = 2)
         F.struct(
             (F.min("x") - half).alias("lo"),
             (F.max("x") + half).alias("hi"),
-            F.round(F.avg("x"), digits).alias("mean_value"),
+            near(F.avg("x"), digits).alias("mean_value"),
         ).alias("limits")
     ).scalar()
 
@@ -170,8 +170,8 @@ def histogram(df: DataFrame, col: str | Column, bins: int = 40, digits: int = 2)
         .select("bin", "n", "limits.*")
         .select(
             "bin",
-            F.round(edge(F.col("bin")), digits).alias("lower"),
-            F.round(edge(F.col("bin") + 1), digits).alias("upper"),
+            near(edge(F.col("bin")), digits).alias("lower"),
+            near(edge(F.col("bin") + 1), digits).alias("upper"),
             F.coalesce("n", F.lit(0)).alias("count"),
             "mean_value",
         )

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from shoplens.functions.columns import near
+
 
 def quoted(name: str) -> Column:
     """Column by its literal name, dots and all."""
@@ -58,7 +60,7 @@ def numeric_summary(
 
     def shown(value: Column) -> Column:
         value = value.cast("double")
-        return value if digits is None else F.round(value, digits)
+        return value if digits is None else near(value, digits)
 
     per_column = F.array(
         *[

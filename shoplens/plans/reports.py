@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.functions.columns import blank_as, bucket, count_where, mean_of, percent
+from shoplens.functions.columns import blank_as, bucket, count_where, mean_of, near, percent
 
 # Successful orders a customer needs for each segment.
 SEGMENTS = ((5, "VIP"), (3, "Regular"))
@@ -37,13 +37,13 @@ def revenue_ranked(tx: DataFrame, digits: int = 2) -> DataFrame:
         .agg(
             F.count("*").alias("num_transactions"),
             F.sum("total_amount").alias("revenue"),
-            F.round(F.avg("total_amount"), digits).alias("avg_order_value"),
+            near(F.avg("total_amount"), digits).alias("avg_order_value"),
         )
         .select(
             "payment_method",
             "payment_status",
             "num_transactions",
-            F.round("revenue", digits).alias("total_revenue"),
+            near("revenue", digits).alias("total_revenue"),
             "avg_order_value",
             F.dense_rank().over(by_revenue).cast("bigint").alias("revenue_rank"),
         )
@@ -82,11 +82,11 @@ def customer_ltv(
         .groupBy("customer_id", *attrs)
         .agg(
             F.max("orders").alias("total_orders"),
-            F.round(F.sum("spent"), digits).alias("lifetime_value"),
+            near(F.sum("spent"), digits).alias("lifetime_value"),
             mean_of(F.sum("spent"), F.sum("priced"), digits).alias("avg_order_value"),
             F.min("first").alias("first_order"),
             F.max("last").alias("last_order"),
-            F.round(F.sum("promo"), digits).alias("total_promo_used"),
+            near(F.sum("promo"), digits).alias("total_promo_used"),
         )
         .orderBy(F.desc("lifetime_value"), "customer_id", *attrs)
         .limit(top)
@@ -101,9 +101,9 @@ def promo_effectiveness(tx: DataFrame, digits: int = 2, paid: str = PAID) -> Dat
         tx.groupBy(blank_as("promo_code", "No Promo").alias("promo_code"))
         .agg(
             F.count("*").alias("num_transactions"),
-            F.round(F.avg("total_amount"), digits).alias("avg_order_value"),
-            F.round(F.sum("total_amount"), digits).alias("total_revenue"),
-            F.round(F.avg("promo_amount"), digits).alias("avg_discount"),
+            near(F.avg("total_amount"), digits).alias("avg_order_value"),
+            near(F.sum("total_amount"), digits).alias("total_revenue"),
+            near(F.avg("promo_amount"), digits).alias("avg_discount"),
             percent(count_where(succeeded(paid)), F.count("*")).alias("success_rate_pct"),
         )
         .orderBy(F.desc("num_transactions"), "promo_code")
@@ -117,7 +117,7 @@ def monthly_revenue(tx: DataFrame, digits: int = 2, paid: str = PAID) -> DataFra
         .groupBy(F.trunc("created_at", "MM").alias("month_start"))
         .agg(
             F.count("*").alias("num_transactions"),
-            F.round(F.sum("total_amount"), digits).alias("monthly_revenue"),
+            near(F.sum("total_amount"), digits).alias("monthly_revenue"),
         )
     )
 
@@ -137,7 +137,7 @@ def monthly_trend(tx: DataFrame, digits: int = 2, paid: str = PAID) -> DataFrame
             F.date_format("month_start", "yyyy-MM").alias("month"),
             "num_transactions",
             "monthly_revenue",
-            F.round(F.sum("monthly_revenue").over(so_far), digits).alias("cumulative_revenue"),
+            near(F.sum("monthly_revenue").over(so_far), digits).alias("cumulative_revenue"),
             percent(revenue - before, before).alias("mom_growth_pct"),
         )
         .orderBy("month")
@@ -152,7 +152,7 @@ def rolling_revenue(tx: DataFrame, months: int = 3, digits: int = 2, paid: str =
         .select(
             F.date_format("month_start", "yyyy-MM").alias("month"),
             "monthly_revenue",
-            F.round(F.avg("monthly_revenue").over(recent), digits).alias("rolling_avg_revenue"),
+            near(F.avg("monthly_revenue").over(recent), digits).alias("rolling_avg_revenue"),
         )
         .orderBy("month")
     )
@@ -173,7 +173,7 @@ def funnel(events: DataFrame, stages: Sequence[str] = FUNNEL) -> DataFrame:
         percent(views, F.count("*")).alias("view_rate"),
         percent(carts, views).alias("view_to_cart_rate"),
         percent(checkouts, carts).alias("cart_to_checkout_rate"),
-        F.round(F.avg("events"), 1).alias("avg_events_per_session"),
+        near(F.avg("events"), 1).alias("avg_events_per_session"),
     )
 
 
@@ -200,8 +200,8 @@ def segment_revenue(
         per_customer.groupBy("home_country", bucket("orders", thresholds, lowest).alias("customer_segment"))
         .agg(
             F.count("*").alias("num_customers"),
-            F.round(F.sum("spent"), digits).alias("segment_revenue"),
-            F.round(F.avg("spent"), digits).alias("avg_customer_value"),
+            near(F.sum("spent"), digits).alias("segment_revenue"),
+            near(F.avg("spent"), digits).alias("avg_customer_value"),
         )
         .orderBy("home_country", F.desc("segment_revenue"), "customer_segment")
     )
@@ -221,7 +221,7 @@ def line_revenue(lines: DataFrame, products: DataFrame, attr: str, digits: int =
         .agg(
             F.sum("lines").alias("num_lines"),
             F.sum("units").alias("units_sold"),
-            F.round(F.sum("revenue"), digits).alias("total_revenue"),
+            near(F.sum("revenue"), digits).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), attr)
     )
@@ -233,7 +233,7 @@ def revenue_by_status(tx: DataFrame, digits: int = 2) -> DataFrame:
         tx.groupBy("payment_status")
         .agg(
             F.count("*").alias("transaction_count"),
-            F.round(F.sum("total_amount"), digits).alias("total_revenue"),
+            near(F.sum("total_amount"), digits).alias("total_revenue"),
         )
         .orderBy("payment_status")
     )
@@ -245,8 +245,8 @@ def key_findings(
     """Revenue, mean order, success rate and table sizes as one row."""
     success: Column = percent(count_where(succeeded(paid)), F.count("*"))
     facts = tx.agg(
-        F.round(F.sum("total_amount"), digits).alias("total_revenue"),
-        F.round(F.avg("total_amount"), digits).alias("avg_order_value"),
+        near(F.sum("total_amount"), digits).alias("total_revenue"),
+        near(F.avg("total_amount"), digits).alias("avg_order_value"),
         success.alias("success_pct"),
         F.count("*").alias("transactions_rows"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.functions.columns import label_map
+from shoplens.functions.columns import label_map, near
 from shoplens.operators import distributions as d
 from shoplens.operators import profile
 from shoplens.operators.features import class_weights
@@ -47,17 +47,18 @@ def distinct_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH joined AS (SELECT min(o_orderdate) AS first_day FROM orders GROUP BY o_custkey)
-SELECT strftime(first_day, '%Y-%m') AS join_month, count(*) AS new_customers FROM joined GROUP BY 1""")
+SELECT strftime(first_day, '%Y-%m') AS join_month, count(*) AS new_customers FROM joined
+WHERE first_day IS NOT NULL GROUP BY 1""")
 def monthly_new_customers(spark: SparkSession, sf: str) -> DataFrame:
     joined = b.orders(spark, sf).groupBy("customer_id").agg(F.min("created_at").alias("first_join_date"))
     return d.by_period(joined, "first_join_date", "month", [F.count("*").alias("new_customers")], "join_month")
 
 
 @query(f"""WITH {b.SQL_ORDERS}
-SELECT strftime(created_at, '%Y-%m') AS month, count(*) AS num_transactions, round(sum(total_amount), 2) AS revenue
+SELECT strftime(created_at, '%Y-%m') AS month, count(*) AS num_transactions, {b.near("sum(total_amount)")} AS revenue
 FROM orders_v WHERE created_at IS NOT NULL GROUP BY 1""")
 def monthly_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    measures = [F.count("*").alias("num_transactions"), F.round(F.sum("total_amount"), 2).alias("revenue")]
+    measures = [F.count("*").alias("num_transactions"), near(F.sum("total_amount"), 2).alias("revenue")]
     return d.by_period(b.orders(spark, sf), "created_at", "month", measures, "month")
 
 
@@ -90,9 +91,9 @@ def events_by_hour(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {b.SQL_TRANSACTIONS}
 SELECT count(*) AS total_transactions, count(DISTINCT customer_id) AS unique_customers,
-       round(avg(total_amount), 2) AS avg_order_value, round(min(total_amount), 2) AS min_order_value,
-       round(max(total_amount), 2) AS max_order_value, round(sum(total_amount), 2) AS total_revenue,
-       round(avg(shipment_fee), 2) AS avg_shipment_fee, round(avg(promo_amount), 2) AS avg_promo_amount
+       {b.near("avg(total_amount)")} AS avg_order_value, {b.near("min(total_amount)")} AS min_order_value,
+       {b.near("max(total_amount)")} AS max_order_value, {b.near("sum(total_amount)")} AS total_revenue,
+       {b.near("avg(shipment_fee)")} AS avg_shipment_fee, {b.near("avg(promo_amount)")} AS avg_promo_amount
 FROM tx""")
 def transaction_summary(spark: SparkSession, sf: str) -> DataFrame:
     return d.summary(b.transactions(spark, sf))
@@ -100,7 +101,7 @@ def transaction_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {b.SQL_ORDERS}
 SELECT payment_status, count(*) AS "count",
-       round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM orders_v), 1) AS pct
+       {b.near("count(*) * 100.0::DOUBLE / (SELECT count(*) FROM orders_v)", 1)} AS pct
 FROM orders_v GROUP BY 1""")
 def status_share(spark: SparkSession, sf: str) -> DataFrame:
     return d.share(b.orders(spark, sf), "payment_status")
@@ -108,7 +109,7 @@ def status_share(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {b.SQL_CLICKS}
 SELECT count(DISTINCT session_id) AS unique_sessions,
-       round(count(*) * 1.0::DOUBLE / count(DISTINCT session_id), 1) AS avg_events_per_session
+       {b.near("count(*) * 1.0::DOUBLE / count(DISTINCT session_id)", 1)} AS avg_events_per_session
 FROM clicks""")
 def session_stats(spark: SparkSession, sf: str) -> DataFrame:
     return d.session_stats(b.clickstream(spark, sf), "session_id")
@@ -116,8 +117,8 @@ def session_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def _revenue_sql(col: str) -> str:
     return f"""WITH {b.SQL_ORDERS}, {b.SQL_CUSTOMERS}
-SELECT {col}, count(booking_id) AS num_orders, round(sum(total_amount), 2) AS total_revenue,
-       round(avg(total_amount), 2) AS avg_order_value
+SELECT {col}, count(booking_id) AS num_orders, {b.near("sum(total_amount)")} AS total_revenue,
+       {b.near("avg(total_amount)")} AS avg_order_value
 FROM orders_v JOIN customers_v USING (customer_id) WHERE payment_status = 'F' GROUP BY 1"""
 
 
@@ -133,7 +134,7 @@ def revenue_by_device(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {b.SQL_ORDERS}
 SELECT payment_method, count(*) AS total, count(*) FILTER (WHERE payment_status = 'F') AS success_count,
-       round(count(*) FILTER (WHERE payment_status = 'F') * 100.0::DOUBLE / count(*), 1) AS success_rate
+       {b.near("count(*) FILTER (WHERE payment_status = 'F') * 100.0::DOUBLE / count(*)", 1)} AS success_rate
 FROM orders_v GROUP BY 1""")
 def success_rate_by_method(spark: SparkSession, sf: str) -> DataFrame:
     return d.rate_by(b.orders(spark, sf), "payment_method", succeeded(b.PAID))
@@ -154,13 +155,13 @@ span AS (
 guessed AS (
     SELECT total_amount AS x, lo, width,
            least(floor((total_amount - lo) / (hi - lo) * 40.0::DOUBLE), 39)::BIGINT AS g
-    FROM orders_v, span),
+    FROM orders_v, span WHERE total_amount IS NOT NULL),
 placed AS (
     SELECT CASE WHEN x < lo + g * width THEN g - 1 WHEN g < 39 AND x >= lo + (g + 1) * width THEN g + 1 ELSE g END AS bin
     FROM guessed),
 filled AS (SELECT bin, count(*) AS n FROM placed GROUP BY 1)
-SELECT i AS bin, round(lo + i * width, 2) AS lower, round(lo + (i + 1) * width, 2) AS upper,
-       coalesce(n, 0) AS "count", round(mean, 2) AS mean_value
+SELECT i AS bin, {b.near("lo + i * width")} AS lower, {b.near("lo + (i + 1) * width")} AS upper,
+       coalesce(n, 0) AS "count", {b.near("mean")} AS mean_value
 FROM range(40) r(i) CROSS JOIN span LEFT JOIN filled ON bin = i""")
 def order_value_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return d.histogram(b.orders(spark, sf), "total_amount", bins=40)
@@ -171,12 +172,11 @@ found AS (
     SELECT payment_status, count(*) AS class_count FROM orders_v
     WHERE payment_status IN ('F', 'O') GROUP BY 1)
 SELECT payment_status, class_count,
-       round((SELECT sum(class_count) FROM found)
-             / ((SELECT count(*) FROM found) * class_count::DOUBLE), 6) AS class_weight
+       {b.near("(SELECT sum(class_count) FROM found) / ((SELECT count(*) FROM found) * class_count::DOUBLE)", 6)} AS class_weight
 FROM found""", name="class_weights")
 def balanced_weights(spark: SparkSession, sf: str) -> DataFrame:
     weights = class_weights(b.orders(spark, sf), "payment_status", (b.PAID, b.FAILED))
-    return weights.withColumn("class_weight", F.round("class_weight", 6))
+    return weights.withColumn("class_weight", near("class_weight", 6))
 
 
 _PROFILED = ("customer", "part", "orders", "events")
@@ -216,8 +216,8 @@ _SUMMARISED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 @query(" UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, count({c}) AS non_null, round(avg({c}), 4) AS mean,
-        round(stddev_samp({c}), 4) AS stddev, round(min({c}), 4) AS min, round(max({c}), 4) AS max FROM lineitem"""
+    f"""SELECT '{c}' AS column_name, count({c}) AS non_null, {b.near(f"avg({c})", 4)} AS mean,
+        {b.near(f"stddev_samp({c})", 4)} AS stddev, {b.near(f"min({c})", 4)} AS min, {b.near(f"max({c})", 4)} AS max FROM lineitem"""
     for c in _SUMMARISED))
 def numeric_summary(spark: SparkSession, sf: str) -> DataFrame:
     return profile.numeric_summary(load_table(spark, "lineitem", sf), _SUMMARISED, digits=4)

@@ -9,7 +9,6 @@ from shoplens.operators.distributions import value_counts
 from shoplens.plans import reports
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
-from shoplens.registry.reports import _SQL_MONTHS
 from shoplens.registry.streams import _batch, _live, _plain_times
 from shoplens.streaming import runner
 from shoplens.streaming import windows as w
@@ -17,22 +16,22 @@ from shoplens.streaming import windows as w
 
 @query(f"""WITH {b.SQL_PRODUCTS}
 SELECT "masterCategory", count(*) AS num_lines, sum(l_quantity::INTEGER)::BIGINT AS units_sold,
-       round(sum(l_quantity::INTEGER * l_extendedprice), 2) AS total_revenue
+       {b.near("sum(l_quantity::INTEGER * l_extendedprice)")} AS total_revenue
 FROM lineitem JOIN products_v ON l_partkey = product_id GROUP BY 1""")
 def revenue_by_category(spark: SparkSession, sf: str) -> DataFrame:
     return reports.line_revenue(b.order_lines(spark, sf), b.products(spark, sf), "masterCategory")
 
 
-@query(f"""WITH {b.SQL_ORDERS}, {_SQL_MONTHS}
+@query(f"""WITH {b.SQL_ORDERS}, {b.SQL_MONTHS}
 SELECT month, monthly_revenue,
-       round(avg(monthly_revenue) OVER (ORDER BY month ROWS 2 PRECEDING), 2) AS rolling_avg_revenue
+       {b.near("avg(monthly_revenue) OVER (ORDER BY month ROWS 2 PRECEDING)")} AS rolling_avg_revenue
 FROM months""")
 def rolling_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return reports.rolling_revenue(b.orders(spark, sf), paid=b.PAID)
 
 
 @query(f"""WITH {b.SQL_ORDERS}
-SELECT payment_status, count(*) AS transaction_count, round(sum(total_amount), 2) AS total_revenue
+SELECT payment_status, count(*) AS transaction_count, {b.near("sum(total_amount)")} AS total_revenue
 FROM orders_v GROUP BY 1""")
 def revenue_by_status(spark: SparkSession, sf: str) -> DataFrame:
     return reports.revenue_by_status(b.orders(spark, sf))
@@ -48,7 +47,7 @@ shifted AS (
     SELECT event_name, time_bucket(INTERVAL 1 MINUTE, event_time) - (INTERVAL 1 MINUTE * i) AS window_start
     FROM clicks, range(5) r(i))
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_name, count(*) AS event_count
-FROM shifted GROUP BY 1, 2, 3""")
+FROM shifted WHERE window_start IS NOT NULL GROUP BY 1, 2, 3""")
 def sliding_events(spark: SparkSession, sf: str) -> DataFrame:
     counts = w.window_counts(_batch(spark, sf), "event_name", slide="1 minute")
     return _plain_times(counts).drop("unique_sessions")
@@ -66,7 +65,7 @@ def visitors_per_minute(spark: SparkSession, sf: str) -> DataFrame:
 cut AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start FROM clicks)
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, traffic_source,
        count(DISTINCT session_id) AS sessions
-FROM cut GROUP BY 1, 2, 3
+FROM cut WHERE event_time IS NOT NULL GROUP BY 1, 2, 3
 HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def stream_exact_sessions(spark: SparkSession, sf: str) -> DataFrame:
     """Exact distinct sessions of the windows that the watermark has closed."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.functions.columns import near
 from shoplens.ml import classification as c
 from shoplens.ml import segmentation as s
 from shoplens.operators import features as f
@@ -46,13 +47,14 @@ def _sweep(spark: SparkSession, sf: str) -> s.Sweep:
 
 
 @query(f"""WITH {b.SQL_TRANSACTIONS}, {b.SQL_CUSTOMERS}
-SELECT booking_id, total_amount, round(shipment_fee, 6) AS shipment_fee, round(promo_amount, 6) AS promo_amount,
+SELECT booking_id, total_amount, {b.near("shipment_fee", 6)} AS shipment_fee, {b.near("promo_amount", 6)} AS promo_amount,
        CASE WHEN promo_amount > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS has_promo,
        payment_method, device_type, gender, payment_status
-FROM tx JOIN customers_v USING (customer_id) WHERE payment_status IN ('F', 'O')""")
+FROM tx JOIN customers_v USING (customer_id)
+WHERE payment_status IN ('F', 'O') AND total_amount IS NOT NULL AND payment_method IS NOT NULL""")
 def classification_features(spark: SparkSession, sf: str) -> DataFrame:
     features = _features(spark, sf)
-    return features.withColumns({col: F.round(col, 6) for col in ("shipment_fee", "promo_amount")})
+    return features.withColumns({col: near(col, 6) for col in ("shipment_fee", "promo_amount")})
 
 
 @query(f"""WITH {b.SQL_TRANSACTIONS}, {b.SQL_CUSTOMERS},
@@ -61,14 +63,14 @@ spending AS (
            count(DISTINCT session_id) AS num_sessions, sum(promo_amount) AS promo,
            count(DISTINCT payment_method) AS payment_methods_used
     FROM tx WHERE payment_status = 'F' GROUP BY 1)
-SELECT customer_id, round(spend, 6) AS total_spend, num_transactions, round(mean, 6) AS avg_order_value, num_sessions,
-       round(promo, 6) AS total_promo_used, payment_methods_used,
-       round(CASE WHEN spend > 0 THEN promo / spend ELSE 0.0::DOUBLE END, 6) AS promo_usage_rate, device_type, gender
-FROM spending JOIN customers_v USING (customer_id)""")
+SELECT customer_id, {b.near("spend", 6)} AS total_spend, num_transactions, {b.near("mean", 6)} AS avg_order_value, num_sessions,
+       {b.near("promo", 6)} AS total_promo_used, payment_methods_used,
+       {b.near("CASE WHEN spend > 0 THEN promo / spend ELSE 0.0::DOUBLE END", 6)} AS promo_usage_rate, device_type, gender
+FROM spending JOIN customers_v USING (customer_id) WHERE spend IS NOT NULL""")
 def customer_features(spark: SparkSession, sf: str) -> DataFrame:
     features = f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID)
     doubles = present(features, ["total_spend", "avg_order_value", "total_promo_used", "promo_usage_rate"])
-    return features.withColumns({col: F.round(col, 6) for col in doubles})
+    return features.withColumns({col: near(col, 6) for col in doubles})
 
 
 @query()

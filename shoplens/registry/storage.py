@@ -67,8 +67,8 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {b.SQL_ORDERS}
-SELECT payment_method, payment_status, count(*) AS num_transactions, round(sum(total_amount), 2) AS total_revenue,
-       round(avg(total_amount), 2) AS avg_order_value,
+SELECT payment_method, payment_status, count(*) AS num_transactions, {b.near("sum(total_amount)")} AS total_revenue,
+       {b.near("avg(total_amount)")} AS avg_order_value,
        dense_rank() OVER (PARTITION BY payment_status ORDER BY sum(total_amount) DESC) AS revenue_rank
 FROM orders_v GROUP BY 1, 2""")
 def csv_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,8 +111,8 @@ def rename_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""SELECT l_orderkey, l_linenumber,
-       CASE WHEN l_discount = 0 THEN 0.0::DOUBLE ELSE l_discount END AS l_discount,
-       CASE WHEN l_returnflag = 'N' THEN 'none' ELSE l_returnflag END AS l_returnflag
+       coalesce(nullif(l_discount, 0), 0.0::DOUBLE) AS l_discount,
+       coalesce(nullif(l_returnflag, 'N'), 'none') AS l_returnflag
 FROM lineitem""")
 def fill_nulls(spark: SparkSession, sf: str) -> DataFrame:
     sparse = load_table(spark, "lineitem", sf).select(

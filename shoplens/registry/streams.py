@@ -38,7 +38,7 @@ def _windows_sql(key: str, having: str = "") -> str:
     return f"""WITH {b.SQL_CLICKS},
 cut AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start FROM clicks)
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {key}, count(*) AS event_count
-FROM cut GROUP BY 1, 2, 3 {having}"""
+FROM cut WHERE event_time IS NOT NULL GROUP BY 1, 2, 3 {having}"""
 
 
 CLOSED = "HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
