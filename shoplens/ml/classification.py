@@ -52,14 +52,12 @@ def prepare(
 ) -> tuple[DataFrame, DataFrame]:
     """Label, class weight and a repeatable split, from a stored copy of the features.
 
-    The positive class is named, not left to which label is rarer.
+    The positive class is named, not left to which label is rarer. The joins behind the
+    features run once; the class counts then read one column of the stored copy.
     """
-    labelled = with_class_weight(
-        features.withColumn("label", F.when(F.col("payment_status") == positive, 1.0).otherwise(0.0)),
-        "payment_status",
-        classes,
-    )
-    return train_test_split(materialize(labelled, "classification-features"), key, frac)
+    label = F.when(F.col("payment_status") == positive, 1.0).otherwise(0.0)
+    stored = materialize(features.withColumn("label", label), "classification-features")
+    return train_test_split(with_class_weight(stored, "payment_status", classes), key, frac)
 
 
 def feature_steps() -> Pipeline:

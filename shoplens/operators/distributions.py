@@ -165,7 +165,7 @@ def histogram(df: DataFrame, col: str | Column, bins: int = 40, digits: int = 2)
     return (
         df.sparkSession.range(bins)
         .withColumnRenamed("id", "bin")
-        .join(counts, "bin", "left")
+        .join(F.broadcast(counts), "bin", "left")  # at most ``bins`` rows
         .withColumn("limits", limits)
         .select("bin", "n", "limits.*")
         .select(

@@ -100,24 +100,18 @@ def key_quality(df: DataFrame, key: str, refs: Mapping[str, tuple[DataFrame, str
     ``refs`` maps a foreign-key column to (table, key column) it should point into. Keys are
     counted before they are compared, so a key that many rows share costs one row.
     """
+
+    def check(name: str, bad_rows: Column) -> Column:
+        return F.struct(F.lit(name).alias("check_name"), F.coalesce(bad_rows, F.lit(0)).alias("bad_rows"))
+
     per_key = df.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n"))
-    checks = [
-        per_key.agg(
-            F.lit(f"{key} is not null").alias("check_name"),
-            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("bad_rows"),
-        ),
-        per_key.where("k IS NOT NULL").agg(
-            F.lit(f"{key} is unique").alias("check_name"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("bad_rows"),
-        ),
-    ]
+    missing = F.sum(F.when(F.col("k").isNull(), F.col("n")))
+    repeated = F.sum(F.when(F.col("k").isNotNull(), F.col("n") - 1))
+    both = F.array(check(f"{key} is not null", missing), check(f"{key} is unique", repeated))
+    checks = [per_key.agg(both.alias("checks")).select(F.inline("checks"))]
     for column, (table, target) in (refs or {}).items():
         used = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(F.count("*").alias("n"))
         orphans = used.join(table.select(F.col(target).alias("k")), "k", "left_anti")
-        checks.append(
-            orphans.agg(
-                F.lit(f"{column} has a match").alias("check_name"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("bad_rows"),
-            )
-        )
+        unmatched = check(f"{column} has a match", F.sum("n")).alias("c")
+        checks.append(orphans.agg(unmatched).select("c.*"))
     return reduce(DataFrame.unionByName, checks)
