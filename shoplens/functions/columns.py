@@ -27,8 +27,9 @@ def safe_ratio(num: Column | str, den: Column | str, default: float = 0.0) -> Co
 def near(value: Column | str, digits: int = 2) -> Column:
     """Round half up, after settling on six digits more.
 
-    The last bits of a sum of doubles depend on the order of the rows; settled, they no longer
-    decide which way a half goes, and the result does not change with the partitioning.
+    The last bits of a sum of doubles depend on the order in which partitions are added up;
+    settled, they do not decide which way a half goes. (A double has 15 to 16 digits in all:
+    in totals beyond some 10^11 the cents themselves are such last bits.)
     """
     return F.round(F.round(value, digits + 6), digits)
 

@@ -9,7 +9,7 @@ from shoplens.operators.distributions import value_counts
 from shoplens.plans import reports
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
-from shoplens.registry.streams import _batch, _live, _plain_times
+from shoplens.registry.streams import batch_events, live_events, plain_times
 from shoplens.streaming import runner
 from shoplens.streaming import windows as w
 
@@ -49,8 +49,8 @@ shifted AS (
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_name, count(*) AS event_count
 FROM shifted WHERE window_start IS NOT NULL GROUP BY 1, 2, 3""")
 def sliding_events(spark: SparkSession, sf: str) -> DataFrame:
-    counts = w.window_counts(_batch(spark, sf), "event_name", slide="1 minute")
-    return _plain_times(counts).drop("unique_sessions")
+    counts = w.window_counts(batch_events(spark, sf), "event_name", slide="1 minute")
+    return plain_times(counts).drop("unique_sessions")
 
 
 @query("""SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS minute, count(DISTINCT user_id) AS visitors
@@ -69,5 +69,5 @@ FROM cut WHERE event_time IS NOT NULL GROUP BY 1, 2, 3
 HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def stream_exact_sessions(spark: SparkSession, sf: str) -> DataFrame:
     """Exact distinct sessions of the windows that the watermark has closed."""
-    closed, _ = runner.append_stream(w.exact_sessions(_live(spark, sf), "traffic_source"))
-    return _plain_times(closed)
+    closed, _ = runner.append_stream(w.exact_sessions(live_events(spark, sf), "traffic_source"))
+    return plain_times(closed)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import clean
+from shoplens.plans.reports import revenue_ranked
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
 from shoplens.scratch import scratch_path
@@ -22,7 +23,7 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, write_table(df, scratch_path(spark, "csv"), "csv"), df.schema)
 
 
-def _text_clicks(spark: SparkSession, sf: str) -> DataFrame:
+def text_clicks(spark: SparkSession, sf: str) -> DataFrame:
     """The clickstream as its input files hold it: every column text."""
     clicks = b.clickstream(spark, sf)
     return clicks.select(*[F.col(c).cast("string").alias(c) for c in clicks.columns])
@@ -42,13 +43,13 @@ def _typed_clicks(raw: DataFrame) -> DataFrame:
 @query(_SQL_TEXT_CLICKS)
 def csv_json_scan(spark: SparkSession, sf: str) -> DataFrame:
     """JSON inside quoted CSV fields."""
-    path = write_table(_text_clicks(spark, sf), scratch_path(spark, "csv-json"), "csv")
+    path = write_table(text_clicks(spark, sf), scratch_path(spark, "csv-json"), "csv")
     return _typed_clicks(read_csv(spark, path, CLICKSTREAM))
 
 
 @query(_SQL_TEXT_CLICKS)
 def json_scan(spark: SparkSession, sf: str) -> DataFrame:
-    path = write_table(_text_clicks(spark, sf), scratch_path(spark, "json"), "json")
+    path = write_table(text_clicks(spark, sf), scratch_path(spark, "json"), "json")
     return _typed_clicks(read_json(spark, path, STREAM_EVENTS))
 
 
@@ -73,8 +74,6 @@ SELECT payment_method, payment_status, count(*) AS num_transactions, {b.near("su
 FROM orders_v GROUP BY 1, 2""")
 def csv_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A report stored as CSV and read back under its own schema."""
-    from shoplens.plans.reports import revenue_ranked
-
     report = revenue_ranked(b.orders(spark, sf))
     return read_csv(spark, write_table(report, scratch_path(spark, "report"), "csv"), report.schema)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
-from shoplens.registry.storage import _text_clicks
+from shoplens.registry.storage import text_clicks
 from shoplens.scratch import scratch_path
 from shoplens.sources.catalog import load_table
 from shoplens.sources.readers import stream_json, stream_parquet
@@ -19,18 +19,18 @@ from shoplens.streaming import windows as w
 WINDOW = ["window_start", "window_end"]
 
 
-def _live(spark: SparkSession, sf: str) -> DataFrame:
+def live_events(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a stream; without a file limit all of it is one micro-batch, so
     no row can be late and closed windows do not depend on the order of files."""
     raw = stream_parquet(spark, f"{sf.rstrip('/')}/events.parquet", load_table(spark, "events", sf).schema)
     return w.with_event_time(b.as_clickstream(raw), "event_time")
 
 
-def _batch(spark: SparkSession, sf: str) -> DataFrame:
+def batch_events(spark: SparkSession, sf: str) -> DataFrame:
     return w.with_event_time(b.clickstream(spark, sf), "event_time")
 
 
-def _plain_times(df: DataFrame) -> DataFrame:
+def plain_times(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in WINDOW})
 
 
@@ -46,28 +46,28 @@ CLOSED = "HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events
 
 @query(_windows_sql("event_name"))
 def stream_event_counts(spark: SparkSession, sf: str) -> DataFrame:
-    counts = w.window_counts(_live(spark, sf), "event_name", sessions_as="active_sessions")
-    return _plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"])).drop("active_sessions")
+    counts = w.window_counts(live_events(spark, sf), "event_name", sessions_as="active_sessions")
+    return plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"])).drop("active_sessions")
 
 
 @query(_windows_sql("traffic_source"))
 def stream_traffic(spark: SparkSession, sf: str) -> DataFrame:
-    counts = w.window_counts(_live(spark, sf), "traffic_source")
-    return _plain_times(runner.upsert_stream(counts, [*WINDOW, "traffic_source"])).drop("unique_sessions")
+    counts = w.window_counts(live_events(spark, sf), "traffic_source")
+    return plain_times(runner.upsert_stream(counts, [*WINDOW, "traffic_source"])).drop("unique_sessions")
 
 
 @query()
 def stream_active_sessions(spark: SparkSession, sf: str) -> DataFrame:
     """With the approximate session counts, which SQL cannot reproduce."""
-    counts = w.window_counts(_live(spark, sf), "event_name", sessions_as="active_sessions")
-    return _plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"]))
+    counts = w.window_counts(live_events(spark, sf), "event_name", sessions_as="active_sessions")
+    return plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"]))
 
 
 @query(_windows_sql("traffic_source", CLOSED))
 def stream_parquet_append(spark: SparkSession, sf: str) -> DataFrame:
     """Append to Parquet: the windows that the watermark has closed."""
-    closed, _ = runner.append_stream(w.window_counts(_live(spark, sf), "traffic_source"))
-    return _plain_times(closed).drop("unique_sessions")
+    closed, _ = runner.append_stream(w.window_counts(live_events(spark, sf), "traffic_source"))
+    return plain_times(closed).drop("unique_sessions")
 
 
 @query(_windows_sql("event_name"))
@@ -76,23 +76,23 @@ def stream_landing_replay(spark: SparkSession, sf: str) -> DataFrame:
 
     Files of a parallel write come in any order, so the bounded replay keeps all its state.
     """
-    landing = write_event_landing(_text_clicks(spark, sf), scratch_path(spark, "landing"))
+    landing = write_event_landing(text_clicks(spark, sf), scratch_path(spark, "landing"))
     events = w.with_event_time(stream_json(spark, landing, STREAM_EVENTS, max_files=5), "event_time")
     counts = w.window_counts(events, "event_name", watermark=None)
-    return _plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"])).drop("unique_sessions")
+    return plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"])).drop("unique_sessions")
 
 
 @query()
 def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
     """What the append stream read, kept and dropped, per micro-batch."""
-    _, done = runner.append_stream(w.window_counts(_live(spark, sf), "traffic_source"))
+    _, done = runner.append_stream(w.window_counts(live_events(spark, sf), "traffic_source"))
     return runner.stream_progress(spark, done)
 
 
 @query(_windows_sql("traffic_source"))
 def batch_event_windows(spark: SparkSession, sf: str) -> DataFrame:
     """The same aggregate on the table at rest."""
-    return _plain_times(w.window_counts(_batch(spark, sf), "traffic_source")).drop("unique_sessions")
+    return plain_times(w.window_counts(batch_events(spark, sf), "traffic_source")).drop("unique_sessions")
 
 
 @query(f"""WITH {b.SQL_CLICKS}

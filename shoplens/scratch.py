@@ -27,8 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    """A path that nothing else uses, in this application's part of the shared folder."""
+    return f"{shared_folder(spark)}/shoplens-{spark.sparkContext.applicationId}/{label}-{uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
