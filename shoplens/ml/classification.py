@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from shoplens.ml.attempts import attempt_all
 from shoplens.operators.features import CLASSES, train_test_split, with_class_weight
 from shoplens.scratch import materialize
 
@@ -35,8 +37,8 @@ class Classifiers:
     """The shared feature steps, the fitted models and what went wrong with the others."""
 
     preparation: PipelineModel
-    models: dict[str, Transformer] = field(default_factory=dict)
-    errors: dict[str, str] = field(default_factory=dict)
+    models: dict[str, Transformer]
+    errors: dict[str, str]
 
 
 def _slug(name: str) -> str:
@@ -71,30 +73,33 @@ def feature_steps() -> Pipeline:
     )
 
 
-def fit_classifiers(train: DataFrame, weighted: Sequence[str] = WEIGHTED) -> Classifiers:
+def fit_classifiers(
+    train: DataFrame, weighted: Sequence[str] = WEIGHTED, parallelism: int = 3
+) -> Classifiers:
     """Fit every model on one prepared, persisted feature table.
 
     ``weighted`` names the models that see the class weights. A model that cannot be fitted is
     recorded with its error and does not stop the others.
     """
-    fitted = Classifiers(feature_steps().fit(train))
-    ready = fitted.preparation.transform(train).select("features", "label", "class_weight")
+    preparation = feature_steps().fit(train)
+    ready = preparation.transform(train).select("features", "label", "class_weight")
     ready.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(name: str) -> Transformer:
+        kind, settings = MODELS[name]
+        weight = {"weightCol": "class_weight"} if name in weighted else {}
+        model = kind(featuresCol="features", labelCol="label", **settings, **weight)
+        model.setPredictionCol(f"prediction_{_slug(name)}")
+        model.setRawPredictionCol(f"raw_{_slug(name)}")
+        model.setProbabilityCol(f"probability_{_slug(name)}")
+        return model.fit(ready)
+
     try:
-        for name, (kind, settings) in MODELS.items():
-            slug = _slug(name)
-            weight = {"weightCol": "class_weight"} if name in weighted else {}
-            try:
-                model = kind(featuresCol="features", labelCol="label", **settings, **weight)
-                model.setPredictionCol(f"prediction_{slug}")
-                model.setRawPredictionCol(f"raw_{slug}")
-                model.setProbabilityCol(f"probability_{slug}")
-                fitted.models[name] = model.fit(ready)
-            except Exception as error:  # whatever stops one model must not cost the others
-                fitted.errors[name] = str(error)
+        fits = {name: partial(fit, name) for name in MODELS}
+        models, errors = attempt_all(train.sparkSession, fits, parallelism)
     finally:
         ready.unpersist()
-    return fitted
+    return Classifiers(preparation, models, errors)
 
 
 def score(fitted: Classifiers, test: DataFrame) -> DataFrame:
@@ -145,29 +150,33 @@ def metrics_from_confusion(cells: DataFrame) -> DataFrame:
     )
 
 
-def classifier_metrics(fitted: Classifiers, scored: DataFrame, digits: int = 4) -> DataFrame:
-    """AUC, F1, precision, recall and accuracy per model; a model that failed scores zero."""
+def classifier_metrics(
+    fitted: Classifiers, scored: DataFrame, digits: int = 4, parallelism: int = 3
+) -> DataFrame:
+    """AUC, F1, precision, recall and accuracy per model.
+
+    A model that could not be fitted or evaluated scores zero and carries its error.
+    """
     spark = scored.sparkSession
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def area(name: str) -> float:
+        evaluator = BinaryClassificationEvaluator(
+            labelCol="label", rawPredictionCol=f"raw_{_slug(name)}", metricName="areaUnderROC"
+        )
+        return evaluator.evaluate(scored)
+
     try:
-        auc = [
-            (
-                name,
-                BinaryClassificationEvaluator(
-                    labelCol="label", rawPredictionCol=f"raw_{_slug(name)}", metricName="areaUnderROC"
-                ).evaluate(scored),
-                None,
-            )
-            for name in fitted.models
-        ]
         others = {r["model"]: r for r in metrics_from_confusion(confusion(fitted, scored)).collect()}
+        areas, errors = attempt_all(spark, {name: partial(area, name) for name in fitted.models}, parallelism)
     finally:
         scored.unpersist()
-    rows = [
-        (name, *[round(v, digits) for v in (area, *[others[name][m] for m in METRICS[1:]])], error)
-        for name, area, error in auc
-    ]
-    rows += [(name, 0.0, 0.0, 0.0, 0.0, 0.0, error) for name, error in fitted.errors.items()]
+    rows = []
+    for name, auc in areas.items():
+        measures = [auc, *(others[name][m] for m in METRICS[1:])]
+        rows.append((name, *(round(m, digits) for m in measures), None))
+    for name, error in {**errors, **fitted.errors}.items():
+        rows.append((name, *(0.0 for _ in METRICS), error))
     columns = ", ".join(f"{m} DOUBLE" for m in METRICS)
     return spark.createDataFrame(rows, f"model STRING, {columns}, error STRING")
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from shoplens.functions.columns import near
+from shoplens.ml.attempts import attempt_all
 from shoplens.operators.features import CUSTOMER_FEATURES
 from shoplens.scratch import materialize
 
@@ -36,6 +38,7 @@ def kmeans_sweep(
     cols: Sequence[str] = CUSTOMER_FEATURES,
     ks: Sequence[int] = KS,
     digits: int = 4,
+    parallelism: int = 3,
 ) -> Sweep:
     """Fit one model per k, score each by silhouette and keep the best.
 
@@ -54,28 +57,23 @@ def kmeans_sweep(
     scaled = steps.transform(stored)
     vectors = scaled.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette")
-    scores: list[tuple[int, float | None, str | None]] = []
-    best_k, best_score, best = DEFAULT_K, -1.0, None
 
-    def fit(k: int):
+    def fit(k: int) -> KMeansModel:
         return KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=42, maxIter=20).fit(vectors)
 
+    def fit_and_score(k: int) -> tuple[KMeansModel, float]:
+        model = fit(k)
+        return model, silhouette.evaluate(model.transform(vectors))
+
     try:
-        for k in ks:
-            try:
-                model = fit(k)
-                value = silhouette.evaluate(model.transform(vectors))
-            except Exception as error:  # one k must not cost the others
-                scores.append((k, None, str(error)))
-                continue
-            scores.append((k, round(value, digits), None))
-            if value > best_score:
-                best_k, best_score, best = k, value, model
-        best = best or fit(best_k)
+        fits = {k: partial(fit_and_score, k) for k in ks}
+        scored, errors = attempt_all(spark, fits, parallelism)
+        best_k = max(scored, key=lambda k: scored[k][1], default=DEFAULT_K)
+        best = scored[best_k][0] if scored else fit(best_k)
     finally:
         vectors.unpersist()
     table = spark.createDataFrame(
-        [(k, s, e, k == best_k) for k, s, e in scores],
+        [(k, round(scored[k][1], digits) if k in scored else None, errors.get(k), k == best_k) for k in ks],
         "k INT, silhouette_score DOUBLE, error STRING, is_best BOOLEAN",
     )
     return Sweep(table, best_k, best.transform(scaled).drop("raw_features", "features"))

@@ -54,11 +54,12 @@ def sliding_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS minute, count(DISTINCT user_id) AS visitors
-FROM events GROUP BY 1""")
+FROM events WHERE ts IS NOT NULL GROUP BY 1""")
 def visitors_per_minute(spark: SparkSession, sf: str) -> DataFrame:
     events = b.load_table(spark, "events", sf)
-    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute")
-    return events.groupBy(minute).agg(F.count_distinct("user_id").alias("visitors"))
+    per_minute = events.groupBy(F.window("ts", "1 minute").alias("w"))
+    visitors = per_minute.agg(F.count_distinct("user_id").alias("visitors"))
+    return visitors.select(F.col("w.start").alias("minute"), "visitors")
 
 
 @query(f"""WITH {b.SQL_CLICKS},

@@ -10,6 +10,7 @@ from shoplens.ml import classification as c
 from shoplens.ml import segmentation as s
 from shoplens.registry import queries
 from shoplens.registry.models import _classifiers, _sweep
+from shoplens.sources.writers import write_table
 
 NAMES = ["Gradient-Boosted Trees", "Logistic Regression", "Random Forest"]
 
@@ -25,6 +26,13 @@ def test_metrics(spark, folder):
     assert all(r.error is None and 0 < r[m] < 1 for r in rows for m in c.METRICS)
 
 
+def test_metrics_as_json(spark, folder, tmp_path):
+    metrics = queries()["ml_metrics"](spark, folder)
+    path = write_table(metrics, str(tmp_path / "metrics"), "json")
+    stored = spark.read.schema(metrics.schema).json(path)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, metrics.collect()))
+
+
 def test_metrics_agree_with_the_evaluators(spark, folder):
     fitted, scored = _classifiers(spark, folder)
     rows = {r.model: r for r in c.classifier_metrics(fitted, scored, digits=9).collect()}
