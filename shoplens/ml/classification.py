@@ -167,7 +167,8 @@ def classifier_metrics(
         return evaluator.evaluate(scored)
 
     try:
-        others = {r["model"]: r for r in metrics_from_confusion(confusion(fitted, scored)).collect()}
+        cells = metrics_from_confusion(confusion(fitted, scored)).collect() if fitted.models else []
+        others = {r["model"]: r for r in cells}
         areas, errors = attempt_all(spark, {name: partial(area, name) for name in fitted.models}, parallelism)
     finally:
         scored.unpersist()

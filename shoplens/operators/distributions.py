@@ -66,7 +66,7 @@ def stage_counts(df: DataFrame, col: str, stages: Sequence[str]) -> DataFrame:
     )
 
 
-def session_stats(df: DataFrame, session: str, digits: int = 1) -> DataFrame:
+def session_stats(df: DataFrame, session: str = "session_id", digits: int = 1) -> DataFrame:
     """Distinct sessions and events per session."""
     sessions = F.count_distinct(session)
     return df.agg(

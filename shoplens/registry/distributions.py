@@ -112,7 +112,7 @@ SELECT count(DISTINCT session_id) AS unique_sessions,
        {b.near("count(*) * 1.0::DOUBLE / count(DISTINCT session_id)", 1)} AS avg_events_per_session
 FROM clicks""")
 def session_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return d.session_stats(b.clickstream(spark, sf), "session_id")
+    return d.session_stats(b.clickstream(spark, sf))
 
 
 def _revenue_sql(col: str) -> str:

@@ -86,7 +86,7 @@ def stream_landing_replay(spark: SparkSession, sf: str) -> DataFrame:
 def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
     """What the append stream read, kept and dropped, per micro-batch."""
     _, done = runner.append_stream(w.window_counts(live_events(spark, sf), "traffic_source"))
-    return runner.stream_progress(spark, done)
+    return runner.stream_progress(done)
 
 
 @query(_windows_sql("traffic_source"))

@@ -96,7 +96,7 @@ def stop_all(spark: SparkSession) -> None:
         query.stop()
 
 
-def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+def stream_progress(query: StreamingQuery) -> DataFrame:
     """One row per micro-batch on record: rows read, rows of state, rows dropped as late."""
     rows = []
     for p in query.recentProgress:
@@ -109,6 +109,6 @@ def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
                 sum(s["numRowsDroppedByWatermark"] for s in state),
             )
         )
-    return spark.createDataFrame(
+    return SparkSession.active().createDataFrame(
         rows, "batch_id BIGINT, input_rows BIGINT, state_rows BIGINT, late_rows_dropped BIGINT"
     )

@@ -6,8 +6,10 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
-from shoplens.registry import queries
+from shoplens.operators import features
+from shoplens.registry import bindings, queries
 
 RUN_JOBS = ("stream", "ml_", "kmeans", "cluster_", "csv_", "json_", "parquet_")
 LAZY = sorted(name for name in queries() if not name.startswith(RUN_JOBS))
@@ -77,3 +79,31 @@ def test_facts_shrink_before_they_are_joined(plan):
 def test_top_customers_are_cut_before_the_ranking_window(plan):
     tree = plan("customer_ltv").split("\n\n")[0]
     assert tree.index("Window") < tree.index("TakeOrderedAndProject")
+
+
+def test_a_hot_customer_is_split_in_the_feature_join(spark, testdata):
+    """The one join that keeps every fact row leaves AQE free to split a skewed partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.files.maxPartitionBytes": "64k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        folder = f"{testdata}/sf0.01"
+        hot = F.when(F.col("booking_id") % 3 == 0, 7).otherwise(F.col("customer_id")).alias("customer_id")
+        tx = bindings.orders(spark, folder)
+        tx = tx.select(hot, *[c for c in tx.columns if c != "customer_id"], F.lit(0.0).alias("promo_amount"))
+        tx = tx.withColumn("shipment_fee", F.lit(0.0)).repartition(16, "booking_id")
+        df = features.classification_features(tx, bindings.customers(spark, folder), ("F", "O"))
+        rows = df.collect()
+        expected = tx.where("payment_status IN ('F', 'O')").count()
+        assert len(rows) == expected
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -61,7 +61,7 @@ def test_update_stream_has_no_repeated_windows(spark, tmp_path):
 def test_late_rows_are_dropped_and_reported(spark, tmp_path):
     folder = land(tmp_path / "in", [event(1)], [event(40)], [event(3, day="2023-11-01")])
     closed, query = runner.append_stream(w.window_counts(events(spark, folder), "event_name"))
-    progress = runner.stream_progress(spark, query).collect()
+    progress = runner.stream_progress(query).collect()
     assert sum(r.late_rows_dropped for r in progress) == 1
     assert sum(r.input_rows for r in progress) == 3
     assert [r.event_count for r in closed.collect()] == [1]  # 10:00; 10:40 is still open
