@@ -86,7 +86,9 @@ def orders_by_dow(spark: SparkSession, sf: str) -> DataFrame:
 SELECT hour(event_time)::BIGINT AS hour_of_day, count(*) AS event_count
 FROM clicks WHERE event_time IS NOT NULL GROUP BY 1""")
 def events_by_hour(spark: SparkSession, sf: str) -> DataFrame:
-    return d.by_period(b.clickstream(spark, sf), "event_time", "hour", [F.count("*").alias("event_count")], "hour_of_day")
+    return d.by_period(
+        b.clickstream(spark, sf), "event_time", "hour", [F.count("*").alias("event_count")], "hour_of_day"
+    )
 
 
 @query(f"""WITH {b.SQL_TRANSACTIONS}
@@ -124,12 +126,14 @@ FROM orders_v JOIN customers_v USING (customer_id) WHERE payment_status = 'F' GR
 
 @query(_revenue_sql("home_country"))
 def revenue_by_country(spark: SparkSession, sf: str) -> DataFrame:
-    return d.revenue_by(b.orders(spark, sf).where(succeeded(b.PAID)), b.customers(spark, sf), "customer_id", "home_country")
+    paid = b.orders(spark, sf).where(succeeded(b.PAID))
+    return d.revenue_by(paid, b.customers(spark, sf), "customer_id", "home_country")
 
 
 @query(_revenue_sql("device_type"))
 def revenue_by_device(spark: SparkSession, sf: str) -> DataFrame:
-    return d.revenue_by(b.orders(spark, sf).where(succeeded(b.PAID)), b.customers(spark, sf), "customer_id", "device_type")
+    paid = b.orders(spark, sf).where(succeeded(b.PAID))
+    return d.revenue_by(paid, b.customers(spark, sf), "customer_id", "device_type")
 
 
 @query(f"""WITH {b.SQL_ORDERS}
@@ -157,7 +161,8 @@ guessed AS (
            least(floor((total_amount - lo) / (hi - lo) * 40.0::DOUBLE), 39)::BIGINT AS g
     FROM orders_v, span WHERE total_amount IS NOT NULL),
 placed AS (
-    SELECT CASE WHEN x < lo + g * width THEN g - 1 WHEN g < 39 AND x >= lo + (g + 1) * width THEN g + 1 ELSE g END AS bin
+    SELECT CASE WHEN x < lo + g * width THEN g - 1
+                WHEN g < 39 AND x >= lo + (g + 1) * width THEN g + 1 ELSE g END AS bin
     FROM guessed),
 filled AS (SELECT bin, count(*) AS n FROM placed GROUP BY 1)
 SELECT i AS bin, {b.near("lo + i * width")} AS lower, {b.near("lo + (i + 1) * width")} AS upper,
@@ -172,8 +177,8 @@ found AS (
     SELECT payment_status, count(*) AS class_count FROM orders_v
     WHERE payment_status IN ('F', 'O') GROUP BY 1)
 SELECT payment_status, class_count,
-       {b.near("(SELECT sum(class_count) FROM found) / ((SELECT count(*) FROM found) * class_count::DOUBLE)", 6)} AS class_weight
-FROM found""", name="class_weights")
+       {b.near("n / (k * class_count::DOUBLE)", 6)} AS class_weight
+FROM found, (SELECT sum(class_count) AS n, count(*) AS k FROM found)""", name="class_weights")
 def balanced_weights(spark: SparkSession, sf: str) -> DataFrame:
     weights = class_weights(b.orders(spark, sf), "payment_status", (b.PAID, b.FAILED))
     return weights.withColumn("class_weight", near("class_weight", 6))
@@ -217,7 +222,8 @@ _SUMMARISED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 @query(" UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count({c}) AS non_null, {b.near(f"avg({c})", 4)} AS mean,
-        {b.near(f"stddev_samp({c})", 4)} AS stddev, {b.near(f"min({c})", 4)} AS min, {b.near(f"max({c})", 4)} AS max FROM lineitem"""
+        {b.near(f"stddev_samp({c})", 4)} AS stddev, {b.near(f"min({c})", 4)} AS min,
+        {b.near(f"max({c})", 4)} AS max FROM lineitem"""
     for c in _SUMMARISED))
 def numeric_summary(spark: SparkSession, sf: str) -> DataFrame:
     return profile.numeric_summary(load_table(spark, "lineitem", sf), _SUMMARISED, digits=4)

@@ -47,7 +47,8 @@ def _sweep(spark: SparkSession, sf: str) -> s.Sweep:
 
 
 @query(f"""WITH {b.SQL_TRANSACTIONS}, {b.SQL_CUSTOMERS}
-SELECT booking_id, total_amount, {b.near("shipment_fee", 6)} AS shipment_fee, {b.near("promo_amount", 6)} AS promo_amount,
+SELECT booking_id, total_amount, {b.near("shipment_fee", 6)} AS shipment_fee,
+       {b.near("promo_amount", 6)} AS promo_amount,
        CASE WHEN promo_amount > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS has_promo,
        payment_method, device_type, gender, payment_status
 FROM tx JOIN customers_v USING (customer_id)
@@ -63,9 +64,11 @@ spending AS (
            count(DISTINCT session_id) AS num_sessions, sum(promo_amount) AS promo,
            count(DISTINCT payment_method) AS payment_methods_used
     FROM tx WHERE payment_status = 'F' GROUP BY 1)
-SELECT customer_id, {b.near("spend", 6)} AS total_spend, num_transactions, {b.near("mean", 6)} AS avg_order_value, num_sessions,
+SELECT customer_id, {b.near("spend", 6)} AS total_spend, num_transactions,
+       {b.near("mean", 6)} AS avg_order_value, num_sessions,
        {b.near("promo", 6)} AS total_promo_used, payment_methods_used,
-       {b.near("CASE WHEN spend > 0 THEN promo / spend ELSE 0.0::DOUBLE END", 6)} AS promo_usage_rate, device_type, gender
+       {b.near("CASE WHEN spend > 0 THEN promo / spend ELSE 0.0::DOUBLE END", 6)} AS promo_usage_rate,
+       device_type, gender
 FROM spending JOIN customers_v USING (customer_id) WHERE spend IS NOT NULL""")
 def customer_features(spark: SparkSession, sf: str) -> DataFrame:
     features = f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID)

@@ -76,7 +76,8 @@ spending AS (
     SELECT home_country, customer_id, count(booking_id) AS n, sum(total_amount) AS spent
     FROM customers_v JOIN orders_v USING (customer_id) WHERE payment_status = 'F' GROUP BY ALL)
 SELECT home_country, CASE WHEN n >= 5 THEN 'VIP' WHEN n >= 3 THEN 'Regular' ELSE 'Occasional' END AS customer_segment,
-       count(*) AS num_customers, {b.near("sum(spent)")} AS segment_revenue, {b.near("avg(spent)")} AS avg_customer_value
+       count(*) AS num_customers, {b.near("sum(spent)")} AS segment_revenue,
+       {b.near("avg(spent)")} AS avg_customer_value
 FROM spending GROUP BY 1, 2""")
 def revenue_by_country_segment(spark: SparkSession, sf: str) -> DataFrame:
     return reports.segment_revenue(b.orders(spark, sf), b.customers(spark, sf), paid=b.PAID)

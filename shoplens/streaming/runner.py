@@ -55,6 +55,8 @@ def revisions_to(path: str) -> Callable[[DataFrame, int], None]:
     """Sink for update mode: each micro-batch becomes one partition of a Parquet table.
 
     A batch that is run again after a failure replaces its own partition and nothing else.
+    The table grows with every batch; a stream that never ends should append closed windows
+    instead, or have ``latest_revisions`` stored as a new table now and then.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

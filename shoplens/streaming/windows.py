@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,6 +11,10 @@ def with_event_time(events: DataFrame, col: str, out: str = "event_ts") -> DataF
     return events.withColumn(out, F.col(col).try_cast("timestamp"))
 
 
+def _bounds() -> list[Column]:
+    return [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")]
+
+
 def window_counts(
     events: DataFrame,
     key: str,
@@ -31,7 +35,7 @@ def window_counts(
     return (
         timed.groupBy(F.window(ts, window, slide).alias("w"), key)
         .agg(F.count("*").alias("event_count"), F.approx_count_distinct(session).alias(sessions_as))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "event_count", sessions_as)
+        .select(*_bounds(), key, "event_count", sessions_as)
     )
 
 
@@ -55,7 +59,7 @@ def exact_sessions(
     return (
         seen.groupBy("w", key)
         .agg(F.count(session).alias("sessions"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "sessions")
+        .select(*_bounds(), key, "sessions")
     )
 
 

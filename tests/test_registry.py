@@ -61,3 +61,13 @@ def test_sample_budget(spark, folder, testdata):
     sample = queries()["sample_to_budget"]
     assert sample(spark, folder).count() == 15_000
     assert abs(sample(spark, f"{testdata}/sf0.1").count() - 50_000) < 1_000
+
+
+def test_invariants(spark, folder):
+    q = queries()
+    assert sum(r.pct for r in q["status_share"](spark, folder).collect()) == pytest.approx(100, abs=0.2)
+    assert sum(r["count"] for r in q["order_value_histogram"](spark, folder).collect()) == 15_000
+    f = q["clickstream_funnel"](spark, folder).collect()[0]
+    assert max(f.sessions_with_view, f.sessions_with_cart, f.sessions_with_checkout) <= f.total_sessions
+    trend = q["monthly_revenue_trend"](spark, folder).collect()
+    assert trend[-1].cumulative_revenue == pytest.approx(sum(r.monthly_revenue for r in trend))

@@ -8,6 +8,8 @@ import pytest
 
 from shoplens.operators import clean
 from shoplens.plans import ingest
+from shoplens.plans.explore import explore
+from shoplens.plans.publish import publish, report_tables
 from shoplens.sources import schemas
 from shoplens.sources.catalog import load_raw, load_table, register_views
 from shoplens.sources.readers import read_csv
@@ -99,6 +101,28 @@ def test_ingest_stores_every_table(spark, raw, tmp_path):
     assert rows(joined) == [("Ann", 14.0), ("Bob", 9.0)]
 
 
+def test_explore_and_publish(spark, raw, tmp_path):
+    tables = {name: ingest.load_clean(spark, name, raw) for name in ingest.CLEANERS}
+    found = {name: rows(df) for name, df in explore(tables).items()}
+    assert found["table_sizes"] == [
+        ("customers", 2, 15), ("products", 1, 10), ("transactions", 2, 15), ("clickstream", 2, 7)
+    ]
+    assert found["gender"] == [("F", 1, "Female"), ("M", 1, "Male")]
+    assert found["join_month"] == [("2021-05", 1)]
+    assert found["sub_category"] == [("Apparel", "Topwear", 1)]
+    assert found["payment_status"] == [("Failed", 1, 50.0), ("Success", 1, 50.0)]
+    assert found["day_of_week"] == [(5, 1, "Thu")] and found["hour_of_day"] == [(10, 1)]
+    assert found["funnel_events"] == [(1, "view_product", 1), (3, "checkout", 1)]
+    assert found["revenue_by_device"] == [("iOS", 1, 14.0, 14.0)]
+    assert found["key_findings"] == [(23.0, 11.5, 50.0, 2, 2, 1, 2)]
+    assert sum(r[3] for r in found["order_value"]) == 2
+    results = report_tables(tables)
+    paths = publish(results, str(tmp_path))
+    assert len(paths) == 6
+    for name, df in results.items():
+        assert rows(read_csv(spark, paths[name], df.schema)) == rows(df)
+
+
 def test_first_folder_with_the_table_wins(spark, raw, tmp_path):
     (tmp_path / "product_new.csv").write_text(FILES["product.csv"].replace("7,Men", "9,Women"))
     assert rows(load_raw(spark, "products", [str(tmp_path), raw]), "id") == [(9,)]
