@@ -12,7 +12,7 @@ from shoplens.scratch import scratch_path
 from shoplens.sources.catalog import load_table
 from shoplens.sources.readers import stream_json, stream_parquet
 from shoplens.sources.schemas import STREAM_EVENTS
-from shoplens.sources.writers import write_event_landing
+from shoplens.sources.writers import slices_for, write_event_landing
 from shoplens.streaming import runner
 from shoplens.streaming import windows as w
 
@@ -72,12 +72,13 @@ def stream_parquet_append(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_windows_sql("event_name"))
 def stream_landing_replay(spark: SparkSession, sf: str) -> DataFrame:
-    """Events laid out as JSON files and replayed five files at a time.
+    """Events laid out as JSON files, as many as the table needs, and replayed in four batches.
 
     Files of a parallel write come in any order, so the bounded replay keeps all its state.
     """
-    landing = write_event_landing(text_clicks(spark, sf), scratch_path(spark, "landing"))
-    events = w.with_event_time(stream_json(spark, landing, STREAM_EVENTS, max_files=5), "event_time")
+    slices = slices_for(load_table(spark, "events", sf))
+    landing = write_event_landing(text_clicks(spark, sf), scratch_path(spark, "landing"), files=slices)
+    events = w.with_event_time(stream_json(spark, landing, STREAM_EVENTS, max_files=-(-slices // 4)), "event_time")
     counts = w.window_counts(events, "event_name", watermark=None)
     return plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"])).drop("unique_sessions")
 

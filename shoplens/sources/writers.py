@@ -34,12 +34,17 @@ def write_table(
     return path
 
 
+def slices_for(df: DataFrame, at_least: int = 20, max_rows: int = 1_000_000) -> int:
+    """How many landing files a table needs so that none holds more than about ``max_rows``."""
+    return max(at_least, -(-df.count() // max_rows))
+
+
 def write_event_landing(
     df: DataFrame, path: str, ts: str = "event_time", tie: str = "event_id", files: int = 20
 ) -> str:
     """Lay events out as ``files`` JSON-lines files, each one slice of time, for replay.
 
-    ``tie`` splits a slice whose rows share one timestamp.
+    ``tie`` splits a slice whose rows share one timestamp. ``slices_for`` sizes ``files``.
     """
     (
         df.repartitionByRange(files, ts, tie)

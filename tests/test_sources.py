@@ -13,7 +13,7 @@ from shoplens.plans.publish import publish, report_tables
 from shoplens.sources import schemas
 from shoplens.sources.catalog import load_raw, load_table, register_views
 from shoplens.sources.readers import read_csv
-from shoplens.sources.writers import write_event_landing, write_table
+from shoplens.sources.writers import slices_for, write_event_landing, write_table
 
 TX_HEADER = (
     "created_at,customer_id,booking_id,session_id,product_metadata,payment_method,payment_status,promo_amount,"
@@ -171,6 +171,18 @@ def test_landing_files_are_slices_of_time(spark, tmp_path):
     assert spans == 4 and parts.count() == 1000
 
 
+def test_landing_splits_a_shared_timestamp(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id AS event_id", "'2024-01-01' AS event_time")
+    path = write_event_landing(df, str(tmp_path / "landing"), files=4)
+    sizes = spark.read.json(path).selectExpr("_metadata.file_name AS f").groupBy("f").count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 400
+
+
+def test_landing_grows_with_the_table(spark):
+    assert slices_for(spark.range(1000)) == 20
+    assert slices_for(spark.range(1000), at_least=4, max_rows=150) == 7
+
+
 def test_item_json_traps(spark):
     texts = [
         ('{"items": [{"product_id": 1, "quantity": 2, "price": 3.5}]}',),
