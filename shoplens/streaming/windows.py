@@ -49,13 +49,11 @@ def exact_sessions(
 ) -> DataFrame:
     """Exact distinct sessions per window and key, on streams too.
 
-    Streams refuse a distinct count, so repeats are dropped first and the rest is counted.
+    Streams refuse a distinct count, so one aggregate finds the sessions and a second counts
+    them. Unlike dropped duplicates an aggregate combines before it shuffles: a session with
+    very many events in one window leaves each task as a single row.
     """
-    seen = (
-        events.withWatermark(ts, watermark)
-        .select(F.window(ts, window).alias("w"), key, session)
-        .dropDuplicates(["w", key, session])
-    )
+    seen = events.withWatermark(ts, watermark).groupBy(F.window(ts, window).alias("w"), key, session).count()
     return (
         seen.groupBy("w", key)
         .agg(F.count(session).alias("sessions"))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from shoplens.functions.columns import label_map, safe_ratio
+from shoplens.functions.columns import label_map, mean_of, near, safe_ratio
 from shoplens.operators import distributions as d
 from shoplens.operators import features as f
 from shoplens.operators import profile
@@ -234,3 +236,17 @@ def test_key_quality(spark):
         ("k is not null", 1), ("k is unique", 2), ("r has a match", 1),
     ]
     assert rows(profile.key_quality(df.limit(0), "k"), "bad_rows") == [(0,), (0,)]
+
+
+def test_means_round_half_up_whatever_the_order(spark):
+    """Against exact fractions, over many groups and two partitionings."""
+    rng = np.random.default_rng(7)
+    cents = {g: rng.integers(1, 50_000_000, 1 + g % 9).tolist() for g in range(3000)}
+    df = spark.createDataFrame([(g, c / 100.0) for g, cs in cents.items() for c in cs], "g INT, x DOUBLE")
+    exact = {
+        g: float((Decimal(sum(cs)) / len(cs) / 100).quantize(Decimal("0.01"), ROUND_HALF_UP)) for g, cs in cents.items()
+    }
+    for partitions in (1, 13):
+        shuffled = df.repartition(partitions).groupBy("g")
+        assert dict(rows(shuffled.agg(near(F.avg("x"))))) == exact
+        assert dict(rows(shuffled.agg(mean_of(F.sum("x"), F.count("x"))))) == exact
