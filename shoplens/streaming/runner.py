@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,23 +14,22 @@ from shoplens.scratch import scratch_path
 FILE_SINKS = ("parquet", "json", "csv")
 
 
-def run_stream(
+def start_stream(
     df: DataFrame,
     sink: str | Callable[[DataFrame, int], None],
     mode: str = "append",
     path: str | None = None,
     checkpoint: str | None = None,
     name: str | None = None,
-    timeout: float | None = None,
+    live: bool = True,
     **options,
 ) -> StreamingQuery:
-    """Run a stream and return the stopped query.
+    """Start a stream and return at once.
 
-    Without ``timeout`` everything that is there now is processed and the stream ends. With
-    it the stream stays live for that many seconds. ``sink`` is a file format (with
-    ``path``; append only), "console", "memory" (for small results: the rows live in the
-    driver, and in update mode every revision of a window is one) or a function that gets
-    each micro-batch. The checkpoint defaults to a fresh one in the shared folder.
+    ``sink`` is a file format (with ``path``; append only), "console", "memory" (for small
+    results: the rows live in the driver, and in update mode every revision of a window is
+    one) or a function that gets each micro-batch. The checkpoint defaults to a fresh one in
+    the shared folder. A stream that is not ``live`` ends when it has read what is there now.
     """
     writer = df.writeStream.outputMode(mode).options(**options)
     writer = writer.option("checkpointLocation", checkpoint or scratch_path(df.sparkSession, "stream-checkpoint"))
@@ -41,13 +41,32 @@ def run_stream(
         writer = writer.format(sink)
     if sink in FILE_SINKS:
         writer = writer.option("path", path)
-    if timeout is None:
+    if not live:
         writer = writer.trigger(availableNow=True)
-    query = writer.start()
+    return writer.start()
+
+
+def finish(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait until the streams end, or ``timeout`` seconds in all, then stop them.
+
+    A stream that failed raises its error here, after the others have been stopped too.
+    """
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        query.awaitTermination(timeout)
+        for query in queries:
+            query.awaitTermination(None if deadline is None else max(0.001, deadline - time.monotonic()))
     finally:
-        query.stop()
+        for query in queries:
+            query.stop()
+
+
+def run_stream(df: DataFrame, sink, mode: str = "append", timeout: float | None = None, **settings) -> StreamingQuery:
+    """Run one stream and return the stopped query; ``settings`` as for ``start_stream``.
+
+    Without ``timeout`` what is there now is processed; with it the stream stays live that long.
+    """
+    query = start_stream(df, sink, mode, live=timeout is not None, **settings)
+    finish([query], timeout)
     return query
 
 

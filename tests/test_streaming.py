@@ -7,6 +7,7 @@ import os
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from shoplens.sources.readers import stream_json, stream_parquet
 from shoplens.sources.schemas import STREAM_EVENTS
@@ -122,12 +123,34 @@ def test_live_stream_stops_after_its_time(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
 
 
+def test_two_live_streams_side_by_side(spark, tmp_path):
+    folder = land(tmp_path / "in", [event(1)], [event(40)])
+    counts = [w.window_counts(events(spark, folder), key) for key in ("event_name", "traffic_source")]
+    out = [str(tmp_path / name) for name in ("names", "sources")]
+    running = [
+        runner.start_stream(c, "parquet", path=o, name=f"live_{i}") for i, (c, o) in enumerate(zip(counts, out))
+    ]
+    assert sorted(name for name, _ in runner.active_streams(spark)) == ["live_0", "live_1"]
+    for query in running:
+        query.processAllAvailable()
+    runner.finish(running, timeout=1)
+    assert runner.active_streams(spark) == []
+    assert [spark.read.parquet(o).count() for o in out] == [1, 1]
+
+
+def test_a_failing_stream_raises(spark, tmp_path):
+    def broken(batch, batch_id):
+        raise RuntimeError("no room")
+
+    folder = land(tmp_path / "in", [event(1)])
+    with pytest.raises(StreamingQueryException, match="no room"):
+        runner.run_stream(events(spark, folder), broken)
+    assert runner.active_streams(spark) == []
+
+
 def test_stop_all(spark, tmp_path):
     folder = land(tmp_path / "in", [event(1)])
-    query = (
-        events(spark, folder).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c"))
-        .queryName("endless").start()
-    )
+    query = runner.start_stream(events(spark, folder), "noop", name="endless")
     assert [name for name, _ in runner.active_streams(spark)] == ["endless"]
     runner.stop_all(spark)
     assert not query.isActive
