@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from shoplens.ml.attempts import attempt_all
-from shoplens.operators.features import CLASSES, train_test_split, with_class_weight
+from shoplens.operators.features import CLASSES, sample_to_budget, train_test_split, with_class_weight
 from shoplens.scratch import materialize
 
 NUMERIC = ("total_amount", "shipment_fee", "promo_amount", "has_promo")
@@ -51,15 +51,18 @@ def prepare(
     positive: str = "Failed",
     classes: Sequence[str] = CLASSES,
     frac: float = 0.8,
+    budget: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Label, class weight and a repeatable split, from a stored copy of the features.
 
     The positive class is named, not left to which label is rarer. The joins behind the
-    features run once; the class counts then read one column of the stored copy.
+    features run once; the class counts then read one column of the stored copy. All rows are
+    used unless a ``budget`` of rows is given.
     """
     label = F.when(F.col("payment_status") == positive, 1.0).otherwise(0.0)
     stored = materialize(features.withColumn("label", label), "classification-features")
-    return train_test_split(with_class_weight(stored, "payment_status", classes), key, frac)
+    used = sample_to_budget(stored, key, budget) if budget else stored
+    return train_test_split(with_class_weight(used, "payment_status", classes), key, frac)
 
 
 def feature_steps() -> Pipeline:

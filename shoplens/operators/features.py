@@ -114,8 +114,11 @@ def train_test_split(
     return df.where(place < frac), df.where(place >= frac)
 
 
-def sample_to_budget(df: DataFrame, key: str | Sequence[str], rows: int, seed: int = 42) -> DataFrame:
-    """About ``rows`` rows, picked by a hash of the key; all of them if the table is smaller."""
+def sample_to_budget(df: DataFrame, key: str | Sequence[str], rows: int, seed: int = 7) -> DataFrame:
+    """About ``rows`` rows, picked by a hash of the key; all of them if the table is smaller.
+
+    The seed differs from the split's, or a small sample would lie on one side of it.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     total = df.agg(F.count("*")).scalar()
     return df.where(hash_unit(*keys, seed=seed) * total < F.lit(float(rows)))

@@ -89,7 +89,7 @@ def clean_strings(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_strings(padded, ["c_name", "c_mktsegment", "no_such_column"])
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE END AS order_date,
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE::VARCHAR END AS order_date,
        CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS order_time
 FROM orders""")
 def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,7 +101,9 @@ def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(spoilt, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("order_time"),
     )
     typed = clean.parse_timestamps(clean.parse_dates(text, ["order_date"]), ["order_time"])
-    return typed.withColumn("order_time", F.col("order_time").cast("timestamp_ntz"))
+    return typed.withColumns(
+        {"order_date": F.col("order_date").cast("string"), "order_time": F.col("order_time").cast("timestamp_ntz")}
+    )
 
 
 @query("SELECT p_partkey AS product_id, p_name, p_brand, p_type, p_size, p_retailprice FROM part")

@@ -93,6 +93,12 @@ def test_prepare_weights_and_labels(spark, folder):
     assert sorted(map(tuple, rows)) == [(0.0, 0.5556, "Success"), (1.0, 5.0, "Failed")]
 
 
+def test_prepare_within_a_budget(spark):
+    df = spark.range(20_000).selectExpr("id AS k", "if(id % 4 = 0, 'Failed', 'Success') AS payment_status")
+    train, test = c.prepare(df, "k", budget=2_000)
+    assert abs(train.count() - 1_600) < 200 and abs(test.count() - 400) < 120
+
+
 def test_sweep(spark, folder):
     rows = queries()["kmeans_sweep"](spark, folder).collect()
     assert [r.k for r in rows] == list(s.KS)
