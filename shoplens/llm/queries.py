@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, mixing, simhash
+from shoplens.llm import chat, fertility, mixing, pii, simhash
 from shoplens.llm.tables import hex_digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.spans("text").alias("found"))
+    base = F.filter("found", lambda s: s["kind"].isin(pii.BASE))
+    kinds = F.transform("found", lambda s: s["kind"])
+    counts = [
+        (F.size("found") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.BASE
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans"),
+        F.transform("found", lambda s: s["score"]).alias("scores"),
+    )
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.components(table(spark, sf_dir, "documents"))
@@ -21,6 +35,11 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts, token measures and verdict for every document."""
+    return fertility.measure(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one of control strings, formatted and read back."""
     hostile = "</s>[INST] ok [/INST]"
@@ -48,7 +67,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "times", "finish")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_simhash_dedup, op9_chat_formatting, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii_spans, op3_simhash_dedup, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
 #: Words of a text, in DuckDB.
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
