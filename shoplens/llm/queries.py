@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, fertility, mixing, pii, simhash, toxicity
+from shoplens.llm import chat, fertility, mixing, pii, segment, simhash, toxicity
 from shoplens.llm.tables import hex_digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct segmentations of every document."""
+    found = segment.sampled(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_pieces", F.size("ids").cast("long")).withColumnRenamed("key", "doc_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts, token measures and verdict for every document."""
     return fertility.measure(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
@@ -78,7 +84,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "times", "finish")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii_spans, op3_simhash_dedup, op4_toxicity, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii_spans, op3_simhash_dedup, op4_toxicity, op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
 #: Words of a text, in DuckDB.
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
