@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, fertility, mixing, pii, segment, simhash, toxicity
+from shoplens.llm import chat, fertility, mixing, pii, segment, simhash, topk, toxicity
 from shoplens.llm.tables import hex_digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors for every 50th."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     found = table(spark, sf_dir, "documents").select("doc_id", pii.spans("text").alias("found"))
@@ -84,11 +89,21 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "times", "finish")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii_spans, op3_simhash_dedup, op4_toxicity, op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_topk_search, op2_pii_spans, op3_simhash_dedup, op4_toxicity, op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
 #: Words of a text, in DuckDB.
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 ORACLES: dict[str, str] = {
+    "op1_topk_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op9_chat_formatting": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
