@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, fertility, mixing, pii, segment, simhash, topk, toxicity
+from shoplens.llm import chat, fertility, licenses, mixing, pii, segment, simhash, topk, toxicity
 from shoplens.llm.tables import hex_digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op7_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two distinct segmentations of every document."""
     found = segment.sampled(table(spark, sf_dir, "documents"))
@@ -89,10 +94,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "times", "finish")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_topk_search, op2_pii_spans, op3_simhash_dedup, op4_toxicity, op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_topk_search, op2_pii_spans, op3_simhash_dedup, op4_toxicity, op6_license_scan, op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
 #: Words of a text, in DuckDB.
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+_TEMPLATES = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in licenses.TEMPLATES.items())
+
 ORACLES: dict[str, str] = {
     "op1_topk_search": """
         WITH v AS (
@@ -104,6 +111,33 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank::INTEGER AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op6_license_scan": rf"""
+        WITH plain AS (
+            SELECT doc_id, row_number() OVER () AS row, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS plain
+            FROM documents
+        ), units AS (
+            SELECT doc_id, row, 'line' AS unit, unnest(string_split(plain, chr(10))) AS said, generate_subscripts(string_split(plain, chr(10)), 1) - 1 AS place
+            FROM plain
+            UNION ALL SELECT * FROM (
+                SELECT doc_id, row, 'paragraph', unnest(regexp_split_to_array(plain, '\n(?: ?\n)+')) AS said,
+                    generate_subscripts(regexp_split_to_array(plain, '\n(?: ?\n)+'), 1) - 1 FROM plain
+            ) WHERE trim(said) LIKE '%' || chr(10) || '%'
+            UNION ALL SELECT doc_id, row, 'text', plain, 0 FROM plain WHERE len(regexp_split_to_array(plain, '\n(?: ?\n)+')) > 1
+        ), words AS (
+            SELECT *, list_filter(regexp_split_to_array(said, '[ \n]+'), lambda w: w <> '') AS w FROM units
+        ), sets AS (
+            SELECT doc_id, row, unit, place, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS a FROM words
+        ), t AS (
+            SELECT license, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w
+            FROM (VALUES {_TEMPLATES}) v(license, text)
+        ), b AS (
+            SELECT license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM t
+        ), d AS (
+            SELECT *, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice FROM sets JOIN b ON len(list_intersect(a, b)) > 0
+        )
+        SELECT doc_id, unit, place::INTEGER AS place, license, dice, len(a) AS n_bigrams
+        FROM (SELECT *, row_number() OVER (PARTITION BY row, unit, place ORDER BY dice DESC, license) AS r FROM d WHERE dice >= 0.8)
+        WHERE r = 1""",
     "op9_chat_formatting": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
