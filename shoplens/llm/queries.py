@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, fertility, licenses, mixing, pii, segment, simhash, topk, toxicity
+from shoplens.llm import chat, fertility, licenses, mixing, passages, pii, segment, simhash, topk, toxicity
 from shoplens.llm.tables import hex_digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents share, a row for either document."""
+    found = passages.by_document(passages.passages(table(spark, sf_dir, "documents")))
+    return found.withColumnsRenamed({"key": "doc_id", "other": "other_id"})
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in all documents."""
     return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
@@ -94,7 +100,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "times", "finish")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_topk_search, op2_pii_spans, op3_simhash_dedup, op4_toxicity, op6_license_scan, op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_topk_search, op2_pii_spans, op3_simhash_dedup, op4_toxicity, op5_repeated_passages, op6_license_scan, op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
 #: Words of a text, in DuckDB.
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
