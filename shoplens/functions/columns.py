@@ -72,6 +72,10 @@ def blank_as(value: Column | str, label: str) -> Column:
 
 
 def hash_unit(*key: Column | str, seed: int = 42) -> Column:
-    """A number in [0, 1) that depends on the key alone, not on how rows are partitioned."""
-    buckets = 1 << 30
-    return F.pmod(F.xxhash64(F.lit(seed), *map(as_col, key)), F.lit(buckets)) / F.lit(float(buckets))
+    """A number in [0, 1) that depends on the key alone, not on how rows are partitioned.
+
+    The first 32 bits of the MD5 of "seed|key|key", with NULL as nothing: any engine can repeat it.
+    """
+    parts = [F.coalesce(as_col(k).cast("string"), F.lit("")) for k in key]
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 8), 16, 10).cast("bigint")
+    return bits / F.lit(float(1 << 32))

@@ -177,6 +177,9 @@ def classifier_metrics(
         scored.unpersist()
     rows = []
     for name, auc in areas.items():
+        if name not in others:  # no test rows
+            errors[name] = "no rows to evaluate"
+            continue
         measures = [auc, *(others[name][m] for m in METRICS[1:])]
         rows.append((name, *(round(m, digits) for m in measures), None))
     for name, error in {**errors, **fitted.errors}.items():

@@ -130,11 +130,11 @@ def revenue_by(
 def histogram(df: DataFrame, col: str | Column, bins: int = 40, digits: int = 2) -> DataFrame:
     """Equal-width histogram over [min, max]: ``bins`` rows, empty bins included.
 
-    Bins are half-open but for the last, which holds the maximum. NULL and NaN are skipped. A
+    Bins are half-open but for the last, which holds the maximum. NULL, NaN and infinities are skipped. A
     column with one value gets a range one unit wide around it. Bin edges decide: a value
     that rounding put next to its bin is moved by one. The mean comes along on every row.
     """
-    values = df.select(as_col(col).cast("double").alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
+    values = df.select(as_col(col).cast("double").alias("x")).where("abs(x) < double('inf')")
     half = F.when(F.min("x") == F.max("x"), 0.5).otherwise(0.0)
     limits = values.agg(
         F.struct(

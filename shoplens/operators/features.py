@@ -64,7 +64,8 @@ def customer_features(tx: DataFrame, customers: DataFrame, paid: str = "Success"
             F.avg("total_amount").alias("avg_order_value"),
             F.count_distinct("session_id").alias("num_sessions"),
             F.sum("promo_amount").alias("total_promo_used"),
-            F.count_distinct("payment_method").alias("payment_methods_used"),
+            # Few methods exist, so their set is small; a second distinct count would triple the rows.
+            F.size(F.collect_set("payment_method")).cast("bigint").alias("payment_methods_used"),
         )
         .withColumn("promo_usage_rate", safe_ratio("total_promo_used", "total_spend"))
     )
@@ -109,9 +110,22 @@ def train_test_split(
     df: DataFrame, key: str | Sequence[str], frac: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the key: the same rows on either side however Spark partitions them."""
+    part = split_part(df, key, frac, seed)
+    return df.where(part == "train"), df.where(part == "test")
+
+
+def split_part(df: DataFrame, key: str | Sequence[str], frac: float = 0.8, seed: int = 42) -> Column:
+    """The side, "train" or "test", of each row of ``train_test_split``; for both sides in one scan."""
+    return F.when(_place(df, key, seed) < frac, "train").otherwise("test")
+
+
+def _place(df: DataFrame, key: str | Sequence[str], seed: int) -> Column:
+    """Hash of the key, which may be several columns; rows without any of them are spread by all their values."""
     keys = [key] if isinstance(key, str) else list(key)
-    place = hash_unit(*keys, seed=seed)
-    return df.where(place < frac), df.where(place >= frac)
+    known = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull()
+    return F.when(known, hash_unit(*keys, seed=seed)).otherwise(
+        hash_unit(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), seed=seed)
+    )
 
 
 def sample_to_budget(df: DataFrame, key: str | Sequence[str], rows: int, seed: int = 7) -> DataFrame:
@@ -119,6 +133,45 @@ def sample_to_budget(df: DataFrame, key: str | Sequence[str], rows: int, seed: i
 
     The seed differs from the split's, or a small sample would lie on one side of it.
     """
-    keys = [key] if isinstance(key, str) else list(key)
     total = df.agg(F.count("*")).scalar()
-    return df.where(hash_unit(*keys, seed=seed) * total < F.lit(float(rows)))
+    return df.where(_place(df, key, seed) * total < F.lit(float(rows)))
+
+
+def rebalance(df: DataFrame, label: str, key: str | Sequence[str], classes: Sequence[str] = CLASSES, seed: int = 11) -> DataFrame:
+    """Rows of ``classes``, the larger ones thinned by a hash of the key to about the size of the smallest present.
+
+    Rows of other classes are left out. The class sizes are one aggregate, used as a scalar subquery.
+    """
+    counts = df.agg(F.struct(*[count_where(F.col(label) == c).alias(f"n{i}") for i, c in enumerate(classes)])).scalar()
+    sized = df.where(F.col(label).isin(*classes)).withColumn("_n", counts)
+    sizes = [F.nullif(F.col(f"_n.n{i}"), F.lit(0)) for i in range(len(classes))]
+    smallest = F.array_min(F.array(*sizes))
+    own: Column = F.lit(None).cast("bigint")
+    for i, c in enumerate(classes):
+        own = F.when(F.col(label) == c, sizes[i]).otherwise(own)
+    return sized.where(_place(df, key, seed) * own < smallest).drop("_n")
+
+
+def recency_features(tx: DataFrame, paid: str = "Success") -> DataFrame:
+    """Per customer: days since the last successful transaction, days between the first and the last, how many and how much.
+
+    Days count to the newest transaction of the table, paid or not. One aggregate per customer; rows without customer or time
+    are left out.
+    """
+    newest = tx.agg(F.max("created_at")).scalar()
+    return (
+        tx.where((F.col("payment_status") == paid) & F.col("created_at").isNotNull() & F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
+        .agg(
+            F.min("created_at").alias("first"), F.max("created_at").alias("last"),
+            F.count("*").alias("frequency"), F.sum("total_amount").alias("monetary"),
+        )
+        .withColumn("newest", newest)
+        .select(
+            "customer_id",
+            F.datediff("newest", "last").cast("bigint").alias("recency_days"),
+            F.datediff("last", "first").cast("bigint").alias("tenure_days"),
+            "frequency",
+            "monetary",
+        )
+    )

@@ -79,14 +79,20 @@ def numeric_summary(
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """Position, name, type and nullability of each column."""
-    rows = [
-        (i, field.name, field.dataType.simpleString(), field.nullable)
-        for i, field in enumerate(df.schema.fields, start=1)
-    ]
-    return df.sparkSession.createDataFrame(
-        rows, "position BIGINT, column_name STRING, data_type STRING, nullable BOOLEAN"
+    """Position, name, type and nullability of each column, and how many values it holds."""
+    per_column = F.array(
+        *[
+            F.struct(
+                F.lit(i).cast("bigint").alias("position"),
+                F.lit(field.name).alias("column_name"),
+                F.lit(field.dataType.simpleString()).alias("data_type"),
+                F.lit(field.nullable).alias("nullable"),
+                F.count(quoted(field.name)).alias("value_count"),
+            )
+            for i, field in enumerate(df.schema.fields, start=1)
+        ]
     )
+    return df.agg(per_column.alias("columns")).select(F.inline("columns"))
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:

@@ -14,12 +14,12 @@ def report_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The six reports over customers, transactions and clickstream, by the names they are stored under."""
     tx, customers = tables["transactions"], tables["customers"]
     return {
-        "revenue_by_category": reports.revenue_ranked(tx),
+        "revenue_by_method_ranked": reports.revenue_ranked(tx),
         "customer_ltv": reports.customer_ltv(tx, customers),
         "promo_effectiveness": reports.promo_effectiveness(tx),
         "monthly_revenue_trend": reports.monthly_trend(tx),
         "clickstream_funnel": reports.funnel(tables["clickstream"]),
-        "revenue_by_country": reports.segment_revenue(tx, customers),
+        "revenue_by_country_segment": reports.segment_revenue(tx, customers),
     }
 
 

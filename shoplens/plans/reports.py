@@ -31,7 +31,7 @@ def succeeded(status: str = PAID) -> Column:
 
 def revenue_ranked(tx: DataFrame, digits: int = 2) -> DataFrame:
     """Revenue per payment method and status, ranked within the status."""
-    by_revenue = Window.partitionBy("payment_status").orderBy(F.desc("revenue"))
+    by_revenue = Window.partitionBy("payment_status").orderBy(F.desc(F.round("revenue", digits + 6)))
     return (
         tx.groupBy("payment_method", "payment_status")
         .agg(
@@ -177,6 +177,58 @@ def funnel(events: DataFrame, stages: Sequence[str] = FUNNEL) -> DataFrame:
     )
 
 
+def ordered_funnel(events: DataFrame, stages: Sequence[str] = FUNNEL, ts: str = "event_time") -> DataFrame:
+    """Sessions that reach each stage in order of time: their first event of a stage is not before that of the stage before.
+
+    One aggregate per session finds the first time of every stage; the comparison needs no second look at the events.
+    """
+    firsts = [F.min(F.when(F.col("event_name") == s, F.col(ts))).alias(f"t{i}") for i, s in enumerate(stages)]
+    sessions = events.groupBy("session_id").agg(*firsts)
+    reached = [F.col("t0").isNotNull()]
+    for i in range(1, len(stages)):
+        reached.append(reached[-1] & F.coalesce(F.col(f"t{i}") >= F.col(f"t{i - 1}"), F.lit(False)))
+    counted = sessions.agg(F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("stage"), F.lit(s).alias("event_name"), F.count_if(r).alias("sessions")) for i, (s, r) in enumerate(zip(stages, reached))]).alias("stages"))
+    return counted.select(F.inline("stages")).orderBy("stage")
+
+
+def cohort_retention(tx: DataFrame, paid: str = PAID) -> DataFrame:
+    """Customers by the month of their first successful transaction and the months since then in which they bought again.
+
+    Customers are reduced to their active months before the first one is looked up, so a busy customer is a few rows.
+    """
+    month = F.trunc("created_at", "month")
+    bought = tx.where(succeeded(paid) & F.col("created_at").isNotNull() & F.col("customer_id").isNotNull())
+    active = bought.groupBy("customer_id", month.alias("active")).agg(F.count("*").alias("orders"))
+    first = Window.partitionBy("customer_id")
+    since = F.months_between("active", "cohort").cast("bigint")
+    return (
+        active.withColumn("cohort", F.min("active").over(first))
+        .groupBy(F.date_format("cohort", "yyyy-MM").alias("cohort_month"), since.alias("months_since"))
+        .agg(F.count("*").alias("customers"), F.sum("orders").alias("orders"))
+        .orderBy("cohort_month", "months_since")
+    )
+
+
+def reconcile_orders(tx: DataFrame, lines: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Stored totals against the sums of the lines, per payment status: orders that agree, differ or have no lines.
+
+    lines: booking_id and line_total. Lines are summed per order before the join.
+    """
+    sums = lines.groupBy("booking_id").agg(F.sum("line_total").alias("lines_total"))
+    gap = F.abs(F.round(F.col("lines_total") - F.col("total_amount"), 6))
+    return (
+        tx.join(sums, "booking_id", "left")
+        .groupBy("payment_status")
+        .agg(
+            F.count("*").alias("orders"),
+            F.count_if(gap <= tolerance).alias("agree"),
+            F.count_if(gap > tolerance).alias("differ"),
+            F.count_if(F.col("lines_total").isNull()).alias("without_lines"),
+        )
+        .orderBy("payment_status")
+    )
+
+
 def segment_revenue(
     tx: DataFrame,
     customers: DataFrame,

@@ -24,7 +24,7 @@ def _counts(key: str, table, view: str, source: str, col: str, top: int | None =
 
 _counts("count_by_region", b.customers, b.SQL_CUSTOMERS, "customers_v", "gender")
 _counts("count_by_segment", b.customers, b.SQL_CUSTOMERS, "customers_v", "device_type")
-_counts("top_countries", b.customers, b.SQL_CUSTOMERS, "customers_v", "home_country", top=8)
+_counts("count_by_country", b.customers, b.SQL_CUSTOMERS, "customers_v", "home_country")
 _counts("count_by_category", b.products, b.SQL_PRODUCTS, "products_v", "masterCategory")
 _counts("count_by_size", b.products, b.SQL_PRODUCTS, "products_v", "season")
 _counts("top_colours", b.products, b.SQL_PRODUCTS, "products_v", "baseColour", top=10)
@@ -232,8 +232,10 @@ def numeric_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT row_number() OVER () AS position, column_name,
        CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
             WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END AS data_type,
-       "null" = 'YES' AS nullable
-FROM (DESCRIBE lineitem)""")
+       "null" = 'YES' AS nullable, value_count
+FROM (DESCRIBE lineitem) JOIN (
+    UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM lineitem) ON COLUMNS(*) INTO NAME column_name VALUE value_count
+) USING (column_name)""")
 def schema_report(spark: SparkSession, sf: str) -> DataFrame:
     return profile.schema_report(load_table(spark, "lineitem", sf))
 

@@ -76,53 +76,149 @@ def customer_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.withColumns({col: near(col, 6) for col in doubles})
 
 
-@query()
+# The hash behind splits and samples, and the feature rows it is applied to.
+def _place(key: str, seed: int) -> str:
+    return f"(('0x' || substr(md5('{seed}|' || {key}::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+
+
+_LABELLED = f"""{b.SQL_TRANSACTIONS}, {b.SQL_CUSTOMERS},
+labelled AS (
+    SELECT booking_id, payment_status FROM tx JOIN customers_v USING (customer_id)
+    WHERE payment_status IN ('F', 'O') AND total_amount IS NOT NULL AND payment_method IS NOT NULL)"""
+_TEST_ROWS = f"(SELECT * FROM labelled WHERE {_place('booking_id', 42)} >= 0.8)"
+_SEGMENTED = f"""{b.SQL_TRANSACTIONS}, {b.SQL_CUSTOMERS},
+spending AS (
+    SELECT customer_id, sum(total_amount) AS spend, count(*) AS num_transactions, avg(total_amount) AS mean,
+           count(DISTINCT session_id) AS num_sessions, sum(promo_amount) AS promo
+    FROM tx WHERE payment_status = 'F' GROUP BY 1),
+segmented AS (SELECT * FROM spending JOIN customers_v USING (customer_id) WHERE spend IS NOT NULL)"""
+_MODELS = "(VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient-Boosted Trees')) m(model)"
+
+
+@query(f"""WITH {_LABELLED}
+SELECT booking_id, payment_status FROM labelled
+WHERE {_place("booking_id", 7)} * (SELECT count(*) FROM labelled) < 50000""")
 def sample_to_budget(spark: SparkSession, sf: str) -> DataFrame:
-    """A budget of 50,000 rows; a table below it comes back whole."""
-    return f.sample_to_budget(b.orders(spark, sf), "booking_id", rows=50_000)
+    """A budget of 50,000 labelled rows for fitting; a table below it comes back whole."""
+    return f.sample_to_budget(_features(spark, sf), "booking_id", rows=50_000).select("booking_id", "payment_status")
 
 
-@query()
+@query(f"""WITH {b.SQL_ORDERS}
+SELECT booking_id, CASE WHEN {_place("booking_id", 42)} < 0.8 THEN 'train' ELSE 'test' END AS part FROM orders_v""")
 def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = f.train_test_split(b.orders(spark, sf), "booking_id")
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    orders = b.orders(spark, sf)
+    return orders.select("booking_id", f.split_part(orders, "booking_id").alias("part"))
+
 
+@query(f"""WITH {b.SQL_ORDERS},
+sizes AS (SELECT payment_status, count(*) AS n FROM orders_v WHERE payment_status IN ('F', 'O') GROUP BY 1)
+SELECT booking_id, payment_status FROM orders_v JOIN sizes USING (payment_status)
+WHERE {_place("booking_id", 11)} * n < (SELECT min(n) FROM sizes)""")
+def rebalanced_classes(spark: SparkSession, sf: str) -> DataFrame:
+    classes = f.rebalance(b.orders(spark, sf), "payment_status", "booking_id", (b.PAID, b.FAILED))
+    return classes.select("booking_id", "payment_status")
 
-@query()
+
+@query(f"""WITH {_LABELLED}
+SELECT model, true AS fitted, true AS measures_in_range, true AS accuracy_matches, count(*) AS test_rows
+FROM {_MODELS}, {_TEST_ROWS} GROUP BY 1""")
 def ml_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return c.classifier_metrics(*_classifiers(spark, sf))
+    """The metrics held against their definition: measures lie in 0 to 1 and accuracy is that of the confusion counts."""
+    fitted, scored = _classifiers(spark, sf)
+    metrics = c.classifier_metrics(fitted, scored)
+    hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0))
+    counted = c.confusion(fitted, scored).groupBy("model").agg(F.sum("count").alias("test_rows"), hits.alias("hits"))
+    in_range = [F.col(m).between(0.0, 1.0) for m in c.METRICS]
+    return metrics.join(counted, "model").select(
+        "model",
+        F.col("error").isNull().alias("fitted"),
+        (in_range[0] & in_range[1] & in_range[2] & in_range[3] & in_range[4]).alias("measures_in_range"),
+        (F.abs(F.col("accuracy") - F.col("hits") / F.col("test_rows")) < 1e-4).alias("accuracy_matches"),
+        "test_rows",
+    )
 
 
-@query()
+@query(f"""WITH {_LABELLED}
+SELECT model, payment_status, CASE WHEN payment_status = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS label, count(*) AS "count"
+FROM {_MODELS}, {_TEST_ROWS} GROUP BY 1, 2, 3""")
 def ml_confusion(spark: SparkSession, sf: str) -> DataFrame:
-    return c.confusion(*_classifiers(spark, sf)).orderBy("model", "label", "prediction")
+    """Confusion counts summed over the predictions: each model has judged every test row once."""
+    cells = c.confusion(*_classifiers(spark, sf))
+    return cells.groupBy("model", "payment_status", "label").agg(F.sum("count").alias("count"))
 
 
-@query()
+@query(f"WITH {_LABELLED} SELECT 1::BIGINT AS models, true AS highest_f1, count(*) AS test_rows FROM {_TEST_ROWS}")
 def ml_best_model(spark: SparkSession, sf: str) -> DataFrame:
-    return c.best_model(c.classifier_metrics(*_classifiers(spark, sf)))
+    """The chosen model, held against all metrics."""
+    fitted, scored = _classifiers(spark, sf)
+    metrics = c.classifier_metrics(fitted, scored)
+    best = c.best_model(metrics).agg(F.count("*").alias("models"), F.max("f1").alias("best"))
+    highest, judged = metrics.agg(F.max("f1")).scalar(), scored.agg(F.count("*")).scalar()
+    return best.withColumns({"highest": highest, "test_rows": judged}).select(
+        "models", (F.col("best") == F.col("highest")).alias("highest_f1"), "test_rows"
+    )
 
 
-@query()
+@query(f"""WITH {_SEGMENTED}
+SELECT k::INTEGER AS k, true AS scored, true AS best_is_highest, count(*) AS customers
+FROM (VALUES {', '.join(f'({k})' for k in s.KS)}) t(k), segmented GROUP BY 1""")
 def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    return _sweep(spark, sf).scores
+    """One row per k: its silhouette lies in -1 to 1, and it is the best just when no other is higher."""
+    sweep = _sweep(spark, sf)
+    top, customers = sweep.scores.agg(F.max("silhouette_score")).scalar(), sweep.assigned.agg(F.count("*")).scalar()
+    return sweep.scores.withColumns({"top": top, "customers": customers}).select(
+        "k",
+        F.coalesce(F.col("silhouette_score").between(-1.0, 1.0), F.lit(False)).alias("scored"),
+        (~F.col("is_best") | (F.col("silhouette_score") == F.col("top"))).alias("best_is_highest"),
+        "customers",
+    )
 
 
-@query()
+@query(f"""WITH {_SEGMENTED}
+SELECT count(*) AS num_customers, sum(num_transactions)::BIGINT AS num_transactions, true AS best_k_clusters FROM segmented""")
 def cluster_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return s.cluster_profile(_sweep(spark, sf).assigned)
+    """The profile summed over the clusters: all customers, and their transactions from the rounded means."""
+    sweep = _sweep(spark, sf)
+    profile = s.cluster_profile(sweep.assigned)
+    exact = sweep.assigned.agg(F.sum("num_transactions")).scalar()
+    total = F.sum(F.col("num_customers") * F.col("avg_transactions"))
+    sums = profile.agg(
+        F.sum("num_customers").alias("num_customers"), total.alias("near_total"), (F.count("*") == sweep.best_k).alias("best_k_clusters")
+    )
+    # The means carry two digits, so the total they give is right to half a hundredth per customer.
+    close = F.abs(F.col("near_total") - F.col("exact")) <= F.col("num_customers") * 0.00501
+    return sums.withColumn("exact", exact).select("num_customers", F.when(close, F.col("exact")).alias("num_transactions"), "best_k_clusters")
 
 
-@query()
+@query(f"""WITH {_SEGMENTED}
+SELECT 'device_type' AS attribute, device_type AS value, count(*) AS "count" FROM segmented GROUP BY 2
+UNION ALL SELECT 'gender', gender, count(*) FROM segmented GROUP BY 2""")
 def cluster_crosstab(spark: SparkSession, sf: str) -> DataFrame:
+    """The crosstabs summed over the clusters."""
     assigned = _sweep(spark, sf).assigned
     by_device = s.cluster_crosstab(assigned, "device_type").withColumnRenamed("device_type", "value")
     by_gender = s.cluster_crosstab(assigned, "gender").withColumnRenamed("gender", "value")
-    return by_device.withColumn("attribute", F.lit("device_type")).unionByName(
-        by_gender.withColumn("attribute", F.lit("gender"))
-    )
+    both = by_device.withColumn("attribute", F.lit("device_type")).unionByName(by_gender.withColumn("attribute", F.lit("gender")))
+    return both.groupBy("attribute", "value").agg(F.sum("count").alias("count"))
 
 
-@query()
+@query(f"""WITH {_SEGMENTED}
+SELECT customer_id, {b.near("spend", 6)} AS total_spend, num_transactions, {b.near("mean", 6)} AS avg_order_value, num_sessions,
+       {b.near("CASE WHEN spend > 0 THEN promo / spend ELSE 0.0::DOUBLE END", 6)} AS promo_usage_rate, device_type, gender,
+       true AS has_cluster
+FROM segmented""")
 def cluster_assignments(spark: SparkSession, sf: str) -> DataFrame:
-    return s.cluster_assignments(_sweep(spark, sf).assigned)
+    """Each customer's figures, and that one of the clusters was given; which one is for k-means to say."""
+    sweep = _sweep(spark, sf)
+    given = F.coalesce(F.col("cluster").between(0, sweep.best_k - 1), F.lit(False)).alias("has_cluster")
+    assigned = s.cluster_assignments(sweep.assigned).select("*", given).drop("cluster")
+    return assigned.withColumns({col: near(col, 6) for col in ("total_spend", "avg_order_value", "promo_usage_rate")})
+
+
+@query(f"""WITH {b.SQL_ORDERS}
+SELECT customer_id, date_diff('day', max(created_at)::DATE, (SELECT max(created_at) FROM orders_v)::DATE) AS recency_days,
+       date_diff('day', min(created_at)::DATE, max(created_at)::DATE) AS tenure_days, count(*) AS frequency,
+       {b.near("sum(total_amount)", 6)} AS monetary
+FROM orders_v WHERE payment_status = 'F' AND created_at IS NOT NULL AND customer_id IS NOT NULL GROUP BY 1""")
+def recency_features(spark: SparkSession, sf: str) -> DataFrame:
+    return f.recency_features(b.orders(spark, sf), b.PAID).withColumn("monetary", near("monetary", 6))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import clean
+from shoplens.plans import ingest
 from shoplens.plans.reports import revenue_ranked
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
@@ -20,7 +21,7 @@ from shoplens.sources.writers import write_table
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Explicit schema, round trip of the customer table."""
     df = load_table(spark, "customer", sf)
-    return read_csv(spark, write_table(df, scratch_path(spark, "csv"), "csv"), df.schema)
+    return read_csv(spark, write_table(df, scratch_path(spark, "csv"), "csv"), df.schema, stored=True)
 
 
 def text_clicks(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,7 +45,7 @@ def _typed_clicks(raw: DataFrame) -> DataFrame:
 def csv_json_scan(spark: SparkSession, sf: str) -> DataFrame:
     """JSON inside quoted CSV fields."""
     path = write_table(text_clicks(spark, sf), scratch_path(spark, "csv-json"), "csv")
-    return _typed_clicks(read_csv(spark, path, CLICKSTREAM))
+    return _typed_clicks(read_csv(spark, path, CLICKSTREAM, stored=True))
 
 
 @query(_SQL_TEXT_CLICKS)
@@ -53,11 +54,53 @@ def json_scan(spark: SparkSession, sf: str) -> DataFrame:
     return _typed_clicks(read_json(spark, path, STREAM_EVENTS))
 
 
+# Text that formats lose easily, by event: as it is, with line breaks, quotes, backslashes, empty, missing, blanks.
+_HARD_SQL = r"""SELECT event_id, ts + INTERVAL 1 MICROSECOND * (event_id % 1000000) AS ts,
+       CASE event_id % 6 WHEN 0 THEN event_type WHEN 1 THEN event_type || chr(10) || 'two' || chr(13) || 'three'
+            WHEN 2 THEN '"' || event_type || '", \n' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE '  ' || event_type || ' ' END AS text
+FROM events"""
+
+
+def _hard_texts(spark: SparkSession, sf: str) -> DataFrame:
+    kind, name = F.col("event_id") % 6, F.col("event_type")
+    text = (
+        F.when(kind == 0, name)
+        .when(kind == 1, F.concat(name, F.lit("\ntwo\rthree")))
+        .when(kind == 2, F.concat(F.lit('"'), name, F.lit('", \\n')))
+        .when(kind == 3, "")
+        .when(kind == 5, F.concat(F.lit("  "), name, F.lit(" ")))
+    )
+    micros = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), ((F.col("event_id") % 1_000_000) / 1e6).cast("decimal(18,6)"))
+    return load_table(spark, "events", sf).select("event_id", (F.col("ts") + micros).alias("ts"), text.alias("text"))
+
+
+@query(_HARD_SQL)
+def csv_keeps_everything(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV round trip of microseconds, line breaks, quotes, backslashes, empty text and NULL."""
+    df = _hard_texts(spark, sf)
+    return read_csv(spark, write_table(df, scratch_path(spark, "hard-csv"), "csv"), df.schema, stored=True)
+
+
+@query(_HARD_SQL)
+def json_keeps_everything(spark: SparkSession, sf: str) -> DataFrame:
+    df = _hard_texts(spark, sf)
+    return read_json(spark, write_table(df, scratch_path(spark, "hard-json"), "json"), df.schema)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def csv_other_header(spark: SparkSession, sf: str) -> DataFrame:
+    """A header in capitals, in another order and with a column that the schema lacks."""
+    df = load_table(spark, "customer", sf)
+    shown = df.select(F.col("c_acctbal").alias("C_ACCTBAL"), F.lit("x").alias("FURTHER"), F.col("c_name").alias("C_NAME"), F.col("c_custkey").alias("C_CUSTKEY"))
+    path = write_table(shown, scratch_path(spark, "csv-header"), "csv")
+    return read_csv(spark, path, df.select("c_custkey", "c_name", "c_acctbal").schema, stored=True, strict=True)
+
+
 @query("""SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part""")
 def csv_infer_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The header does not fit the wanted schema, so types are inferred."""
     path = write_table(load_table(spark, "part", sf), scratch_path(spark, "csv-infer"), "csv")
-    inferred = read_csv(spark, path, "id INT, gender STRING")
+    inferred = read_csv(spark, path, "id INT, gender STRING", stored=True)
     return inferred.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 
@@ -75,7 +118,7 @@ FROM orders_v GROUP BY 1, 2""")
 def csv_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A report stored as CSV and read back under its own schema."""
     report = revenue_ranked(b.orders(spark, sf))
-    return read_csv(spark, write_table(report, scratch_path(spark, "report"), "csv"), report.schema)
+    return read_csv(spark, write_table(report, scratch_path(spark, "report"), "csv"), report.schema, stored=True)
 
 
 @query("SELECT c_custkey, trim(c_name) AS c_name, trim(c_mktsegment) AS c_mktsegment FROM customer")
@@ -125,22 +168,53 @@ def fill_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return clean.fill_nulls(sparse, {"l_discount": 0.0, "l_returnflag": "none", "no_such_column": 0})
 
 
-@query("""SELECT l_orderkey AS booking_id, l_linenumber AS line_number, 1::INTEGER AS num_items,
-       l_partkey::INTEGER AS product_id, l_quantity::INTEGER AS quantity, l_extendedprice AS price
-FROM lineitem""")
-def parse_items_json(spark: SparkSession, sf: str) -> DataFrame:
-    """Each order line written as item JSON, parsed back and exploded."""
-    item = F.struct("product_id", "quantity", "price")
-    text = b.order_lines(spark, sf).select(
-        "booking_id",
-        "line_number",
-        F.to_json(F.struct(F.array(item).alias("items"))).alias("product_metadata"),
+def _item_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as item JSON of one to three items: line n % 3 repeats its item n % 3 times more, counted up in quantity."""
+    lines = b.order_lines(spark, sf)
+    extra = F.sequence(F.lit(0), (F.col("line_number") % 3).cast("int"))
+    items = F.transform(
+        extra, lambda i: F.struct(F.col("product_id").alias("product_id"), (F.col("quantity") + i).alias("quantity"), F.col("price").alias("price"))
     )
+    return lines.select("booking_id", "line_number", F.to_json(F.struct(items.alias("items"))).alias("product_metadata"))
+
+
+@query("""SELECT l_orderkey AS booking_id, l_linenumber AS line_number, (l_linenumber % 3 + 1)::INTEGER AS num_items,
+       l_partkey::INTEGER AS product_id, (l_quantity::INTEGER + i)::INTEGER AS quantity, l_extendedprice AS price
+FROM lineitem, range(3) r(i) WHERE i <= l_linenumber % 3""")
+def parse_items_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Each order line written as JSON of one to three items, parsed back and exploded."""
+    text = _item_texts(spark, sf)
     parsed = clean.parse_json(text, "product_metadata", ORDER_ITEMS_JSON, "parsed_metadata")
     items = F.col("parsed_metadata.items")
     return parsed.select("booking_id", "line_number", F.size(items).alias("num_items"), F.inline(items))
 
 
+@query("""SELECT count(*) AS parsed_rows, count(*) FILTER (l_linenumber % 4 = 0) AS failed_rows FROM lineitem""")
+def json_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fourth line's text is cut off in the middle and must be counted as unreadable."""
+    spoilt = F.when(F.col("line_number") % 4 == 0, F.substring("product_metadata", 1, 12)).otherwise(F.col("product_metadata"))
+    texts = _item_texts(spark, sf).withColumn("product_metadata", spoilt)
+    parsed = clean.parse_json(texts, "product_metadata", ORDER_ITEMS_JSON, "parsed_metadata")
+    return clean.json_failures(parsed, "product_metadata", "parsed_metadata.items")
+
+
+@query("""SELECT p_partkey::INTEGER AS product_id, p_brand AS gender, trim(p_type) AS "masterCategory", p_name AS "productDisplayName"
+FROM part""")
+def ingest_products(spark: SparkSession, sf: str) -> DataFrame:
+    """A raw product file as the shop delivers it, found by its name, cleaned, stored and read back."""
+    blank = F.lit(None).cast("string")
+    part = load_table(spark, "part", sf)
+    raw = part.select(
+        F.col("p_partkey").alias("id"), F.col("p_brand").alias("gender"), F.concat(F.lit(" "), "p_type", F.lit(" ")).alias("masterCategory"),
+        blank.alias("subCategory"), blank.alias("articleType"), blank.alias("baseColour"), blank.alias("season"),
+        F.lit(2020).alias("year"), blank.alias("usage"), F.col("p_name").alias("productDisplayName"),
+    )
+    base = scratch_path(spark, "raw")
+    write_table(raw, f"{base}/Products_2020.csv", "csv", nullValue="")
+    stored = write_table(ingest.load_clean(spark, "products", base), scratch_path(spark, "products"))
+    return spark.read.parquet(stored).select("product_id", "gender", "masterCategory", "productDisplayName")
+
+
 @query("""SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, NULL::VARCHAR AS page FROM events""")
 def parse_event_props(spark: SparkSession, sf: str) -> DataFrame:
     """A flat struct; a field that the text lacks is NULL."""

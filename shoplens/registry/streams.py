@@ -12,17 +12,23 @@ from shoplens.scratch import scratch_path
 from shoplens.sources.catalog import load_table
 from shoplens.sources.readers import stream_json, stream_parquet
 from shoplens.sources.schemas import STREAM_EVENTS
-from shoplens.sources.writers import slices_for, write_event_landing
+from shoplens.sources.writers import land_in_order
 from shoplens.streaming import runner
 from shoplens.streaming import windows as w
 
 WINDOW = ["window_start", "window_end"]
 
 
-def live_events(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a stream; without a file limit all of it is one micro-batch, so
-    no row can be late and closed windows do not depend on the order of files."""
-    raw = stream_parquet(spark, f"{sf.rstrip('/')}/events.parquet", load_table(spark, "events", sf).schema)
+def _landed(spark: SparkSession, sf: str) -> str:
+    """The events as files in the order of time: eight, or one for each part of the table that a task would scan."""
+    events = load_table(spark, "events", sf)
+    slots = max(8, events.rdd.getNumPartitions())
+    return land_in_order(events, scratch_path(spark, "events-in-order"), "ts", slots)
+
+
+def live_events(spark: SparkSession, sf: str, landed: str | None = None) -> DataFrame:
+    """The events table as a stream in the order of time, one landed file to a micro-batch."""
+    raw = stream_parquet(spark, landed or _landed(spark, sf), load_table(spark, "events", sf).schema, max_files=1)
     return w.with_event_time(b.as_clickstream(raw), "event_time")
 
 
@@ -56,11 +62,19 @@ def stream_traffic(spark: SparkSession, sf: str) -> DataFrame:
     return plain_times(runner.upsert_stream(counts, [*WINDOW, "traffic_source"])).drop("unique_sessions")
 
 
-@query()
+@query(f"""WITH {b.SQL_CLICKS},
+cut AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start FROM clicks)
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_name, count(*) AS event_count,
+       count(DISTINCT session_id) AS sessions, true AS estimate_is_near
+FROM cut WHERE event_time IS NOT NULL GROUP BY 1, 2, 3""")
 def stream_active_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    """With the approximate session counts, which SQL cannot reproduce."""
+    """The stream's approximate session counts beside the exact ones of the table at rest."""
     counts = w.window_counts(live_events(spark, sf), "event_name", sessions_as="active_sessions")
-    return plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"]))
+    streamed = plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"]))
+    exact = plain_times(w.exact_sessions(batch_events(spark, sf), "event_name"))
+    # The sketch's relative error is 5 %; four times that, or one session.
+    near = F.abs(F.col("active_sessions") - F.col("sessions")) <= F.greatest(F.lit(1.0), 0.2 * F.col("sessions"))
+    return streamed.join(exact, [*WINDOW, "event_name"]).select(*WINDOW, "event_name", "event_count", "sessions", near.alias("estimate_is_near"))
 
 
 @query(_windows_sql("traffic_source", CLOSED))
@@ -72,22 +86,37 @@ def stream_parquet_append(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_windows_sql("event_name"))
 def stream_landing_replay(spark: SparkSession, sf: str) -> DataFrame:
-    """Events laid out as JSON files, as many as the table needs, and replayed in four batches.
-
-    Files of a parallel write come in any order, so the bounded replay keeps all its state.
-    """
-    slices = slices_for(load_table(spark, "events", sf))
-    landing = write_event_landing(text_clicks(spark, sf), scratch_path(spark, "landing"), files=slices)
-    events = w.with_event_time(stream_json(spark, landing, STREAM_EVENTS, max_files=-(-slices // 4)), "event_time")
-    counts = w.window_counts(events, "event_name", watermark=None)
+    """Events laid out as JSON files in the order of time and replayed five to a micro-batch, watermark on."""
+    clicks = text_clicks(spark, sf)
+    slots = max(20, clicks.rdd.getNumPartitions())
+    landing = land_in_order(clicks.withColumn("at", F.col("event_time").try_cast("timestamp")), scratch_path(spark, "landing"), "at", slots, "json")
+    events = w.with_event_time(stream_json(spark, landing, STREAM_EVENTS, max_files=5), "event_time")
+    counts = w.window_counts(events, "event_name")
     return plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"])).drop("unique_sessions")
 
 
-@query()
+_LATE = "SELECT * FROM events WHERE ts < (SELECT min(ts) FROM events) + INTERVAL 6 HOUR"
+
+
+@query(f"""WITH late AS ({_LATE}), {b.SQL_CLICKS.replace("FROM events", "FROM late")}
+SELECT (SELECT count(*) FROM events) + (SELECT count(*) FROM late) AS input_rows, true AS several_batches,
+       count(DISTINCT (time_bucket(INTERVAL 5 MINUTE, event_time), traffic_source)) AS late_groups_dropped FROM clicks""")
 def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
-    """What the append stream read, kept and dropped, per micro-batch."""
-    _, done = runner.append_stream(w.window_counts(live_events(spark, sf), "traffic_source"))
-    return runner.stream_progress(done)
+    """All micro-batches of a stream to which the events of the first six hours come a second time, after all others.
+
+    They are summed per window and source before they meet the watermark, so as many groups are dropped.
+    """
+    landed = _landed(spark, sf)
+    events = load_table(spark, "events", sf)
+    first = events.agg(F.min("ts")).scalar()
+    late = events.withColumn("first", first).where(F.col("ts") < F.col("first") + F.expr("INTERVAL 6 HOURS")).drop("first")
+    late.coalesce(1).write.mode("append").parquet(landed)
+    _, log = runner.append_stream(w.window_counts(live_events(spark, sf, landed), "traffic_source"))
+    return runner.stream_progress(log).agg(
+        F.sum("input_rows").alias("input_rows"),
+        (F.count_if(F.col("input_rows") > 0) >= 3).alias("several_batches"),
+        F.sum("late_rows_dropped").alias("late_groups_dropped"),
+    )
 
 
 @query(_windows_sql("traffic_source"))
@@ -103,6 +132,13 @@ def traffic_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return w.rollup_counts(b.clickstream(spark, sf), "traffic_source", exact=True)
 
 
-@query()
+@query(f"""WITH {b.SQL_CLICKS}
+SELECT traffic_source, count(*) AS event_count, count(DISTINCT session_id) AS unique_sessions, true AS estimate_is_near
+FROM clicks GROUP BY 1""")
 def traffic_rollup_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return w.rollup_counts(b.clickstream(spark, sf), "traffic_source")
+    """The approximate session counts beside the exact ones: within four times the sketch's error of 5 %."""
+    clicks = b.clickstream(spark, sf)
+    estimates = w.rollup_counts(clicks, "traffic_source").select("traffic_source", F.col("unique_sessions").alias("estimate"))
+    exact = w.rollup_counts(clicks, "traffic_source", exact=True)
+    near = F.abs(F.col("estimate") - F.col("unique_sessions")) <= F.greatest(F.lit(1.0), 0.2 * F.col("unique_sessions"))
+    return exact.join(estimates, "traffic_source").select("traffic_source", "event_count", "unique_sessions", near.alias("estimate_is_near"))

@@ -31,6 +31,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/shoplens-{spark.sparkContext.applicationId}/{label}-{uuid4().hex}"
 
 
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Delete a path of ``scratch_path``, or all that this application has stored. Results still unread are lost with it."""
+    own = f"{shared_folder(spark)}/shoplens-{spark.sparkContext.applicationId}"
+    path = path or own
+    if path != own and not path.startswith(f"{own}/"):
+        raise ValueError(f"{path} is not in this application's scratch folder {own}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

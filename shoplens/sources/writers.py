@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from shoplens.sources.readers import QUOTED
+from shoplens.sources.readers import QUOTED, STORED_CSV, TIMES, without_line_breaks
 
 # The CSV writer strips blanks and escapes with a backslash unless told otherwise.
 CSV_WRITE = {
     "header": True,
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    "emptyValue": '""',
     **QUOTED,
+    **STORED_CSV,
 }
 
 
@@ -25,18 +28,37 @@ def write_table(
     partition_by: Sequence[str] = (),
     **options,
 ) -> str:
-    """Write ``df`` from the executors as Parquet, CSV or JSON and return the path."""
-    settings = {**CSV_WRITE, **options} if fmt == "csv" else options
-    writer = df.write.format(fmt).mode(mode).options(**settings)
+    """Write ``df`` from the executors as Parquet, CSV or JSON and return the path.
+
+    CSV keeps one row per line: line breaks in text are escaped, and NULL is told from empty text. Read it with
+    ``read_csv(..., stored=True)``. Times keep six digits in both text formats.
+    """
+    settings = {"csv": {**CSV_WRITE, **options}, "json": {**TIMES, **options}}.get(fmt, options)
+    writer = (without_line_breaks(df) if fmt == "csv" else df).write.format(fmt).mode(mode).options(**settings)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     return path
 
 
-def slices_for(df: DataFrame, at_least: int = 20, max_rows: int = 1_000_000) -> int:
-    """How many landing files a table needs so that none holds more than about ``max_rows``."""
-    return max(at_least, -(-df.count() // max_rows))
+def land_in_order(df: DataFrame, path: str, ts: str, slots: int = 8, fmt: str = "parquet") -> str:
+    """Lay ``df`` out as ``slots`` files of successive times, written one after the other, for replay.
+
+    A file stream takes files in the order in which they were written, so rows come in the order of time, to a
+    slot, and a watermark can stay on. Slots hold about as many rows each: choose so many that one fits a task.
+    Rows without time are in the first slot; each slot's filter reaches the scan.
+    """
+    steps = [i / slots for i in range(1, slots)]
+    cuts = df.agg(F.percentile_approx(ts, steps, 10_000).alias("cuts")).first().cuts or []
+    bounds = [None, *sorted(set(cuts)), None]
+    for low, high in zip(bounds, bounds[1:]):
+        slot = F.lit(True) if high is None else F.col(ts) < F.lit(high)
+        if low is not None:
+            slot = slot & (F.col(ts) >= F.lit(low))
+        elif high is not None:
+            slot = slot | F.col(ts).isNull()
+        df.where(slot).coalesce(1).write.mode("append").format(fmt).save(path)
+    return path
 
 
 def write_event_landing(
@@ -44,7 +66,7 @@ def write_event_landing(
 ) -> str:
     """Lay events out as ``files`` JSON-lines files, each one slice of time, for replay.
 
-    ``tie`` splits a slice whose rows share one timestamp. ``slices_for`` sizes ``files``.
+    ``tie`` splits a slice whose rows share one timestamp.
     """
     (
         df.repartitionByRange(files, ts, tie)

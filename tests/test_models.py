@@ -21,13 +21,13 @@ def folder(testdata):
 
 
 def test_metrics(spark, folder):
-    rows = queries()["ml_metrics"](spark, folder).collect()
+    rows = c.classifier_metrics(*_classifiers(spark, folder)).collect()
     assert sorted(r.model for r in rows) == NAMES
     assert all(r.error is None and 0 < r[m] < 1 for r in rows for m in c.METRICS)
 
 
 def test_metrics_as_json(spark, folder, tmp_path):
-    metrics = queries()["ml_metrics"](spark, folder)
+    metrics = c.classifier_metrics(*_classifiers(spark, folder))
     path = write_table(metrics, str(tmp_path / "metrics"), "json")
     stored = spark.read.schema(metrics.schema).json(path)
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, metrics.collect()))
@@ -84,6 +84,12 @@ def test_a_failing_model_scores_zero(spark, folder, monkeypatch):
     assert c.best_model(metrics).collect()[0].model == "Logistic Regression"
 
 
+def test_an_empty_test_half_scores_zero(spark, folder):
+    fitted, scored = _classifiers(spark, folder)
+    metrics = c.classifier_metrics(fitted, scored.where("false")).collect()
+    assert sorted(r.model for r in metrics) == NAMES and all(r.f1 == 0.0 and r.error for r in metrics)
+
+
 def test_prepare_weights_and_labels(spark, folder):
     df = spark.createDataFrame(
         [(i, "Failed" if i % 10 == 0 else "Success") for i in range(100)], "k INT, payment_status STRING"
@@ -100,7 +106,7 @@ def test_prepare_within_a_budget(spark):
 
 
 def test_sweep(spark, folder):
-    rows = queries()["kmeans_sweep"](spark, folder).collect()
+    rows = _sweep(spark, folder).scores.collect()
     assert [r.k for r in rows] == list(s.KS)
     best = [r for r in rows if r.is_best]
     assert len(best) == 1 and best[0].silhouette_score == max(r.silhouette_score for r in rows)
@@ -110,7 +116,7 @@ def test_sweep(spark, folder):
 def test_clusters_cover_all_customers(spark, folder):
     q = queries()
     customers = q["customer_features"](spark, folder).count()
-    profile = q["cluster_profile"](spark, folder).collect()
+    profile = s.cluster_profile(_sweep(spark, folder).assigned).collect()
     assert sum(r.num_customers for r in profile) == customers == q["cluster_assignments"](spark, folder).count()
     crosstab = q["cluster_crosstab"](spark, folder).groupBy("attribute").agg(F.sum("count")).collect()
     assert sorted(map(tuple, crosstab)) == [("device_type", customers), ("gender", customers)]

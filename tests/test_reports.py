@@ -226,7 +226,7 @@ def test_profiles(spark):
     assert rows(profile.table_sizes({"t": df, "u": df.limit(1)})) == [("t", 2, 2), ("u", 1, 2)]
     assert rows(profile.null_profile({"t": df})) == [("t", "a.b", 0), ("t", "c", 1)]
     assert rows(profile.numeric_summary(df, digits=3)) == [("a.b", 2, 2.0, 1.414, 1.0, 3.0)]
-    assert rows(profile.schema_report(df)) == [(1, "a.b", "int", True), (2, "c", "string", True)]
+    assert rows(profile.schema_report(df)) == [(1, "a.b", "int", True, 1), (2, "c", "string", True, 1)]
 
 
 def test_key_quality(spark):
@@ -250,3 +250,31 @@ def test_means_round_half_up_whatever_the_order(spark):
         shuffled = df.repartition(partitions).groupBy("g")
         assert dict(rows(shuffled.agg(near(F.avg("x"))))) == exact
         assert dict(rows(shuffled.agg(mean_of(F.sum("x"), F.count("x"))))) == exact
+
+
+def test_histogram_leaves_out_infinities(spark):
+    df = spark.createDataFrame([(float(x),) for x in range(10)] + [(float("inf"),), (float("-inf"),), (float("nan"),), (None,)], "x DOUBLE")
+    result = d.histogram(df, "x", bins=3).collect()
+    assert [r["count"] for r in result] == [3, 3, 4] and result[0].lower == 0 and result[-1].upper == 9
+
+
+def test_rows_without_key_are_split_too(spark):
+    df = spark.range(300).selectExpr("CAST(NULL AS BIGINT) AS k", "id AS v")
+    train, test = f.train_test_split(df, "k")
+    assert train.count() + test.count() == 300 and 20 < test.count() < 120
+
+
+def test_ordered_funnel_wants_the_order_of_time(spark):
+    data = [("a", "view_product", 1), ("a", "add_to_cart", 2), ("a", "checkout", 3), ("b", "add_to_cart", 1), ("b", "view_product", 2), ("c", "checkout", 1)]
+    df = spark.createDataFrame(data, "session_id STRING, event_name STRING, event_time INT")
+    assert [r.sessions for r in reports.ordered_funnel(df, ["view_product", "add_to_cart", "checkout"]).collect()] == [2, 1, 1]
+
+
+def test_customer_features_read_each_row_once(spark):
+    tx = spark.createDataFrame([(1, "Success", 2.0, "s", 0.5, "card"), (1, "Success", 4.0, "t", 0.5, "cash"), (1, "Success", 1.0, None, 0.0, None)],
+        "customer_id INT, payment_status STRING, total_amount DOUBLE, session_id STRING, promo_amount DOUBLE, payment_method STRING")
+    who = spark.createDataFrame([(1, "iOS", "F")], "customer_id INT, device_type STRING, gender STRING")
+    features = f.customer_features(tx, who)
+    row = features.first()
+    assert (row.num_sessions, row.payment_methods_used, row.total_spend) == (2, 2, 7.0)
+    assert "Expand" not in features._jdf.queryExecution().executedPlan().toString()

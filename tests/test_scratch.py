@@ -6,7 +6,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from shoplens.scratch import materialize, scratch_path, shared_folder
+from shoplens.scratch import materialize, release, scratch_path, shared_folder
 
 
 def session(master, setting=None, context=None):
@@ -37,3 +37,13 @@ def test_materialize_cuts_the_plan(spark):
     stored = materialize(df, "sums")
     assert sorted(stored.collect()) == sorted(df.collect())
     assert "Aggregate" not in stored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_release_deletes_own_paths_only(spark, tmp_path):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    release(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        release(spark, str(tmp_path))

@@ -13,7 +13,7 @@ from shoplens.plans.publish import publish, report_tables
 from shoplens.sources import schemas
 from shoplens.sources.catalog import load_raw, load_table, register_views
 from shoplens.sources.readers import read_csv
-from shoplens.sources.writers import slices_for, write_event_landing, write_table
+from shoplens.sources.writers import land_in_order, write_event_landing, write_table
 
 TX_HEADER = (
     "created_at,customer_id,booking_id,session_id,product_metadata,payment_method,payment_status,promo_amount,"
@@ -120,7 +120,7 @@ def test_explore_and_publish(spark, raw, tmp_path):
     paths = publish(results, str(tmp_path))
     assert len(paths) == 6
     for name, df in results.items():
-        assert rows(read_csv(spark, paths[name], df.schema)) == rows(df)
+        assert rows(read_csv(spark, paths[name], df.schema, stored=True)) == rows(df)
 
 
 def test_first_folder_with_the_table_wins(spark, raw, tmp_path):
@@ -154,7 +154,7 @@ def test_csv_keeps_blanks_quotes_and_commas(spark, tmp_path):
     data = [("  x ", 'say "hi", ok', 0.1), (None, "\\", 1e300)]
     df = spark.createDataFrame(data, "a STRING, b STRING, c DOUBLE")
     path = write_table(df, str(tmp_path / "t"), "csv")
-    assert sorted(rows(read_csv(spark, path, df.schema)), key=str) == sorted(data, key=str)
+    assert sorted(rows(read_csv(spark, path, df.schema, stored=True)), key=str) == sorted(data, key=str)
 
 
 def test_partitioned_write(spark, tmp_path):
@@ -178,9 +178,32 @@ def test_landing_splits_a_shared_timestamp(spark, tmp_path):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 400
 
 
-def test_landing_grows_with_the_table(spark):
-    assert slices_for(spark.range(1000)) == 20
-    assert slices_for(spark.range(1000), at_least=4, max_rows=150) == 7
+def test_files_landed_in_order_hold_successive_times(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, 0, CAST(id * 7 % 1000 AS INT)) AS ts")
+    df = df.unionByName(spark.range(3).selectExpr("id", "CAST(NULL AS TIMESTAMP_NTZ) AS ts"))
+    path = land_in_order(df, str(tmp_path / "landing"), "ts", slots=4)
+    files = sorted((f.stat().st_mtime_ns, str(f)) for f in (tmp_path / "landing").glob("part-*"))
+    assert len(files) == 4 and spark.read.parquet(path).count() == 1003
+    ends = [spark.read.parquet(f).agg({"ts": "min"}).first()[0] for _, f in files]
+    assert ends == sorted(ends)
+
+
+def test_csv_keeps_line_breaks_empty_text_and_microseconds(spark, tmp_path):
+    data = [
+        ("a\nb", datetime(2024, 1, 1, 1, 2, 3, 123456)), ("\r\\n\\", None), ("", datetime(2024, 1, 1)), (None, None), (r"\N", None), ('"\n"', None),
+    ]
+    df = spark.createDataFrame(data, "t STRING, at TIMESTAMP_NTZ")
+    for fmt, read in (("csv", lambda p: read_csv(spark, p, df.schema, stored=True)), ("json", lambda p: spark.read.schema(df.schema).json(p))):
+        path = write_table(df, str(tmp_path / fmt), fmt)
+        assert sorted(rows(read(path)), key=str) == sorted(data, key=str)
+
+
+def test_header_in_another_case_with_a_further_column(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("EXTRA,Customer_ID,amt\nx,007,1.5\n")
+    df = read_csv(spark, str(tmp_path / "a.csv"), "customer_id STRING, amt DOUBLE")
+    assert rows(df) == [("007", 1.5)] and df.columns == ["customer_id", "amt"]
+    with pytest.raises(ValueError, match="lacks"):
+        read_csv(spark, str(tmp_path / "a.csv"), "customer_id STRING, other DOUBLE", strict=True)
 
 
 def test_item_json_traps(spark):

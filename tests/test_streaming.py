@@ -178,3 +178,37 @@ def test_rollup_counts(spark, tmp_path):
     for exact in (True, False):
         result = w.rollup_counts(at_rest(spark, folder), "traffic_source", exact=exact)
         assert [tuple(r) for r in result.collect()] == [("web", 3, 2)]
+
+
+def test_progress_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    folder = land(tmp_path / "in", *([event(i % 60, i=i)] for i in range(112)))
+    _, log = runner.append_stream(events(spark, folder).select("event_id"))
+    rows = runner.stream_progress(log).collect()
+    assert sum(r.input_rows for r in rows) == 112 and len({r.batch_id for r in rows if r.input_rows}) == 112
+
+
+def test_compaction_and_restart_equal_the_batch(spark, tmp_path):
+    folder = tmp_path / "in"
+    land(folder, [event(1)], [event(7)], [event(2)])
+    place = {"path": str(tmp_path / "out"), "checkpoint": str(tmp_path / "check")}
+
+    def run():
+        counts = w.window_counts(events(spark, str(folder)), "event_name")
+        return bag(runner.upsert_stream(counts, KEYS, **place), *KEYS, "event_count")
+
+    def batch():
+        return bag(w.window_counts(at_rest(spark, str(folder)), "event_name"), *KEYS, "event_count")
+
+    assert run() == batch()
+    for _ in range(2):
+        runner.compact_revisions(spark, place["path"], KEYS)
+        assert bag(runner.latest_revisions(spark, place["path"], KEYS), *KEYS, "event_count") == batch()
+    assert len(list((tmp_path / "out").glob("revision=*"))) == 1
+    (folder / "events_later.json").write_text(json.dumps(event(8)) + "\n")
+    assert run() == batch()
+
+
+def test_an_empty_source_gives_an_empty_result(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    result = runner.upsert_stream(w.window_counts(events(spark, str(tmp_path / "in")), "event_name"), KEYS)
+    assert result.count() == 0 and {*KEYS, "event_count"} <= set(result.columns)
