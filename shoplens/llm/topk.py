@@ -170,7 +170,7 @@ def _searched(lists_: DataFrame, block: _Block, k: int, lists: int) -> DataFrame
     )
     sums = given.groupBy("query", "row", "id").agg(F.sum("score").alias("seen"), F.count("*").alias("n"))
     # A part that was not given is at most one less than the share, rounded up.
-    share = F.ceil(F.col("cutoff") / lists)
+    share = F.expr(f"(cutoff + {lists - 1} - pmod(cutoff + {lists - 1}, {lists}L)) div {lists}")  # rounded up
     bounded = materialize(
         sums.join(F.broadcast(limits), "query").where(F.col("seen") + (lists - F.col("n")) * (share - 1) >= F.col("cutoff")),
         "bounded",
