@@ -116,7 +116,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     classes = fps.join(named, F.col("fp") == F.col("node"), "left").select(
         "fp", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component")
     )
-    return marked.join(classes, "fp").select("key", "fp", "component")
+    # Stored, so that both sides of the join are plain shuffles and Spark may split a fingerprint with many rows.
+    return marked.join(materialize(classes, "classes"), "fp").select("key", "fp", "component")
 
 
 def hex_digits(fp: Column) -> Column:
