@@ -151,9 +151,15 @@ class Lattice:
         self.first = np.searchsorted(start, np.arange(len(letter_of) + 1))
         self.start, self.end = start, end
         self.p = np.exp(self.logp)
-        upto = np.cumsum(self.p)
-        self.upto = upto - (upto - self.p)[self.first[start]]
         self.last = self.first[1:] - 1
+        # Running sums inside each node, added up in the node's own order, so that they do not depend on its neighbours.
+        self.upto = self.p.copy()
+        at = self.first[:-1] + 1
+        at = at[at <= self.last]
+        while len(at):
+            self.upto[at] += self.upto[at - 1]
+            at = at + 1
+            at = at[(at < len(start)) & (start[np.minimum(at, len(start) - 1)] == start[at - 1])]
 
     def draw(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An arc out of each node, by its probability: the first whose running sum is above u."""
@@ -319,9 +325,8 @@ def _leave(wanted: list[tuple], sample: int, lattice: Lattice, word, place, seed
         flat = np.concatenate(arcs)
         sizes = ends - starts
         logp = lattice.logp[flat]
-        upto = np.cumsum(logp)
-        shift = np.array([mass for _, _, mass in now]) - (upto[starts] - logp[starts])
-        before = upto - logp + np.repeat(shift, sizes)
+        # Masses are added up text by text, so that a text's samples do not depend on those around it.
+        before = np.concatenate([mass + np.cumsum(logp[a:b]) - logp[a:b] for (_, _, mass), a, b in zip(now, starts, ends)])
         special = {}
         for (i, a, _), start in zip(now, starts.tolist()):
             t, at, old = wanted[i]
