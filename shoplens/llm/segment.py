@@ -39,7 +39,7 @@ from shoplens.llm.tables import pick
 
 SAMPLES = 2
 #: Letters of the texts that are segmented together.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Nodes whose sets are valued at a time, and how far above its log-mass a Gumbel value can be: the largest
 #: number of ``_uniform`` is 1 - 2^-54.
 BLOCK, HIGHEST = 512, 37.5
