@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.columns import as_col, count_where, mean_of, near, percent
+from shoplens.scratch import materialize
 
 # Weekday numbers as Spark counts them.
 DAY_NAMES = {1: "Sun", 2: "Mon", 3: "Tue", 4: "Wed", 5: "Thu", 6: "Fri", 7: "Sat"}
@@ -19,6 +20,23 @@ def value_counts(df: DataFrame, *cols: str, top: int | None = None, name: str =
     return counts.limit(top) if top else counts
 
 
+def counts_of(df: DataFrame, *groups: Sequence[str]) -> list[DataFrame]:
+    """Rows per combination of values of each group of columns, all from one scan.
+
+    Grouping sets count every group at once, combined within the tasks; the counts are stored, and each
+    group's are read from there. Order as in ``value_counts``.
+    """
+    cols = list(dict.fromkeys(c for group in groups for c in group))
+    counted = df.groupingSets([list(g) for g in groups], *cols).agg(F.count("*").alias("count"), F.grouping_id().alias("_set"))
+    stored = materialize(counted, "counts")
+    found = []
+    for group in groups:
+        left_out = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in group)
+        mine = stored.where(F.col("_set") == left_out).select(*group, "count")
+        found.append(mine.orderBy(F.desc("count"), *group))
+    return found
+
+
 def breakdown(df: DataFrame, outer: str, inner: str, name: str = "count") -> DataFrame:
     """Counts of ``inner`` within ``outer``: by outer value, then most frequent first."""
     return df.groupBy(outer, inner).agg(F.count("*").alias(name)).orderBy(outer, F.desc(name), inner)

@@ -278,3 +278,10 @@ def test_customer_features_read_each_row_once(spark):
     row = features.first()
     assert (row.num_sessions, row.payment_methods_used, row.total_spend) == (2, 2, 7.0)
     assert "Expand" not in features._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_of_several_groups_equal_single_counts(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), (None, 1, "x"), ("b", None, "y")], "p STRING, q INT, r STRING")
+    groups = [["p"], ["q"], ["p", "r"]]
+    for group, found in zip(groups, d.counts_of(df, *groups)):
+        assert found.collect() == d.value_counts(df, *group).collect()
