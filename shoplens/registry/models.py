@@ -13,9 +13,9 @@ from shoplens.operators.clean import present
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
 
-# One fit per session and folder serves all the queries that report on it.
-_fitted: dict[tuple[str, str], tuple[c.Classifiers, DataFrame]] = {}
-_swept: dict[tuple[str, str], s.Sweep] = {}
+# One fit per session and state of the tables serves all the queries that report on it.
+_fitted: dict[tuple, tuple[c.Classifiers, DataFrame]] = {}
+_swept: dict[tuple, s.Sweep] = {}
 
 
 def forget_fits() -> None:
@@ -24,6 +24,16 @@ def forget_fits() -> None:
     _swept.clear()
 
 
+def _state(spark: SparkSession, sf: str) -> tuple:
+    """Changes when a table behind the features is written anew: its files with their sizes and times."""
+    found = []
+    for table in ("orders", "lineitem", "customer", "nation", "region"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{table}.parquet")
+        for status in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return spark.sparkContext.applicationId, tuple(sorted(found))
+
+
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     return f.classification_features(
         b.transactions(spark, sf), b.customers(spark, sf), (b.PAID, b.FAILED), keep=["booking_id"]
@@ -31,7 +41,7 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _classifiers(spark: SparkSession, sf: str) -> tuple[c.Classifiers, DataFrame]:
-    key = (spark.sparkContext.applicationId, sf)
+    key = _state(spark, sf)
     if key not in _fitted:
         train, test = c.prepare(_features(spark, sf), "booking_id", b.FAILED, (b.PAID, b.FAILED))
         fitted = c.fit_classifiers(train)
@@ -40,7 +50,7 @@ def _classifiers(spark: SparkSession, sf: str) -> tuple[c.Classifiers, DataFrame
 
 
 def _sweep(spark: SparkSession, sf: str) -> s.Sweep:
-    key = (spark.sparkContext.applicationId, sf)
+    key = _state(spark, sf)
     if key not in _swept:
         _swept[key] = s.kmeans_sweep(f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID))
     return _swept[key]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shoplens.ml import classification as c
 from shoplens.ml import segmentation as s
 from shoplens.registry import queries
-from shoplens.registry.models import _classifiers, _sweep
+from shoplens.registry.models import _classifiers, _state, _sweep
 from shoplens.sources.writers import write_table
 
 NAMES = ["Gradient-Boosted Trees", "Logistic Regression", "Random Forest"]
@@ -99,6 +99,15 @@ def test_prepare_weights_and_labels(spark, folder):
     assert sorted(map(tuple, rows)) == [(0.0, 0.5556, "Success"), (1.0, 5.0, "Failed")]
 
 
+def test_tables_written_anew_are_another_state(spark, folder, tmp_path):
+    for name in ("orders", "lineitem", "customer", "nation", "region"):
+        spark.range(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    before = _state(spark, str(tmp_path))
+    assert _state(spark, str(tmp_path)) == before
+    spark.range(4).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    assert _state(spark, str(tmp_path)) != before
+
+
 def test_prepare_within_a_budget(spark):
     df = spark.range(20_000).selectExpr("id AS k", "if(id % 4 = 0, 'Failed', 'Success') AS payment_status")
     train, test = c.prepare(df, "k", budget=2_000)
