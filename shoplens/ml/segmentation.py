@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -79,6 +80,21 @@ def kmeans_sweep(
     return Sweep(table, best_k, best.transform(scaled).drop("raw_features", "features"))
 
 
+def gaussian_mixture(features: DataFrame, cols: Sequence[str] = CUSTOMER_FEATURES, k: int = DEFAULT_K, seed: int = 42) -> DataFrame:
+    """Soft segments: ``features`` with the likeliest of k Gaussian components and its probability."""
+    stored = materialize(features, "customer-features")
+    steps = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=list(cols), outputCol="raw_features"),
+            StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=False),
+        ]
+    ).fit(stored)
+    scaled = steps.transform(stored)
+    model = GaussianMixture(featuresCol="features", predictionCol="cluster", probabilityCol="chances", k=k, seed=seed, maxIter=20).fit(scaled)
+    chance = F.array_max(vector_to_array("chances"))
+    return model.transform(scaled).withColumn("probability", chance).drop("raw_features", "features", "chances")
+
+
 def cluster_profile(assigned: DataFrame) -> DataFrame:
     """Size and mean behaviour of each cluster."""
     return (

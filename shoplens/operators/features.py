@@ -119,6 +119,11 @@ def split_part(df: DataFrame, key: str | Sequence[str], frac: float = 0.8, seed:
     return F.when(_place(df, key, seed) < frac, "train").otherwise("test")
 
 
+def fold_of(df: DataFrame, key: str | Sequence[str], folds: int = 3, seed: int = 5) -> Column:
+    """The fold, from 0, that a hash of the key puts each row in."""
+    return F.floor(_place(df, key, seed) * folds).cast("int")
+
+
 def _place(df: DataFrame, key: str | Sequence[str], seed: int) -> Column:
     """Hash of the key, which may be several columns; rows without any of them are spread by all their values."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -232,3 +232,20 @@ SELECT customer_id, date_diff('day', max(created_at)::DATE, (SELECT max(created_
 FROM orders_v WHERE payment_status = 'F' AND created_at IS NOT NULL AND customer_id IS NOT NULL GROUP BY 1""")
 def recency_features(spark: SparkSession, sf: str) -> DataFrame:
     return f.recency_features(b.orders(spark, sf), b.PAID).withColumn("monetary", near("monetary", 6))
+
+
+@query(f"""WITH {_LABELLED}
+SELECT floor({_place("booking_id", 5)} * 3)::INTEGER AS fold, count(*) AS test_rows, true AS measures_in_range FROM labelled GROUP BY 1""")
+def cross_validation(spark: SparkSession, sf: str) -> DataFrame:
+    folds = c.cross_validate(_features(spark, sf), "booking_id", positive=b.FAILED, classes=(b.PAID, b.FAILED))
+    in_range = F.col("f1").between(0.0, 1.0) & F.col("accuracy").between(0.0, 1.0)
+    return folds.select("fold", "test_rows", in_range.alias("measures_in_range"))
+
+
+@query(f"""WITH {_SEGMENTED}
+SELECT customer_id, num_transactions, num_sessions, device_type, gender, true AS has_component FROM segmented""")
+def gaussian_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer with a component whose probability is at least an equal share."""
+    segments = s.gaussian_mixture(f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID))
+    sound = F.col("cluster").between(0, s.DEFAULT_K - 1) & F.col("probability").between(1 / s.DEFAULT_K - 1e-9, 1 + 1e-9)
+    return segments.select("customer_id", "num_transactions", "num_sessions", "device_type", "gender", sound.alias("has_component"))
