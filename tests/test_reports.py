@@ -226,7 +226,7 @@ def test_profiles(spark):
     assert rows(profile.table_sizes({"t": df, "u": df.limit(1)})) == [("t", 2, 2), ("u", 1, 2)]
     assert rows(profile.null_profile({"t": df})) == [("t", "a.b", 0), ("t", "c", 1)]
     assert rows(profile.numeric_summary(df, digits=3)) == [("a.b", 2, 2.0, 1.414, 1.0, 3.0)]
-    assert rows(profile.schema_report(df)) == [(1, "a.b", "int", True, 1), (2, "c", "string", True, 1)]
+    assert rows(profile.schema_report(df)) == [(1, "a.b", "int", True, 2), (2, "c", "string", True, 1)]
 
 
 def test_key_quality(spark):
