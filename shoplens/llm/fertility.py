@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.tables import pick
+from shoplens.llm.tables import parts, pick
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: A vocabulary file is broadcast; larger ones are refused.
@@ -171,7 +171,7 @@ def measure(
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _cutter(shared.value)
-        for batch in batches:
+        for batch in parts(batches):
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             found = list(zip(*(judge(x, known, cutter) for x, known in zip(texts, langs)))) or [()] * (len(names) - 1)
             types = [pa.int64()] * 6 + [pa.float64()] * 3 + [pa.string()] + [pa.bool_()] * 2

@@ -26,10 +26,13 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.llm.tables import parts
+
 BASE = ["email", "ip", "card", "phone"]
 KINDS = [*BASE, "iban", "ssn", "secret"]
 REACH, AFTER = 48, 16
@@ -182,16 +185,17 @@ def mask(text: str | None) -> str | None:
     return "".join([*out, text[done:]])
 
 
-@F.pandas_udf(T.StringType())
-def masked(texts: pd.Series) -> pd.Series:
-    """Column of the texts with their spans masked; null stays null."""
-    return pd.Series([mask(x) for x in texts], dtype=object)
-
-
 def mask_texts(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
     """``docs`` with masked texts, and with their new length where there is a column for it. All rows stay."""
     at = docs.columns.index(text)
-    rows = docs.toDF(*(f"_{i}" for i in range(len(docs.columns)))).withColumn(f"_{at}", masked(f"_{at}"))
+    rows = docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))
+
+    def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            texts = pa.array([mask(x) for x in batch.column(at).to_pylist()], type=batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
+
+    rows = rows.mapInArrow(replaced, rows.schema)
     if length in docs.columns:
         n = docs.columns.index(length)
         rows = rows.withColumn(f"_{n}", F.length(f"_{at}").cast(docs.schema[n].dataType))

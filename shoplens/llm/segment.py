@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.llm.fertility import VOCABULARY, read_vocabulary
-from shoplens.llm.tables import pick
+from shoplens.llm.tables import parts, pick
 
 SAMPLES = 2
 #: Letters of the texts that are segmented together.
@@ -414,7 +414,7 @@ def sampled(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _vocabulary(shared.value)
-        for batch in batches:
+        for batch in parts(batches):
             texts = [x or "" for x in batch.column("text").to_pylist()]
             keys = batch.column("key").to_pylist()
             for part in _chunks(texts):

@@ -15,10 +15,10 @@ there. That is exact too, and takes 65 rows for a fingerprint however many share
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm import golay
 from shoplens.llm.components import stars
-from shoplens.llm.tables import pick
+from shoplens.llm.tables import parts, pick
 from shoplens.scratch import materialize
 
 SHINGLE, SEED = 3, 42
@@ -35,7 +35,7 @@ SEGMENTS = (22, 21, 21)
 #: Fingerprints that share a key and are compared pair by pair.
 PAIRWISE = 64
 #: Hashes whose bits are counted at a time.
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -59,11 +59,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, fp (a signed long with the 64 bits) of every row. A null text is an empty one."""
 
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(x) for x in texts], dtype=np.uint64).view(np.int64))
+    rows = pick(docs, key=key, text=text)
 
-    return pick(docs, key=key, text=text).select("key", of("text").alias("fp"))
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            fps = np.array([fingerprint(x) for x in batch.column("text").to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fps.view(np.int64))], ["key", "fp"])
+
+    return rows.mapInArrow(marked, f"key {rows.schema['key'].dataType.simpleString()}, fp long")
 
 
 def _filed(batches):
