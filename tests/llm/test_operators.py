@@ -148,6 +148,7 @@ def test_toxic_stems_are_known_in_new_words(spark, make, words):
         docs.append((i, text, "en", "a"))
         labels.append((i, int(bad), 1))
     table = spark.createDataFrame([*labels, (None, 1, 0), (5, None, 0), (7, 9, 0)], "doc_id BIGINT, toxic INT, quality INT")
+    docs += [(20_000 + i, prose(words, 5, -i), "en", "a") for i in range(600)]  # whole slices without a label
     docs += [(None, None, None, None), (10_000, "", "en", "a"), (10_001, "zzvexqnew " + prose(words, 30, 1), "en", "a"), (10_002, "?!", "en", "b")]
     rows = {r.key: r.score for r in toxicity.score(make(docs), toxicity.fit(make(docs), table)).collect()}
     # A stem in a form never seen is far more suspect than a text without it; the words here are few and the texts small.
