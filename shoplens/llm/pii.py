@@ -76,7 +76,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_SECRET = re.compile(r"""\b(?:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?([^\s"']{8,200})""", re.IGNORECASE)
+_SECRET = re.compile(r"""\b(?:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?([^\s"']{8,})""", re.IGNORECASE)
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 

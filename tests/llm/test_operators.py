@@ -74,6 +74,12 @@ def test_pii_is_linear_on_long_runs():
         pii.find(text)
 
 
+def test_long_secrets_are_masked_whole():
+    for value in ("a1" * 500, "x" * 600 + "7" + "y" * 399):
+        assert [s[:3] for s in pii.find(f"the token={value} ends")] == [("secret", 10, 1010)]
+        assert pii.mask(f"the token={value} ends") == "the token=[SECRET] ends"
+
+
 def test_masking_keeps_rows_and_columns(spark, make, odd):
     df = make([*odd, (9, "mail a@b.org now", "en", "a")], clash=False)
     out = pii.mask_texts(df)
