@@ -209,6 +209,15 @@ def test_planted_passages_are_found_and_clean_documents_left(spark, make, words)
     assert all(r.b_end - r.b_start == 60 for r in found if r.a == 100 and r.b == 101)
 
 
+def test_frequent_passages_are_linked_past_documents_with_a_part(spark, make, words):
+    exact = prose(words, 60, "p").split()
+    docs = [(100 + i, f"{prose(words, 70, f'a{i}')} {' '.join(exact)} {prose(words, 70, f'b{i}')}", "en", "a") for i in range(20)]
+    docs += [(i, f"{prose(words, 90, i)} {' '.join(exact[:45])} {prose(words, 90, f'c{i}')}", "en", "a") for i in (1, 999)]
+    found = passages.passages(make(docs)).collect()
+    assert {d for r in found for d in (r.a, r.b)} == set(range(100, 120))
+    assert {r.b for r in found if r.a == 100} == set(range(101, 120))
+
+
 def test_passages_on_odd_rows(spark, make, odd):
     assert passages.passages(make(odd)).count() == 0
     assert passages.passages(make(odd).where("false")).count() == 0
