@@ -218,6 +218,20 @@ def test_frequent_passages_are_linked_past_documents_with_a_part(spark, make, wo
     assert {r.b for r in found if r.a == 100} == set(range(101, 120))
 
 
+def test_every_occurrence_of_a_passage_has_its_span(spark, make, words):
+    def times(n, gap, name):
+        return " ".join(f"{prose(words, gap, f'{name}{i}')} {prose(words, 60, 'p')}" for i in range(n))
+
+    docs = [(1, times(5, 90, "a"), "en", "a"), (2, times(1, 30, "b"), "en", "a"), (3, times(4, 20, "c"), "en", "a")]
+    phrases = [" ".join(prose(words, 60, "q").split()[i : i + 10]) for i in range(0, 60, 10)]
+    for d in (4, 5):  # the phrases of a passage also stand alone before and behind it
+        alone = [" ".join(f"{prose(words, 60, f'{d}{side}{i}')} {x}" for i, x in enumerate(phrases)) for side in "xy"]
+        docs.append((d, f"{alone[0]} {prose(words, 70, f'm{d}')} {' '.join(phrases)} {prose(words, 70, f'n{d}')} {alone[1]}", "en", "a"))
+    found = passages.by_document(passages.passages(make(docs))).collect()
+    for key, starts in ((1, [90 + 150 * i for i in range(5)]), (2, [30]), (3, [20 + 80 * i for i in range(4)]), (4, [490]), (5, [490])):
+        assert sorted({min(starts, key=lambda s: abs(s - r.start)) for r in found if r.key == key and r.end - r.start < 75}) == starts
+
+
 def test_passages_on_odd_rows(spark, make, odd):
     assert passages.passages(make(odd)).count() == 0
     assert passages.passages(make(odd).where("false")).count() == 0
