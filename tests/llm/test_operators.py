@@ -232,6 +232,20 @@ def test_every_occurrence_of_a_passage_has_its_span(spark, make, words):
         assert sorted({min(starts, key=lambda s: abs(s - r.start)) for r in found if r.key == key and r.end - r.start < 75}) == starts
 
 
+def test_near_passages_with_many_edits_are_found(spark, make, words):
+    def edited(text, n, seed):
+        at = set(random.Random(seed).sample(range(70), n))
+        return " ".join("changed%s" % i if i in at else w for i, w in enumerate(text.split()))
+
+    docs = []
+    for i in range(100):
+        text = prose(words, 70, f"p{i}")
+        docs += [(2 * i, f"{prose(words, 60, f'a{i}')} {text} {prose(words, 60, f'b{i}')}", "en", "a")]
+        docs += [(2 * i + 1, f"{prose(words, 30, f'c{i}')} {edited(text, 10, i)} {prose(words, 90, f'd{i}')}", "en", "a")]
+    found = {(r.a, r.b) for r in passages.passages(make(docs)).collect()}
+    assert found <= {(2 * i, 2 * i + 1) for i in range(100)} and len(found) >= 90
+
+
 def test_passages_on_odd_rows(spark, make, odd):
     assert passages.passages(make(odd)).count() == 0
     assert passages.passages(make(odd).where("false")).count() == 0
