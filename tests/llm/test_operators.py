@@ -165,6 +165,14 @@ def test_toxic_stems_are_known_in_new_words(spark, make, words):
     assert clean.columns == make(docs, clash=False).columns and 10_000 in {r.doc_id for r in clean.collect()}
 
 
+def test_class_counts_are_not_cut(spark, make, words):
+    docs = [(i, f"{prose(words, 30, i)} {'zvuqkorz' if i % 9 == 0 else ''}", "en", "a") for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(300)], "doc_id long, toxic int")
+    cut, whole = (toxicity.fit(make(docs), labels, grams=g).model for g in (10, 10**6))
+    for (a, _), (b, _) in zip(cut.classes, whole.classes):
+        assert len(b.keys) > 1000 and np.array_equal(a.keys, b.keys)
+
+
 def test_toxicity_without_labels(spark, make, odd):
     none = spark.createDataFrame([], "doc_id BIGINT, toxic INT")
     assert {r.score for r in toxicity.score(make(odd), toxicity.fit(make(odd), none)).collect()} == {0.0}
