@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, fertility, licenses, mixing, passages, pii, segment, simhash, topk, toxicity
+from shoplens.llm import (
+    chat, fertility, licenses, mixing, passages, pii, segment, setsketch, simhash, topk, toxicity, trie, whitening,
+)
 from shoplens.llm.tables import hex_digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,7 +102,32 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "times", "finish")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_topk_search, op2_pii_spans, op3_simhash_dedup, op4_toxicity, op5_repeated_passages, op6_license_scan, op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources)}
+def op11_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by the similarity of its pairs of words."""
+    return setsketch.components(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept"
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first sixteen components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("key", "vec_id")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    nodes = trie.trie(table(spark, sf_dir, "conversations"))
+    return nodes.withColumnsRenamed({"conv": "conv_id", "parent": "parent_conv_id", "saved": "saved_tokens"})
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_topk_search, op2_pii_spans, op3_simhash_dedup, op4_toxicity, op5_repeated_passages, op6_license_scan,
+        op7_sampled_segmentations, op8_quality_rules, op9_chat_formatting, op10_mix_sources, op11_setsketch_dedup,
+        op12_embedding_whitening, op13_conversation_trie,
+    )
+}
 #: Words of a text, in DuckDB.
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
@@ -195,4 +222,52 @@ ORACLES: dict[str, str] = {
                     + ((source_size * 2 + sent)::DOUBLE / target <= cut)::INT) ELSE 0 END AS times
             FROM q, c
         )""",
+    "op11_setsketch_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), docs AS (
+            SELECT row, doc_id, CASE WHEN len(w) < 2 THEN w ELSE
+                list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w
+        ), inside AS (SELECT row, len(s) AS n, unnest(s) AS x FROM docs),
+        common AS (
+            SELECT a.row AS a, b.row AS b, a.n AS n_a, b.n AS n_b, count(*) AS n_both
+            FROM inside a JOIN inside b ON a.x = b.x AND a.row < b.row AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL
+        ), edges AS (
+            SELECT a, b FROM common WHERE 100 * n_both >= 80 * (n_a + n_b - n_both)
+            UNION ALL SELECT b, a FROM common WHERE 100 * n_both >= 80 * (n_a + n_b - n_both)
+        ), reach(row, other) AS (
+            SELECT row, row FROM docs UNION SELECT reach.row, edges.b FROM reach JOIN edges ON reach.other = edges.a
+        ), least AS (SELECT reach.row, min(d.doc_id) AS component_id FROM reach JOIN docs d ON d.row = reach.other GROUP BY 1)
+        SELECT doc_id, len(s) AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept FROM docs JOIN least USING (row)""",
+    "op13_conversation_trie": r"""
+        WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+        steps AS (
+            SELECT c, flatten(list_transform(range(1, length(c::VARCHAR) + 1),
+                lambda i: list_concat([ascii(substr(c::VARCHAR, i, 1))::BIGINT], list_transform(range(8), lambda j: -1::BIGINT)))) AS bits FROM ids
+        ), heads AS (
+            SELECT c, c - c % 5 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], bits), lambda crc, x:
+                CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384::BIGINT) ELSE crc // 2 END),
+                4294967295::BIGINT) % 9 AS h FROM steps
+        ), own AS (
+            SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1
+        ), rebuilt AS (
+            SELECT c, list_concat(coalesce(b.turns[1:h], []), own.turns[h + 1:]) AS turns
+            FROM heads JOIN own USING (c) LEFT JOIN own b ON b.c = base
+        ), members AS (SELECT c, turns, d, turns[1:d] AS node FROM rebuilt, LATERAL (SELECT unnest(range(0, len(turns) + 1)) AS d)),
+        nodes AS (
+            SELECT d, node, min(c) AS conv_id, count(*) AS n_convs, CASE WHEN d > 0 THEN strlen(node[d].text) ELSE 0 END AS bytes,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(turns) = d), '')) AS ends_sha256
+            FROM members GROUP BY d, node
+        ), children AS (SELECT d - 1 AS d, node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+        counted AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (d, node)),
+        below AS (
+            SELECT t.d, t.node, sum((m.n_convs - 1) * m.bytes)::BIGINT AS saved_tokens, count(*) FILTER (m.n_children = 0) AS n_leaves
+            FROM counted t JOIN counted m ON m.d >= t.d AND m.node[1:t.d] = t.node GROUP BY 1, 2
+        )
+        SELECT counted.conv_id, counted.d AS depth, up.conv_id AS parent_conv_id, counted.n_convs, counted.n_children, n_leaves, saved_tokens,
+            counted.ends_sha256
+        FROM counted JOIN below USING (d, node) LEFT JOIN nodes up ON up.d = counted.d - 1 AND up.node = counted.node[1:counted.d - 1]""",
 }
