@@ -247,10 +247,11 @@ def test_a_conversation_with_a_third_of_all_turns(spark):
 
 
 def test_equal_products_of_different_turns_are_noticed(spark, conversations, monkeypatch):
-    df = chats(spark, conversations)
-    monkeypatch.setattr(trie, "BASES", ((0, 0), trie.BASES[1]))  # R = 0: the last turn alone makes the product
-    assert found_trie(df) == brute_trie(conversations)
-    monkeypatch.setattr(trie, "BASES", ((0, 0),))
+    swapped = [(c, t, "user", "ab"[(c + t) % 2]) for c in (20_001, 20_002, 20_003, 20_004) for t in range(20)]
+    df = chats(spark, conversations + swapped)
+    monkeypatch.setattr(trie, "BASES", ((1, 1), trie.BASES[1]))  # R = 1: the order of the turns is lost
+    assert found_trie(df) == brute_trie(conversations + swapped)
+    monkeypatch.setattr(trie, "BASES", ((1, 1),))
     with pytest.raises(RuntimeError):
         trie.trie(df)
 
