@@ -49,6 +49,9 @@ BITS_APART = 58
 #: Log-likelihood that the asked similarity may fall short of the best one.
 MARGIN = 20.0
 
+#: Bits of the bitmap that filters rows before they are shuffled: at most 2^18 rows of it, whatever the number of sets.
+FILTER_BITS = 1 << 24
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,31 +124,51 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return best, _likelihood(above, below, same, u, v, best) - _likelihood(above, below, same, u, v, asked)
 
 
-def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every row, stored: row (a number of its own), key, n (size of its set), d1 and d2 (a digest of the set), registers, hashes."""
-    given = pick(docs, key=key, text=text).withColumn("row", F.monotonically_increasing_id())
+def _digest(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits of a sorted set, as two signed longs."""
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), dtype="<i8").tolist())
+
+
+def sketched(given: DataFrame) -> DataFrame:
+    """key, text -> every row, stored: row (a number of its own), key, said (hash of the text), n (size of its set), d1 and d2 (its digest), registers."""
+    given = given.withColumns({"row": F.monotonically_increasing_id(), "said": F.xxhash64("text")})
     kind = given.schema["key"].dataType.simpleString()
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             sets = [shingle_hashes(x) for x in batch.column("text").to_pylist()]
-            digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-            ends = np.cumsum([0, *map(len, sets)])
-            flat = pa.array(np.concatenate(sets).view(np.int64))
+            digests = np.array([_digest(x) for x in sets], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row"), batch.column("key"), pa.array(np.diff(ends), pa.int64()),
-                    *(pa.array(np.array([d >> s & (1 << 64) - 1 for d in digests], dtype=np.uint64).view(np.int64)) for s in (64, 0)),
-                    pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+                    *(batch.column(x) for x in ("row", "key", "said")), pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()),
+                    pa.array([registers(x).tobytes() if len(x) else None for x in sets], pa.binary()),
                 ],
-                ["row", "key", "n", "d1", "d2", "registers", "hashes"],
+                ["row", "key", "said", "n", "d1", "d2", "registers"],
             )
 
-    schema = f"row long, key {kind}, n long, d1 long, d2 long, registers binary, hashes array<long>"
+    schema = f"row long, key {kind}, said long, n long, d1 long, d2 long, registers binary"
     return materialize(given.mapInArrow(made, schema), "set-sketches")
 
 
+def full_sets(given: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, text; wanted sets (row, key, said, d1, d2) -> row, hashes of each, stored. The texts are read again, but only the wanted ones are taken."""
+    near = _only(given.withColumn("said", F.xxhash64("text")), wanted, "said")
+    wanted = wanted.withColumnRenamed("key", "own")
+    texts = near.join(wanted.select("own", "said").distinct(), near["said"].eqNullSafe(wanted["said"]) & F.col("key").eqNullSafe(F.col("own")), "left_semi")
+
+    def made(batches):
+        for batch in parts(batches):
+            sets = [shingle_hashes(x) for x in batch.column("text").to_pylist()]
+            digests = np.array([_digest(x) for x in sets], dtype=np.int64)
+            hashes = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()), hashes], ["d1", "d2", "hashes"])
+
+    found = texts.select("text").mapInArrow(made, "d1 long, d2 long, hashes array<long>")
+    found = found.groupBy("d1", "d2").agg(F.first("hashes").alias("hashes"))
+    return materialize(found.join(wanted.select("row", "d1", "d2"), ["d1", "d2"]).select("row", "hashes"), "full-sets")
+
+
 def _rows_of(column: pa.Array) -> np.ndarray:
     """A column of registers as rows."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
@@ -212,31 +235,41 @@ def _size_allows(a: str | Column, b: str | Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILAR
 
 
-def confirmed(pairs: DataFrame, marked: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b; rows of ``marked``) that are similar, stored."""
+def _only(rows: DataFrame, needed: DataFrame, by: str = "row") -> DataFrame:
+    """``rows`` whose column ``by`` is in ``needed``. A bitmap of ``FILTER_BITS`` hash values, broadcast, keeps most others out of the shuffle."""
+    place = F.xxhash64(by).bitwiseAND(F.lit(FILTER_BITS - 1))
+    word, bit = F.shiftright(place, 6), place.bitwiseAND(63).cast("int")
+    words = needed.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    near = rows.withColumn("word", word).join(F.broadcast(words), "word").where(F.getbit("bits", bit) == 1).drop("word", "bits")
+    return near.join(needed.select(by), by, "left_semi")
+
+
+def confirmed(pairs: DataFrame, spoken: DataFrame, full: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b; rows of the sets) that are similar, stored. First by row, n, registers, then by row, hashes."""
     pairs = materialize(pairs, "candidates")
-    needed = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    small = materialize(marked.select("row", "n", "registers").join(needed, "row", "left_semi"), "registers")
+    needed = materialize(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "candidate-sets")
+    small = materialize(_only(spoken, needed), "registers")
     a = small.toDF("a", "n_a", "r_a")
     b = small.toDF("b", "n_b", "r_b")
     both = pairs.join(a, "a").join(b, "b").where(_size_allows("n_a", "n_b"))
     likely = materialize(both.mapInArrow(_likely, "a long, b long"), "likely-pairs")
-    needed = likely.select(F.col("a").alias("row")).union(likely.select("b")).distinct()
-    sets = materialize(marked.select("row", "hashes").join(needed, "row", "left_semi"), "sets")
+    needed = materialize(likely.select(F.col("a").alias("row")).union(likely.select("b")).distinct(), "likely-sets")
+    sets = materialize(_only(full, needed), "sets")
     full = likely.join(sets.toDF("a", "h_a"), "a").join(sets.toDF("b", "h_b"), "b")
     common = F.size(F.array_intersect("h_a", "h_b"))
     enough = 100 * common >= SIMILAR * (F.size("h_a") + F.size("h_b") - common)
     return materialize(full.where(enough).select("a", "b"), "similar-pairs")
 
 
-def _pairs_within(members: DataFrame, groups: list[str]) -> DataFrame:
-    """bucket members (row, part, n, s0..s3) -> candidate pairs of small buckets; only pairs that may be similar leave a group."""
-    near = F.expr(f"""flatten(transform(sets, a -> transform(filter(sets, b -> a.row < b.row AND a.part <> b.part
-        AND 100 * least(a.n, b.n) >= {SIMILAR} * greatest(a.n, b.n)
-        AND bit_count(a.s0 ^ b.s0) + bit_count(a.s1 ^ b.s1) + bit_count(a.s2 ^ b.s2) + bit_count(a.s3 ^ b.s3) <= {BITS_APART}),
-        b -> struct(a.row AS a, b.row AS b))))""")
-    gathered = members.groupBy(*groups).agg(F.collect_list(F.struct("row", "part", "n", "s0", "s1", "s2", "s3")).alias("sets"))
-    return gathered.select(F.explode(near).alias("p")).select("p.a", "p.b")
+def _pairs_within(few: DataFrame, members: DataFrame, on: list[str]) -> DataFrame:
+    """Members of buckets (row, part, n, s0..s3), and some of them -> candidate pairs that one of the few takes part in."""
+    names = ["row", "part", "n", "s0", "s1", "s2", "s3"]
+    a = few.select(*on, *(F.col(x).alias(f"a_{x}") for x in names))
+    b = members.select(*on, *(F.col(x).alias(f"b_{x}") for x in names))
+    apart = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(4)), F.lit(0))
+    near = a.join(b, on).where((F.col("a_part") != F.col("b_part")) & _size_allows("a_n", "b_n") & (apart <= BITS_APART))
+    return near.select(F.least("a_row", "b_row").alias("a"), F.greatest("a_row", "b_row").alias("b"))
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -247,34 +280,45 @@ def _blocks(members: DataFrame) -> DataFrame:
     return dealt.withColumn("at", F.explode(others))
 
 
-def links(marked: DataFrame, sets: DataFrame) -> DataFrame:
+def _mixed(placed: DataFrame) -> DataFrame:
+    """bucket, row, part -> those of buckets with several parts, stored, with size, most (the part with most sets) and others (sets beside it)."""
+    counts = placed.groupBy("bucket", "part").agg(F.count("*").alias("n"))
+    whole = counts.groupBy("bucket").agg(F.sum("n").alias("size"), F.max(F.struct("n", "part")).alias("m")).where("m.n < size")
+    whole = whole.select("bucket", "size", F.col("m.part").alias("most"), (F.col("size") - F.col("m.n")).alias("others"))
+    return materialize(placed.select("bucket", "row", "part").join(whole, "bucket"), "open-buckets")
+
+
+def links(given: DataFrame, marked: DataFrame, sets: DataFrame) -> DataFrame:
     """Distinct sets (row of ``marked``) -> (a, b), similar pairs whose components are those of all similar pairs."""
     spoken = marked.select("row", "registers").join(sets.select("row"), "row", "left_semi")
     filed = materialize(spoken.mapInArrow(_filed, "bucket long, row long"), "bands")
     ends = filed.groupBy("bucket").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.count("*").alias("size")).where("low < high")
     shared = materialize(filed.join(ends.select("bucket", "low", "size"), "bucket"), "shared-bands")
-    found = confirmed(shared.where("row <> low").select(F.col("low").alias("a"), F.col("row").alias("b")).distinct(), marked)
+    # From here on only sets that share a bucket matter.
+    meeting = materialize(shared.select("row").distinct(), "meeting")
+    spoken = materialize(_only(marked, meeting), "meeting-sets")
+    full = full_sets(given, spoken.select("row", "key", "said", "d1", "d2"))
+    spoken = spoken.select("row", "n", "registers")
+    found = confirmed(shared.where("row <> low").select(F.col("low").alias("a"), F.col("row").alias("b")).distinct(), spoken, full)
     # Buckets of two are done, and so are those whose sets are in one component by now.
     roots = materialize(stars(found), "components")
     placed = shared.where("size > 2").drop("low").join(roots, F.col("row") == F.col("node"), "left")
-    placed = placed.select("bucket", "row", "size", F.coalesce("root", "row").alias("part"))
-    signs = None
+    placed = placed.select("bucket", "row", F.coalesce("root", "row").alias("part"))
+    bits = spoken.mapInArrow(_signed, "row long, n long, s0 long, s1 long, s2 long, s3 long")
     for level in range(LEVELS + 1):
-        mixed = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("size")).where("p < q")
-        open_ = materialize(placed.select("bucket", "row", "part").join(mixed.select("bucket", "size"), "bucket"), "open-buckets")
+        open_ = _mixed(placed)
         if open_.isEmpty():
             break
-        if signs is None:
-            wanted = open_.select("row").distinct()
-            signs = materialize(marked.select("row", "n", "registers").join(wanted, "row", "left_semi"), "open-sets")
-        bits = signs.mapInArrow(_signed, "row long, n long, s0 long, s1 long, s2 long, s3 long")
-        signed = open_.join(bits, "row")
-        pairs = _pairs_within(signed.where(f"size <= {PAIRWISE}"), ["bucket"])
+        signed = materialize(open_.join(bits, "row"), "signed-buckets")
+        few = F.expr(f"size <= {PAIRWISE} OR others <= {PAIRWISE // 4}")
+        bounded = signed.where(few)
+        pairs = _pairs_within(bounded.where("part <> most"), bounded, ["bucket"])
+        crowded = signed.where(~few)
         if level == LEVELS:
-            pairs = pairs.union(_pairs_within(_blocks(signed.where(f"size > {PAIRWISE}")), ["bucket", "at"]))
-        found = found.unionByName(confirmed(pairs.distinct(), marked))
-        crowded = open_.where(f"size > {PAIRWISE}")
-        placed = crowded.select("bucket", "row", "part").join(signs.select("row", "registers"), "row").mapInArrow(
+            dealt = _blocks(crowded)
+            pairs = pairs.union(_pairs_within(dealt.where("part <> most"), dealt, ["bucket", "at"]))
+        found = found.unionByName(confirmed(pairs.distinct(), spoken, full))
+        placed = crowded.select("bucket", "row", "part").join(spoken.select("row", "registers"), "row").mapInArrow(
             _finer(level), "bucket long, row long, part long"
         )
     return found
@@ -288,10 +332,11 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     (null if there is none), and a row without key is not kept. Rows that repeat a key stay, each with its own text's
     component. Long texts are taken whole. An empty table gives no rows.
     """
-    marked = sketched(docs, key, text)
+    given = pick(docs, key=key, text=text)
+    marked = sketched(given)
     full = marked.where("n > 0")
     sets = materialize(full.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.min("key").alias("least")), "distinct-sets")
-    star = stars(links(marked, sets))
+    star = stars(links(given, marked, sets))
     placed = sets.join(star, F.col("row") == F.col("node"), "left").withColumn("root", F.coalesce("root", "row"))
     placed = materialize(placed.select("d1", "d2", "root", "least"), "classes")
     named = placed.groupBy("root").agg(F.min("least").alias("component"))

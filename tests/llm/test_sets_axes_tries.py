@@ -77,8 +77,8 @@ def test_components_are_those_of_all_pairs(make, texts, odd):
 
 @pytest.mark.parametrize("levels", [0, 2])
 def test_crowded_buckets_lose_no_link(make, texts, monkeypatch, levels):
-    # Buckets of three sets are large here: divided, then compared block by block, or block by block at once.
-    monkeypatch.setattr(setsketch, "PAIRWISE", 3)
+    # Buckets of five sets are large here: divided, then compared block by block, or block by block at once.
+    monkeypatch.setattr(setsketch, "PAIRWISE", 4)
     monkeypatch.setattr(setsketch, "LEVELS", levels)
     assert found_components(make([(k, t, "en", "a") for k, t in texts], clash=False)) == brute_components(texts)
 
