@@ -7,8 +7,8 @@ of equal registers follows the similarity. Points come in rising order, so a shi
 its next point is above all registers, and a set costs about m log m points however large it is.
 
 Equal sets are one row with members. Sets are filed under bands of registers, and those that share a bucket
-are candidates. First all sets of a bucket are held against its least one, which leaves a group of near
-copies in one component already, whatever its size. Then only buckets whose sets are in several components
+are candidates. First all sets of a bucket are held against one, that which meets most others in all its buckets. It lies
+amid them, so a group of near copies is mostly one component then, whatever its size. Then only buckets whose sets are in several components
 are looked at again: of up to ``PAIRWISE`` sets every pair whose register bits allow it is a candidate, and a larger
 bucket is divided by further registers, several ways so that similar sets keep meeting; what still is larger
 after ``LEVELS`` divisions is compared block by block. Candidates whose registers, together with the sizes of the
@@ -40,10 +40,10 @@ BANDS, ROWS = 42, 6
 REGISTERS = BANDS * ROWS
 #: Registers hold 1 - log_BASE(RATE-scaled point), from 0 to TOP; fixed values of the published parameters for two bytes.
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
-#: Sets of a bucket that are compared pair by pair.
+#: Sets of a bucket that are compared by a join; of a larger one, a quarter as many beside its largest component.
 PAIRWISE = 64
-#: Divisions of a larger bucket, the ways it is divided each time, and registers that each way adds.
-LEVELS, WAYS, FINER = 3, 8, 4
+#: Sets of a block of a larger bucket.
+BLOCK = 256
 #: Register bits by which two sets at the asked similarity may differ: 25 of 252 are expected, 58 is seven deviations more.
 BITS_APART = 58
 #: Log-likelihood that the asked similarity may fall short of the best one.
@@ -182,34 +182,21 @@ def _folded(start: np.ndarray, values: np.ndarray) -> np.ndarray:
     return found
 
 
+def _buckets_of(values: np.ndarray) -> np.ndarray:
+    """The bucket of each band, for rows of registers."""
+    values = values.reshape(-1, BANDS, ROWS)
+    start = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * _GOLDEN, values.shape[:2])
+    return _folded(start, values).view(np.int64)
+
+
 def _filed(batches):
     """row, registers -> row, bucket: one for each band."""
     for batch in batches:
-        values = _rows_of(batch.column("registers")).reshape(-1, BANDS, ROWS)
-        start = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * _GOLDEN, values.shape[:2])
-        buckets = _folded(start, values).view(np.int64).ravel()
+        buckets = _buckets_of(_rows_of(batch.column("registers"))).ravel()
         rows = np.repeat(batch.column("row").to_numpy(), BANDS)
         yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(rows)], ["bucket", "row"])
 
 
-def _finer(level: int):
-    """bucket, row, part, registers -> bucket, row, part with the bucket divided in ``WAYS`` ways by further registers."""
-
-    def divided(batches):
-        for batch in parts(batches, 4_096):
-            values = _rows_of(batch.column("registers"))
-            old = batch.column("bucket").to_numpy().view(np.uint64)
-            names = ["bucket", "row", "part"]
-            for way in range(WAYS):
-                # Which registers a way adds depends on the bucket's level only, so all its sets take the same.
-                start = (level * WAYS + way) * FINER * 5
-                chosen = values[:, [(start + 5 * i) % REGISTERS for i in range(FINER)]]
-                new = _folded(old + np.array([way + 1], dtype=np.uint64) * _GOLDEN, chosen).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(new), batch.column("row"), batch.column("part")], names)
-
-    return divided
-
-
 def _signed(batches):
     """row, n, registers -> row, n and a bit of each register in four longs."""
     for batch in batches:
@@ -273,11 +260,46 @@ def _pairs_within(few: DataFrame, members: DataFrame, on: list[str]) -> DataFram
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Members of large buckets, dealt to pairs of blocks so that each two meet in one, of some ``PAIRWISE`` sets."""
-    n_blocks = F.ceil(F.col("size") * 4 / PAIRWISE).cast("int")
+    """Members of large buckets, dealt to pairs of blocks (x, y) of some ``BLOCK`` sets, so that each two meet in one pair; own is their block."""
+    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = members.withColumns({"blocks": n_blocks, "own": F.pmod(F.xxhash64("bucket", "row"), n_blocks).cast("int")})
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least("own", i).alias("x"), F.greatest("own", i).alias("y")))
-    return dealt.withColumn("at", F.explode(others))
+    return dealt.withColumn("at", F.explode(others)).select("*", "at.x", "at.y")
+
+
+def _similar_in_blocks(table: pa.Table) -> pa.Table:
+    """One pair of blocks (row, part, n, registers, hashes, own, x, y, bucket) -> a, b: its similar pairs of different parts, each in the first band they share."""
+    out = []
+    own, x, y = (table.column(c).to_numpy() for c in ("own", "x", "y"))
+    row, part, n = (table.column(c).to_numpy() for c in ("row", "part", "n"))
+    values, hashes = _rows_of(table.column("registers")), table.column("hashes")
+    bands = _buckets_of(values)
+    here = bands == table.column("bucket").to_numpy()[:, None]
+    left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+    same_block = len(left) and x[0] == y[0]
+    sets = {}
+
+    def full(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = hashes[i].values.to_numpy()
+        return sets[i]
+
+    met = []
+    for i in left:
+        js = right[right > i] if same_block else right
+        js = js[(part[js] != part[i]) & (100 * np.minimum(n[js], n[i]) >= SIMILAR * np.maximum(n[js], n[i]))]
+        if len(js):
+            js = js[here[i, (bands[js] == bands[i]).argmax(axis=1)]]
+            met.append(np.stack([np.full(len(js), i), js]))
+    pairs = np.concatenate(met, axis=1) if met else np.zeros((2, 0), dtype=np.intp)
+    for start in range(0, pairs.shape[1], 8_192):
+        i, j = pairs[:, start : start + 8_192]
+        likely = estimate(values[i], values[j], n[i].astype(float), n[j].astype(float))[1] <= MARGIN
+        for i, j in zip(i[likely], j[likely]):
+            common = len(np.intersect1d(full(i), full(j), assume_unique=True))
+            if 100 * common >= SIMILAR * (n[i] + n[j] - common):
+                out.append((min(row[i], row[j]), max(row[i], row[j])))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
@@ -292,36 +314,33 @@ def links(given: DataFrame, marked: DataFrame, sets: DataFrame) -> DataFrame:
     """Distinct sets (row of ``marked``) -> (a, b), similar pairs whose components are those of all similar pairs."""
     spoken = marked.select("row", "registers").join(sets.select("row"), "row", "left_semi")
     filed = materialize(spoken.mapInArrow(_filed, "bucket long, row long"), "bands")
-    ends = filed.groupBy("bucket").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.count("*").alias("size")).where("low < high")
-    shared = materialize(filed.join(ends.select("bucket", "low", "size"), "bucket"), "shared-bands")
+    sizes = filed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = materialize(filed.join(sizes, "bucket"), "shared-bands")
+    # A set that meets many others is amid them: its text is nearer to each of them than they are to one another.
+    met = materialize(shared.groupBy("row").agg(F.sum("size").alias("met")), "met")
+    pivots = shared.join(met, "row").groupBy("bucket").agg(F.max(F.struct("met", F.negative("row").alias("row")))["row"].alias("pivot"))
+    spokes = shared.join(pivots.select("bucket", F.negative("pivot").alias("pivot")), "bucket").where("row <> pivot")
     # From here on only sets that share a bucket matter.
     meeting = materialize(shared.select("row").distinct(), "meeting")
     spoken = materialize(_only(marked, meeting), "meeting-sets")
     full = full_sets(given, spoken.select("row", "key", "said", "d1", "d2"))
     spoken = spoken.select("row", "n", "registers")
-    found = confirmed(shared.where("row <> low").select(F.col("low").alias("a"), F.col("row").alias("b")).distinct(), spoken, full)
+    found = confirmed(spokes.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct(), spoken, full)
     # Buckets of two are done, and so are those whose sets are in one component by now.
     roots = materialize(stars(found), "components")
-    placed = shared.where("size > 2").drop("low").join(roots, F.col("row") == F.col("node"), "left")
+    placed = shared.where("size > 2").join(roots, F.col("row") == F.col("node"), "left")
     placed = placed.select("bucket", "row", F.coalesce("root", "row").alias("part"))
     bits = spoken.mapInArrow(_signed, "row long, n long, s0 long, s1 long, s2 long, s3 long")
-    for level in range(LEVELS + 1):
-        open_ = _mixed(placed)
-        if open_.isEmpty():
-            break
-        signed = materialize(open_.join(bits, "row"), "signed-buckets")
-        few = F.expr(f"size <= {PAIRWISE} OR others <= {PAIRWISE // 4}")
-        bounded = signed.where(few)
-        pairs = _pairs_within(bounded.where("part <> most"), bounded, ["bucket"])
-        crowded = signed.where(~few)
-        if level == LEVELS:
-            dealt = _blocks(crowded)
-            pairs = pairs.union(_pairs_within(dealt.where("part <> most"), dealt, ["bucket", "at"]))
-        found = found.unionByName(confirmed(pairs.distinct(), spoken, full))
-        placed = crowded.select("bucket", "row", "part").join(spoken.select("row", "registers"), "row").mapInArrow(
-            _finer(level), "bucket long, row long, part long"
-        )
-    return found
+    open_ = _mixed(placed)
+    signed = materialize(open_.join(bits, "row"), "signed-buckets")
+    few = F.expr(f"size <= {PAIRWISE} OR others <= {PAIRWISE // 4}")
+    bounded, crowded = signed.where(few), signed.where(~few)
+    pairs = _pairs_within(bounded.where("part <> most"), bounded, ["bucket"]).distinct()
+    found = found.unionByName(confirmed(pairs, spoken, full))
+    dealt = _blocks(crowded.select("bucket", "row", "part", "n", "size"))
+    whole = dealt.join(spoken.select("row", "registers"), "row").join(full, "row")
+    whole = whole.select("bucket", "x", "y", "own", "row", "part", "n", "registers", "hashes")
+    return found.unionByName(materialize(whole.groupBy("bucket", "x", "y").applyInArrow(_similar_in_blocks, "a long, b long"), "crowded-pairs"))
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -75,11 +75,10 @@ def test_components_are_those_of_all_pairs(make, texts, odd):
     assert found_components(make([(k, t, "en", "a") for k, t in rows])) == brute_components(rows)
 
 
-@pytest.mark.parametrize("levels", [0, 2])
-def test_crowded_buckets_lose_no_link(make, texts, monkeypatch, levels):
-    # Buckets of five sets are large here: divided, then compared block by block, or block by block at once.
+def test_crowded_buckets_lose_no_link(make, texts, monkeypatch):
+    # Buckets of five sets with two beside the largest component are large here, and blocks are of three.
     monkeypatch.setattr(setsketch, "PAIRWISE", 4)
-    monkeypatch.setattr(setsketch, "LEVELS", levels)
+    monkeypatch.setattr(setsketch, "BLOCK", 3)
     assert found_components(make([(k, t, "en", "a") for k, t in texts], clash=False)) == brute_components(texts)
 
 
