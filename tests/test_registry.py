@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import importlib.util
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -25,6 +28,17 @@ def test_entry_module(spark):
     assert set(module.oracle_sql()) <= set(module.queries())
 
 
+@pytest.mark.parametrize("pipeline_stays", [True, False])
+def test_entry_module_without_the_corpus_operators(tmp_path, pipeline_stays):
+    """On a copy without the subpackage, with and without the pipeline that is built on it."""
+    shutil.copytree(ROOT / "shoplens", tmp_path / "shoplens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ["__spark_entry__.py", *(["corpus_pipeline.py"] if pipeline_stays else [])]:
+        shutil.copy(ROOT / name, tmp_path / name)
+    told = "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), len(e.oracle_sql()))"
+    found = subprocess.run([sys.executable, "-c", told], cwd=tmp_path, capture_output=True, text=True, check=True).stdout.split()
+    assert found == [str(len(queries())), "False", str(len(oracle_sql()))]
+
+
 def test_every_query_has_checking_sql():
     assert set(queries()) == set(oracle_sql())
 
