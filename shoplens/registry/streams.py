@@ -12,7 +12,7 @@ from shoplens.scratch import scratch_path
 from shoplens.sources.catalog import load_table
 from shoplens.sources.readers import stream_json, stream_parquet
 from shoplens.sources.schemas import STREAM_EVENTS
-from shoplens.sources.writers import land_in_order
+from shoplens.sources.writers import land_in_order, write_event_landing
 from shoplens.streaming import runner
 from shoplens.streaming import windows as w
 
@@ -23,7 +23,7 @@ def _landed(spark: SparkSession, sf: str) -> str:
     """The events as files in the order of time: eight, or one for each part of the table that a task would scan."""
     events = load_table(spark, "events", sf)
     slots = max(8, events.rdd.getNumPartitions())
-    return land_in_order(events, scratch_path(spark, "events-in-order"), "ts", slots)
+    return land_in_order(events, scratch_path(spark, "events-in-order"), "ts", slots, tie=["event_id"])
 
 
 def live_events(spark: SparkSession, sf: str, landed: str | None = None) -> DataFrame:
@@ -89,7 +89,7 @@ def stream_landing_replay(spark: SparkSession, sf: str) -> DataFrame:
     """Events laid out as JSON files in the order of time and replayed five to a micro-batch, watermark on."""
     clicks = text_clicks(spark, sf)
     slots = max(20, clicks.rdd.getNumPartitions())
-    landing = land_in_order(clicks.withColumn("at", F.col("event_time").try_cast("timestamp")), scratch_path(spark, "landing"), "at", slots, "json")
+    landing = write_event_landing(clicks, scratch_path(spark, "landing"), files=slots)
     events = w.with_event_time(stream_json(spark, landing, STREAM_EVENTS, max_files=5), "event_time")
     counts = w.window_counts(events, "event_name")
     return plain_times(runner.upsert_stream(counts, [*WINDOW, "event_name"])).drop("unique_sessions")

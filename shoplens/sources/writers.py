@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shoplens.sources.readers import QUOTED, STORED_CSV, TIMES, without_line_breaks
 
@@ -41,26 +41,39 @@ def write_table(
     return path
 
 
-def land_in_order(df: DataFrame, path: str, ts: str, slots: int = 8, fmt: str = "parquet") -> str:
-    """Lay ``df`` out as ``slots`` files of successive times, written one after the other, for replay.
+def land_in_order(
+    df: DataFrame, path: str, ts: str, slots: int = 8, fmt: str = "parquet", tie: Sequence[str] = (), mode: str = "append"
+) -> str:
+    """Lay ``df`` out as ``slots`` files of successive times for replay, in one parallel sorted write.
 
-    A file stream takes files in the order in which they were written, so rows come in the order of time, to a
-    slot, and a watermark can stay on. Slots hold about as many rows each: choose so many that one fits a task.
-    Rows without time are in the first slot; each slot's filter reaches the scan.
+    A file stream takes files by their modification time, and a parallel write ends them in any order. So the files
+    get times a second apart afterwards, in the order of their ranges and up to now: rows come in the order of time, to
+    a slot, and a watermark can stay on. Slots hold about as many rows each; choose so many that one fits a task.
+    ``tie`` splits rows that share one time over slots. Rows without time are in the first slot. The file system must
+    keep the times that it is told, as HDFS and local ones do.
     """
-    steps = [i / slots for i in range(1, slots)]
-    cuts = df.agg(F.percentile_approx(ts, steps, 10_000).alias("cuts")).first().cuts or []
-    bounds = [None, *sorted(set(cuts)), None]
-    for low, high in zip(bounds, bounds[1:]):
-        slot = F.lit(True) if high is None else F.col(ts) < F.lit(high)
-        if low is not None:
-            slot = slot & (F.col(ts) >= F.lit(low))
-        elif high is not None:
-            slot = slot | F.col(ts).isNull()
-        df.where(slot).coalesce(1).write.mode("append").format(fmt).save(path)
+    before = {name for name, _ in _part_files(df, path)} if mode == "append" else set()
+    order = [ts, *tie]
+    df.repartitionByRange(slots, *order).sortWithinPartitions(*order).write.mode(mode).format(fmt).save(path)
+    new = sorted(((name, file) for name, file in _part_files(df, path) if name not in before), key=lambda f: int(f[0].split("-")[1]))
+    files, now = _file_system(df, path), int(time.time()) * 1000
+    for i, (_, file) in enumerate(new):
+        files.setTimes(file, now - (len(new) - 1 - i) * 1000, -1)
     return path
 
 
+def _file_system(df: DataFrame, path: str):
+    spark = df.sparkSession
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _part_files(df: DataFrame, path: str) -> list[tuple]:
+    """Names and paths of the data files in a folder, if it is there."""
+    files, folder = _file_system(df, path), df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    found = files.listStatus(folder) if files.exists(folder) else []
+    return [(f.getPath().getName(), f.getPath()) for f in found if f.getPath().getName().startswith("part-")]
+
+
 def write_event_landing(
     df: DataFrame, path: str, ts: str = "event_time", tie: str = "event_id", files: int = 20
 ) -> str:
@@ -68,10 +81,4 @@ def write_event_landing(
 
     ``tie`` splits a slice whose rows share one timestamp.
     """
-    (
-        df.repartitionByRange(files, ts, tie)
-        .sortWithinPartitions(ts, tie)
-        .write.mode("overwrite")
-        .json(path)
-    )
-    return path
+    return land_in_order(df, path, ts, files, "json", [tie], "overwrite")

@@ -188,6 +188,16 @@ def test_files_landed_in_order_hold_successive_times(spark, tmp_path):
     assert ends == sorted(ends)
 
 
+def test_files_that_share_one_time_are_split_and_later_ones_follow(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01' AS ts")
+    for _ in range(2):
+        path = land_in_order(df, str(tmp_path / "landing"), "ts", slots=4, tie=["id"])
+    files = sorted((f.stat().st_mtime_ns, str(f)) for f in (tmp_path / "landing").glob("part-*"))
+    firsts = [spark.read.parquet(f).agg({"id": "min"}).first()[0] for _, f in files]
+    assert len(files) == 8 and spark.read.parquet(path).count() == 2000
+    assert firsts.count(0) == 2 and max(spark.read.parquet(f).count() for _, f in files) < 400
+
+
 def test_csv_keeps_line_breaks_empty_text_and_microseconds(spark, tmp_path):
     data = [
         ("a\nb", datetime(2024, 1, 1, 1, 2, 3, 123456)), ("\r\\n\\", None), ("", datetime(2024, 1, 1)), (None, None), (r"\N", None), ('"\n"', None),
