@@ -9,6 +9,7 @@ from shoplens.functions.columns import near
 from shoplens.ml import classification as c
 from shoplens.ml import segmentation as s
 from shoplens.operators import features as f
+from shoplens.operators import oversample as o
 from shoplens.operators.clean import present
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
@@ -129,6 +130,33 @@ def rebalanced_classes(spark: SparkSession, sf: str) -> DataFrame:
     return classes.select("booking_id", "payment_status")
 
 
+_SMOTE_COLS = ["total_amount", "shipment_fee", "promo_amount"]
+
+
+@query(f"""WITH {_LABELLED},
+usable AS (SELECT booking_id, payment_status, {_place("booking_id", 13)} AS place FROM labelled),
+sizes AS (SELECT payment_status, count(*) AS n FROM usable GROUP BY 1),
+ranked AS (
+    SELECT booking_id, payment_status, n, (SELECT max(n) FROM sizes) - n AS lack,
+           row_number() OVER (PARTITION BY payment_status ORDER BY place, booking_id) - 1 AS rank
+    FROM usable JOIN sizes USING (payment_status))
+SELECT booking_id, payment_status, lack // n + CASE WHEN rank < lack % n THEN 1 ELSE 0 END AS copies FROM ranked WHERE lack > 0""")
+def smote_allotment(spark: SparkSession, sf: str) -> DataFrame:
+    """How many synthetic rows each order of the smaller class seeds."""
+    dealt = o.allotted(_features(spark, sf), "payment_status", "booking_id", _SMOTE_COLS, (b.PAID, b.FAILED))
+    return dealt.select("booking_id", "payment_status", F.col("copies").cast("bigint").alias("copies"))
+
+
+@query(f"""WITH {_LABELLED}, sizes AS (SELECT payment_status, count(*) AS n FROM labelled GROUP BY 1)
+SELECT payment_status, n AS real_rows, (SELECT max(n) FROM sizes) - n AS synthetic_rows, (SELECT max(n) FROM sizes) AS all_rows FROM sizes""")
+def smote_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Class sizes after over-sampling, counted on the real and the synthetic rows themselves."""
+    rows = o.oversampled(_features(spark, sf), "payment_status", "booking_id", _SMOTE_COLS, (b.PAID, b.FAILED))
+    return rows.groupBy("payment_status").agg(
+        F.count_if(~F.col("synthetic")).alias("real_rows"), F.count_if(F.col("synthetic")).alias("synthetic_rows"), F.count("*").alias("all_rows")
+    )
+
+
 @query(f"""WITH {_LABELLED}
 SELECT model, true AS fitted, true AS measures_in_range, true AS accuracy_matches, count(*) AS test_rows
 FROM {_MODELS}, {_TEST_ROWS} GROUP BY 1""")
