@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.columns import near
 from shoplens.ml import classification as c
+from shoplens.ml import density as d
 from shoplens.ml import segmentation as s
 from shoplens.operators import features as f
+from shoplens.operators import history as h
 from shoplens.operators import oversample as o
 from shoplens.operators.clean import present
 from shoplens.registry import bindings as b
@@ -262,6 +264,50 @@ def recency_features(spark: SparkSession, sf: str) -> DataFrame:
     return f.recency_features(b.orders(spark, sf), b.PAID).withColumn("monetary", near("monetary", 6))
 
 
+_PRIOR = "PARTITION BY customer_id ORDER BY created_at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP"
+
+
+@query(f"""WITH {b.SQL_ORDERS},
+prior AS (
+    SELECT booking_id, customer_id, created_at, max(created_at) OVER w AS latest, count(*) OVER w AS prior_orders,
+           coalesce(sum(total_amount) FILTER (payment_status = 'F') OVER w, 0) AS spend,
+           count(*) FILTER (payment_status = 'O') OVER w AS failures
+    FROM orders_v WHERE customer_id IS NOT NULL AND created_at IS NOT NULL WINDOW w AS ({_PRIOR}))
+SELECT booking_id, customer_id, created_at, date_diff('day', latest::DATE, created_at::DATE) AS days_since_previous, prior_orders,
+       {b.near("spend", 4)} AS prior_spend, {b.near("failures / nullif(prior_orders, 0)", 9)} AS prior_failure_share
+FROM prior""")
+def point_in_time_features(spark: SparkSession, sf: str) -> DataFrame:
+    """What was known of the customer before each order."""
+    known = h.point_in_time_features(b.orders(spark, sf), b.PAID, b.FAILED)
+    return known.withColumns({"prior_spend": near("prior_spend", 4), "prior_failure_share": near("prior_failure_share", 9)})
+
+
+_DENSE = (0.05, 8)
+
+
+@query(f"""WITH RECURSIVE {_SEGMENTED},
+scaled AS (
+    SELECT DISTINCT customer_id, ln(1 + spend) AS x, ln(1 + mean) AS y FROM segmented),
+near AS (
+    SELECT p.customer_id AS a, q.customer_id AS b FROM scaled p JOIN scaled q
+    ON q.x BETWEEN p.x - {_DENSE[0]} AND p.x + {_DENSE[0]} AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= {_DENSE[0]}::DOUBLE * {_DENSE[0]}::DOUBLE),
+core AS (SELECT a AS id FROM near GROUP BY 1 HAVING count(*) >= {_DENSE[1]}),
+links AS (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+reach(id, other) USING KEY (id) AS (
+    SELECT id, id FROM core
+    UNION SELECT a, min(reach.other) FROM links JOIN reach ON reach.id = b JOIN recurring.reach AS own ON own.id = a
+    WHERE reach.other < own.other GROUP BY a),
+segments AS (SELECT id, other AS segment FROM reach)
+SELECT customer_id, min(segment) AS segment, customer_id IN (FROM core) AS is_core
+FROM segmented LEFT JOIN near ON a = customer_id LEFT JOIN segments ON id = b AND (a = b OR a NOT IN (FROM core))
+GROUP BY 1""")
+def density_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in dense places of spend and order value, both as logarithms; the rest is noise."""
+    features = f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID).dropDuplicates(["customer_id"])
+    logs = features.select("customer_id", F.log1p("total_spend").alias("x"), F.log1p("avg_order_value").alias("y"))
+    return d.dbscan(logs, "customer_id", ["x", "y"], *_DENSE)
+
+
 @query(f"""WITH {_LABELLED}
 SELECT floor({_place("booking_id", 5)} * 3)::INTEGER AS fold, count(*) AS test_rows, true AS measures_in_range FROM labelled GROUP BY 1""")
 def cross_validation(spark: SparkSession, sf: str) -> DataFrame:
