@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -110,17 +111,24 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     repeated. An empty table gives no rows.
     """
     marked = materialize(fingerprints(docs, key, text), "fingerprints")
+    return marked.join(_classes(marked), "fp").select("key", "fp", "component")
+
+
+def _classes(marked: DataFrame) -> DataFrame:
+    """key, fp of rows -> fp, root (a fingerprint that names the component), component of each fingerprint, stored."""
     fps = marked.groupBy("fp").agg(F.min("key").alias("least"))
     star = stars(links(fps))
     roots = star.select("node", "root").unionByName(star.select(F.col("root").alias("node"), "root").distinct())
     linked = roots.join(fps, F.col("node") == F.col("fp")).select("node", "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    named = linked.join(least, "root").select("node", "component")
-    classes = fps.join(named, F.col("fp") == F.col("node"), "left").select(
-        "fp", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component")
+    named = linked.join(least, "root").select("node", "root", "component")
+    # Stored, so that both sides of a join are plain shuffles and Spark may split a fingerprint with many rows.
+    return materialize(
+        fps.join(named, F.col("fp") == F.col("node"), "left").select(
+            "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component")
+        ),
+        "classes",
     )
-    # Stored, so that both sides of the join are plain shuffles and Spark may split a fingerprint with many rows.
-    return marked.join(materialize(classes, "classes"), "fp").select("key", "fp", "component")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -128,13 +136,31 @@ def hex_digits(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: one with its smallest key.
+    """``docs`` with one row of each component: that of its smallest key and, where several texts have this key, of the least fingerprint.
 
-    Rows without key cannot be named as the smallest; they stay, once for each text.
+    A key that rows of different texts share stands for each of them: what is no copy of a kept row stays. Rows
+    without key stay, once for each text, also beside rows with a key. Rows that repeat key and text stay once. Very long and empty
+    texts are like any other. An empty table stays empty.
     """
-    kept = components(docs, key, text).where("key = component").select(F.col("key").alias("kept")).distinct()
+    marked = materialize(fingerprints(docs, key, text), "fingerprints")
+    placed = marked.where("key IS NOT NULL").groupBy("key", "fp").agg(F.count("*").alias("n")).join(_classes(marked).select("fp", "root"), "fp")
+    kept = placed.groupBy("root").agg(F.min(F.struct("key", "fp")).alias("k")).select("k.key", "k.fp")
+    several = placed.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("key")
+    kept = materialize(kept.join(several.withColumn("several", F.lit(True)), "key", "left"), "kept")
+    one, more = (materialize(kept.where(c).select(F.col("key").alias("kept"), F.col("fp").alias("kept_fp")), label) for c, label in (("several IS NULL", "kept-keys"), ("several", "kept-texts")))
     rows = docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))
     key_, text_ = (f"_{docs.columns.index(name)}" for name in (key, text))
-    found = rows.join(kept, F.col(key_) == F.col("kept"), "left_semi").dropDuplicates([key_])
+    found = rows.join(one, F.col(key_) == F.col("kept"), "left_semi").dropDuplicates([key_])
+    # Of keys with several texts the fingerprint decides; they are few, and only their texts are read again.
+    doubtful = rows.join(more.select("kept").distinct(), F.col(key_) == F.col("kept"), "left_semi").withColumn("fp", _fingerprint_of(F.col(text_)))
+    chosen = doubtful.join(more, (F.col(key_) == F.col("kept")) & (F.col("fp") == F.col("kept_fp")), "left_semi").dropDuplicates([key_, "fp"]).drop("fp")
     nameless = rows.where(F.col(key_).isNull()).dropDuplicates([text_])
-    return found.unionByName(nameless).toDF(*docs.columns)
+    return found.unionByName(chosen).unionByName(nameless).toDF(*docs.columns)
+
+
+def _fingerprint_of(text: Column) -> Column:
+    @F.pandas_udf("long")
+    def marked(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(x) for x in texts], dtype=np.uint64).view(np.int64))
+
+    return marked(text)
