@@ -7,12 +7,14 @@ of equal registers follows the similarity. Points come in rising order, so a shi
 its next point is above all registers, and a set costs about m log m points however large it is.
 
 Equal sets are one row with members. Sets are filed under bands of registers, and those that share a bucket
-are candidates. First all sets of a bucket are held against one, that which meets most others in all its buckets. It lies
-amid them, so a group of near copies is mostly one component then, whatever its size. Then only buckets whose sets are in several components
-are looked at again: of up to ``PAIRWISE`` sets every pair whose register bits allow it is a candidate, and a larger
-bucket is divided by further registers, several ways so that similar sets keep meeting; what still is larger
-after ``LEVELS`` divisions is compared block by block. Candidates whose registers, together with the sizes of the
-sets, make the asked similarity too unlikely are dropped, and the others are confirmed on the full sets.
+are candidates. First all sets of a bucket are held against one, that which meets most others in all its
+buckets. It lies amid them, so a group of near copies is mostly one component then, whatever its size. After that only
+buckets whose sets are in several components are looked at again. Where few sets lie beside the largest
+component, they are held against the whole bucket, and pairs whose register bits allow it are candidates. Any
+other bucket is compared block by block: bounded groups of sets meet in one task, which gives out nothing but similar
+pairs, each in one bucket. That takes time with the square of such a bucket, which holds sets close below the
+asked similarity; nothing is left out. Candidates whose registers, together with the sizes of the sets, make the asked
+similarity too unlikely are dropped, and the others are confirmed on the full sets.
 
 Two sets at exactly 0.8 share no band at all with a chance of 3 in a million, at 0.85 of one in 10^9; the two
 bounds on candidates lose less than that. Whatever is linked is linked exactly.
@@ -40,8 +42,8 @@ BANDS, ROWS = 42, 6
 REGISTERS = BANDS * ROWS
 #: Registers hold 1 - log_BASE(RATE-scaled point), from 0 to TOP; fixed values of the published parameters for two bytes.
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
-#: Sets of a bucket that are compared by a join; of a larger one, a quarter as many beside its largest component.
-PAIRWISE = 64
+#: Sets beside a bucket's largest component that are held against the whole bucket by a join.
+FEW = 16
 #: Sets of a block of a larger bucket.
 BLOCK = 256
 #: Register bits by which two sets at the asked similarity may differ: 25 of 252 are expected, 58 is seven deviations more.
@@ -333,7 +335,7 @@ def links(given: DataFrame, marked: DataFrame, sets: DataFrame) -> DataFrame:
     bits = spoken.mapInArrow(_signed, "row long, n long, s0 long, s1 long, s2 long, s3 long")
     open_ = _mixed(placed)
     signed = materialize(open_.join(bits, "row"), "signed-buckets")
-    few = F.expr(f"size <= {PAIRWISE} OR others <= {PAIRWISE // 4}")
+    few = F.expr(f"others <= {FEW}")
     bounded, crowded = signed.where(few), signed.where(~few)
     pairs = _pairs_within(bounded.where("part <> most"), bounded, ["bucket"]).distinct()
     found = found.unionByName(confirmed(pairs, spoken, full))

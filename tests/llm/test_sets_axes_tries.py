@@ -76,8 +76,8 @@ def test_components_are_those_of_all_pairs(make, texts, odd):
 
 
 def test_crowded_buckets_lose_no_link(make, texts, monkeypatch):
-    # Buckets of five sets with two beside the largest component are large here, and blocks are of three.
-    monkeypatch.setattr(setsketch, "PAIRWISE", 4)
+    # Two sets beside the largest component are many here, and blocks are of three.
+    monkeypatch.setattr(setsketch, "FEW", 1)
     monkeypatch.setattr(setsketch, "BLOCK", 3)
     assert found_components(make([(k, t, "en", "a") for k, t in texts], clash=False)) == brute_components(texts)
 
