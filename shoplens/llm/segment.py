@@ -20,14 +20,12 @@ Random numbers are a hash of row key, sample, place and purpose: samples depend
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
@@ -43,7 +41,6 @@ CHUNK = 1_000_000
 #: Nodes whose sets are valued at a time, and how far above its log-mass a Gumbel value can be: the largest
 #: number of ``_uniform`` is 1 - 2^-54.
 BLOCK, HIGHEST = 512, 37.5
-_UNIT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _MARK = "▁"
 
 
@@ -86,44 +83,70 @@ class Vocabulary:
                 state = states.setdefault(surface[:n], len(states))
                 edges[states[surface[: n - 1]] << 21 | ord(surface[n - 1])] = state
             piece_at[state] = i
-        keys = np.array(sorted(edges), dtype=np.int64)
-        self.edges, self.to = keys, np.array([edges[k] for k in keys.tolist()], dtype=np.int64)
+        # Edges by state and letter in a table that is a quarter full at most; where two meet, the later one moves on.
+        bits = (4 * len(edges)).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        slots = self._slot(np.array(list(edges), dtype=np.int64)).tolist()
+        taken: dict[int, int] = {}
+        for key, slot in zip(edges, slots):
+            while slot in taken:
+                slot = (slot + 1) & self.mask
+            taken[slot] = key
+        self.edge, self.to = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, -1, dtype=np.int64)
+        self.edge[list(taken)] = list(taken.values())
+        self.to[list(taken)] = [edges[key] for key in taken.values()]
+        self.sizes = np.fromiter(map(len, self.bytes), dtype=np.int64, count=size)
+        self.spelling = pa.array(self.bytes, type=pa.large_binary())
         self.piece = np.full(len(states), -1, dtype=np.int64)
         self.piece[list(piece_at)] = list(piece_at.values())
 
     def step(self, states: np.ndarray, letters: np.ndarray) -> np.ndarray:
         """The states that letters lead to, -1 where none."""
         keys = states << 21 | letters
-        at = np.minimum(np.searchsorted(self.edges, keys), len(self.edges) - 1)
-        return np.where(self.edges[at] == keys, self.to[at], -1)
+        at = self._slot(keys)
+        there = self.edge[at]
+        out = np.where(there == keys, self.to[at], -1)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            there = self.edge[at[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.to[at[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
 
 class Lattice:
-    """Lattices of distinct words, end to end: arcs sorted by their node, with probabilities of the rest of the word.
+    """Lattices of distinct words (UTF-8), end to end: arcs sorted by their node, with probabilities of the rest of the word.
 
     piece is the id of an arc, or -1 - letter for a letter that is spelt in bytes.
     """
 
-    def __init__(self, words: list[str], vocabulary: Vocabulary) -> None:
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        letters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    def __init__(self, words: pa.LargeBinaryArray, vocabulary: Vocabulary) -> None:
+        cuts = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+        spelt = words.buffers()[2].to_pybytes()[cuts[0] : cuts[-1]]
+        heads = (np.frombuffer(spelt, dtype=np.uint8) & 0xC0) != 0x80
+        self.sizes = sizes = np.diff(np.cumsum(np.append(0, heads))[cuts - cuts[0]])
+        letters = np.frombuffer(spelt.decode().encode("utf-32-le"), dtype="<u4").astype(np.int64)
         # One node before each letter and one at each end.
         self.base = np.cumsum(sizes + 1) - sizes - 1
         node = np.arange(len(letters)) + np.repeat(np.arange(len(words)), sizes)
-        letter_of = np.zeros(int(sizes.sum()) + len(words), dtype=np.int64)
+        # No edge bears the letter at an end.
+        letter_of = np.full(int(sizes.sum()) + len(words), 0x1FFFFF, dtype=np.int64)
         letter_of[node] = letters
         end = np.repeat(self.base + sizes, sizes + 1)
-        start, at, state = node, node.copy(), np.zeros(len(node), dtype=np.int64)
+        start, at, state = node, node, np.zeros(len(node), dtype=np.int64)
         arcs = []
         while len(start):
             state = vocabulary.step(state, letter_of[at])
-            going = state >= 0
+            going = np.flatnonzero(state >= 0)
             start, at, state = start[going], at[going] + 1, state[going]
             piece = vocabulary.piece[state]
-            ends = piece >= 0
+            ends = np.flatnonzero(piece >= 0)
             arcs.append((start[ends], at[ends], piece[ends], vocabulary.weight[piece[ends]]))
-            more = at < end[at]
-            start, at, state = start[more], at[more], state[more]
         single = np.zeros(len(letter_of), dtype=bool)
         if arcs:
             single[arcs[0][0]] = True
@@ -148,7 +171,7 @@ class Lattice:
             mine = order[first:last]
             below[from_[news[a:b]]] = np.logaddexp.reduceat(weight[mine] + below[self.to[mine]], news[a:b] - first)
         self.logp = np.minimum(weight + below[self.to] - below[start], 0.0)
-        self.first = np.searchsorted(start, np.arange(len(letter_of) + 1))
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=len(letter_of)))])
         self.start, self.end = start, end
         self.p = np.exp(self.logp)
         self.last = self.first[1:] - 1
@@ -200,16 +223,31 @@ class _Text:
         self.values: list[float] = []
 
 
+def _units(texts: list[str]) -> tuple[list[int], np.ndarray, pa.LargeBinaryArray]:
+    """Where the words of each text end, the number of each word, and the distinct words.
+
+    A blank goes before each text. A word is a line break, or blanks and what follows them up to the next blank or line break.
+    """
+    spelt = [b" " + x.encode() if x else b"" for x in texts]
+    ends = np.cumsum([len(x) for x in spelt])
+    data = b"".join(spelt)
+    raw = np.frombuffer(data, dtype=np.uint8)
+    blank, line = raw == 0x20, raw == 0x0A
+    begins = line.copy()
+    begins[1:] |= (blank[1:] & ~blank[:-1]) | (~blank[1:] & line[:-1])
+    begins[np.append(0, ends)[:-1][np.diff(ends, prepend=0) > 0]] = True
+    starts = np.flatnonzero(begins)
+    cuts = pa.py_buffer(np.append(starts, len(raw)).astype(np.int64))
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, cuts, pa.py_buffer(data)]).dictionary_encode()
+    return np.searchsorted(starts, ends).tolist(), coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
 def sample_chunk(texts: list[str], keys: list, vocabulary: Vocabulary, k: int, seed: int) -> list[list[tuple]]:
     """For each text its samples: (ids, log_prob, value, log_inclusion), best value first."""
-    units = [_UNIT.findall(f" {x}") if x else [] for x in texts]
-    types = dict.fromkeys(chain.from_iterable(units))
-    types.update(zip(types, range(len(types))))
-    lattice = Lattice(list(types), vocabulary) if types else None
-    word = np.fromiter(map(types.__getitem__, chain.from_iterable(units)), dtype=np.int64)
-    ends = np.cumsum([len(u) for u in units])
-    found = [_Text(key, seed, int(e) - len(u), int(e)) for key, u, e in zip(keys, units, ends)]
-    lengths = np.array([len(w) for w in types], dtype=np.int64)[word] if types else word
+    ends, word, words = _units(texts)
+    lattice = Lattice(words, vocabulary) if len(words) else None
+    found = [_Text(key, seed, first, last) for key, first, last in zip(keys, [0, *ends[:-1]], ends)]
+    lengths = lattice.sizes[word] if lattice else word
     place = np.cumsum(lengths) - lengths  # of each word's first letter; made the text's own below
     for t in found:
         if t.first < t.last:
@@ -283,10 +321,16 @@ def _extend(wanted: list[tuple], sample: int, lattice: Lattice, word: np.ndarray
     _leave(wanted, sample, lattice, word, place, seeds, k)
 
 
+def _arcs_but(lattice: Lattice, node: int, taken: tuple[int, ...]) -> np.ndarray:
+    arcs = np.arange(lattice.first[node], lattice.first[node + 1])
+    for arc in taken:
+        arcs = arcs[arcs != arc]
+    return arcs
+
+
 def _other(lattice: Lattice, node: int, taken: tuple[int, ...], u: float) -> int:
     """An arc out of a node, by its probability, but none of those taken."""
-    arcs = np.arange(lattice.first[node], lattice.first[node + 1])
-    arcs = arcs[~np.isin(arcs, taken)]
+    arcs = _arcs_but(lattice, node, taken)
     upto = np.cumsum(lattice.p[arcs])
     return int(arcs[min(np.searchsorted(upto, u * upto[-1], side="right"), len(arcs) - 1)])
 
@@ -331,8 +375,7 @@ def _leave(wanted: list[tuple], sample: int, lattice: Lattice, word, place, seed
         for (i, a, _), start in zip(now, starts.tolist()):
             t, at, old = wanted[i]
             if old is not None and a == at:
-                node = lattice.start[flat[start]]
-                others = np.setdiff1d(np.arange(lattice.first[node], lattice.first[node + 1]), (*old[1], int(flat[start])))
+                others = _arcs_but(lattice, lattice.start[flat[start]], (*old[1], int(flat[start])))
                 special[start] = np.logaddexp.reduce(lattice.logp[others]) if len(others) else -np.inf
         of = np.concatenate([of[a : a + BLOCK] for (_, of), (_, a, _) in zip(parts, now)])
         caps = np.repeat([wanted[i][0].values[-1] for i, _, _ in now], sizes)
@@ -384,6 +427,17 @@ def decode(ids, vocabulary: Vocabulary) -> str:
     return text[1:] if text else text
 
 
+def decode_lists(lists: pa.Array, vocabulary: Vocabulary) -> pa.Array:
+    """``decode`` of many lists of ids at once; null stays null. Bytes that are no UTF-8 are an error."""
+    ids = lists.flatten()
+    ends = np.cumsum(np.append(0, pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))
+    cuts = np.cumsum(np.append(0, vocabulary.sizes[ids.to_numpy(zero_copy_only=False)]))[ends]
+    spelt = vocabulary.spelling.take(ids).buffers()[2]
+    texts = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(cuts.astype(np.int64)), spelt if spelt is not None else pa.py_buffer(b""))
+    texts.validate(full=True)
+    return pc.if_else(pc.is_valid(lists), pc.utf8_slice_codeunits(texts, 1), None).cast(pa.string())
+
+
 @lru_cache(2)
 def _vocabulary(model: bytes) -> Vocabulary:
     return Vocabulary(model)
@@ -440,9 +494,8 @@ def decoder(spark, vocabulary: str = VOCABULARY):
     """A column function from lists of ids to texts; null stays null."""
     shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
 
-    @F.pandas_udf(T.StringType())
-    def of(lists: pd.Series) -> pd.Series:
-        known = _vocabulary(shared.value)
-        return pd.Series([None if x is None else decode(x, known) for x in lists], dtype=object)
+    @F.arrow_udf(T.StringType())
+    def of(lists: pa.Array) -> pa.Array:
+        return decode_lists(lists, _vocabulary(shared.value))
 
     return of

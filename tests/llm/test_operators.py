@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -302,7 +304,7 @@ def vocabulary():
 
 
 def every_path(word, vocabulary):
-    lattice = segment.Lattice([word], vocabulary)
+    lattice = segment.Lattice(pa.array([word], type=pa.large_binary()), vocabulary)
 
     def go(node, ids, logp):
         if node == lattice.end[0]:
@@ -356,6 +358,25 @@ def test_decoding_columns(spark, make):
     assert df.select(segment.decoder(spark)("ids").alias("t")).first().t == "some text"
 
 
+def test_lists_decode_as_single_ones_do(vocabulary):
+    texts = ["some text", "", "é漢😀", None, "\n ", "x" * 300]
+    ids = [None if x is None else segment.sample_chunk([x], [0], vocabulary, 1, 0)[0][0][0].tolist() for x in texts]
+    lists = pa.array([[1, 2], *ids], type=pa.list_(pa.int32()))[1:]
+    assert segment.decode_lists(lists, vocabulary).to_pylist() == texts
+    assert segment.decode_lists(lists[:0], vocabulary).to_pylist() == []
+    with pytest.raises(pa.ArrowInvalid):
+        segment.decode_lists(pa.array([[int(vocabulary.byte_ids[0xFF])] * 2], type=pa.list_(pa.int32())), vocabulary)
+
+
+def test_words_of_texts(vocabulary):
+    texts = ["a  b\n\n c\nd", "", " a", "\n", "a", " ", "é 漢\n"]
+    ends, word, words = segment._units(texts)
+    names = [words[i].as_py().decode() for i in word.tolist()]
+    found = [names[a:b] for a, b in zip([0, *ends], ends)]
+    assert found == [re.findall(r"\n| +[^ \n]*|[^ \n]+", f" {x}") if x else [] for x in texts]
+    assert segment._units(["", ""])[0] == [0, 0]
+
+
 # 8 quality
 
 
