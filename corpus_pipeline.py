@@ -2,8 +2,8 @@
 masked, sources are mixed to their weights, and what is left is cut into pieces.
 
 Each stage reads what its predecessor has written. All but the last return the columns of ``documents``;
-the last returns doc_id, sample, ids, log_prob and log_inclusion. A document that the mix sends more than
-once is in its result as often.
+the last returns doc_id, sample, ids, log_prob and log_inclusion, two distinct samples of a text (one where it has no
+other). A document that the mix sends more than once is in its result as often.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = segment.sampled(docs, samples=1)
+    found = segment.sampled(docs)
     return found.select(found["key"].alias("doc_id"), "sample", "ids", "log_prob", "log_inclusion")
 
 
