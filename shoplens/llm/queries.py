@@ -65,9 +65,9 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two distinct segmentations of every document, each with the digest of the text that its pieces decode to."""
-    found = segment.sampled(table(spark, sf_dir, "documents"))
-    digest = F.sha2(segment.decoder(spark)("ids"), 256)
-    return found.withColumns({"n_pieces": F.size("ids").cast("long"), "text_sha256": digest}).withColumnRenamed("key", "doc_id")
+    found = segment.sampled(table(spark, sf_dir, "documents"), decoded=True)
+    digests = found.withColumns({"n_pieces": F.size("ids").cast("long"), "text_sha256": F.sha2("decoded", 256)})
+    return digests.drop("decoded").withColumnRenamed("key", "doc_id")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -454,17 +454,19 @@ def _chunks(texts: list[str]) -> Iterator[slice]:
 
 
 def sampled(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = SAMPLES, seed: int = 0, vocabulary: str = VOCABULARY
+    docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = SAMPLES, seed: int = 0, vocabulary: str = VOCABULARY,
+    decoded: bool = False,
 ) -> DataFrame:
     """Up to ``samples`` distinct segmentations of every row: key, sample (from 1), ids, log_prob, value, log_inclusion.
 
     Texts with fewer segmentations have them all, with log_inclusion 0. A null or empty text has one, without pieces
     and without value. Repeated rows have the same samples; so have equal texts without key. An empty table gives no rows.
+    With ``decoded`` there is a column decoded, too: what the ids say, read back while a slice's lists are in memory anyway.
     """
     rows = pick(docs, key=key, text=text)
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     key_type = rows.schema["key"].dataType.simpleString()
-    names = ["key", "sample", "ids", "log_prob", "value", "log_inclusion"]
+    names = ["key", "sample", "ids", "log_prob", "value", "log_inclusion"] + ["decoded"] * decoded
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _vocabulary(shared.value)
@@ -482,12 +484,13 @@ def sampled(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("key").take(where), pa.array([i + 1 for f in found for i in range(len(f))], type=pa.int32()), lists,
-                        *(pa.array([s[c] for s in flat], type=pa.float64()) for c in (1, 2, 3)),
+                        *(pa.array([s[c] for s in flat], type=pa.float64()) for c in (1, 2, 3)), *([decode_lists(lists, known)] if decoded else []),
                     ],
                     names,
                 )
 
-    return rows.mapInArrow(cut, f"key {key_type}, sample int, ids array<int>, log_prob double, value double, log_inclusion double")
+    schema = f"key {key_type}, sample int, ids array<int>, log_prob double, value double, log_inclusion double"
+    return rows.mapInArrow(cut, schema + ", decoded string" * decoded)
 
 
 def decoder(spark, vocabulary: str = VOCABULARY):

@@ -345,6 +345,7 @@ def test_round_trip_of_odd_texts(spark, make, odd, vocabulary):
     rows = segment.sampled(df, samples=3).collect()
     for r in rows:
         assert segment.decode(r.ids, vocabulary) == (texts[r.key] or "")
+    assert all(r.decoded == (texts[r.key] or "") for r in segment.sampled(df, samples=3, decoded=True).collect())
     for i, x in enumerate(texts):
         own = [tuple(r.ids) for r in rows if r.key == i]
         assert len(own) == len(set(own)) >= 1
