@@ -36,8 +36,8 @@ from shoplens.llm.fertility import VOCABULARY, read_vocabulary
 from shoplens.llm.tables import parts, pick
 
 SAMPLES = 2
-#: Letters of the texts that are segmented together.
-CHUNK = 1_000_000
+#: Rows and letters of the texts that are segmented together; a text alone may have more.
+ROWS, CHUNK = 64, 125_000
 #: Nodes whose sets are valued at a time, and how far above its log-mass a Gumbel value can be: the largest
 #: number of ``_uniform`` is 1 - 2^-54.
 BLOCK, HIGHEST = 512, 37.5
@@ -470,7 +470,7 @@ def sampled(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _vocabulary(shared.value)
-        for batch in parts(batches):
+        for batch in parts(batches, ROWS):
             texts = [x or "" for x in batch.column("text").to_pylist()]
             keys = batch.column("key").to_pylist()
             for part in _chunks(texts):
