@@ -8,13 +8,14 @@ from functools import partial, reduce
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from shoplens.ml.attempts import attempt_all
+from shoplens.ml.ranking import exact_auc
 from shoplens.operators.features import CLASSES, fold_of, sample_to_budget, train_test_split, with_class_weight
 from shoplens.scratch import materialize
 
@@ -105,6 +106,19 @@ def fit_classifiers(
     return Classifiers(preparation, models, errors)
 
 
+def save_classifiers(fitted: Classifiers, path: str) -> str:
+    """Store the feature steps and all models that were fitted, as one pipeline, and return the path."""
+    PipelineModel([fitted.preparation, *fitted.models.values()]).write().overwrite().save(path)
+    return path
+
+
+def load_classifiers(path: str) -> Classifiers:
+    """What ``save_classifiers`` stored, to score new rows; errors of the fit are not kept."""
+    preparation, *models = PipelineModel.load(path).stages
+    by_column = {m.getPredictionCol(): m for m in models}
+    return Classifiers(preparation, {n: by_column[p] for n in MODELS if (p := f"prediction_{_slug(n)}") in by_column}, {})
+
+
 def score(fitted: Classifiers, test: DataFrame) -> DataFrame:
     """The test rows with the raw score and prediction of every model, in one pass."""
     scored = fitted.preparation.transform(test)
@@ -153,34 +167,33 @@ def metrics_from_confusion(cells: DataFrame) -> DataFrame:
     )
 
 
-def classifier_metrics(
-    fitted: Classifiers, scored: DataFrame, digits: int = 4, parallelism: int = 3
-) -> DataFrame:
+def model_scores(fitted: Classifiers, scored: DataFrame) -> DataFrame:
+    """model, label and score: a row for each test row and model."""
+    raw = [(name, vector_to_array(f"raw_{_slug(name)}")) for name in fitted.models]
+    return scored.select("label", F.inline(F.array(*[F.struct(F.lit(name).alias("model"), v[1].alias("score")) for name, v in raw])))
+
+
+def classifier_metrics(fitted: Classifiers, scored: DataFrame, digits: int = 4) -> DataFrame:
     """AUC, F1, precision, recall and accuracy per model.
 
-    A model that could not be fitted or evaluated scores zero and carries its error.
+    A model that could not be fitted or has no rows to be judged by scores zero and carries its error. Without rows of
+    both classes the AUC is zero.
     """
     spark = scored.sparkSession
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def area(name: str) -> float:
-        evaluator = BinaryClassificationEvaluator(
-            labelCol="label", rawPredictionCol=f"raw_{_slug(name)}", metricName="areaUnderROC"
-        )
-        return evaluator.evaluate(scored)
-
     try:
         cells = metrics_from_confusion(confusion(fitted, scored)).collect() if fitted.models else []
         others = {r["model"]: r for r in cells}
-        areas, errors = attempt_all(spark, {name: partial(area, name) for name in fitted.models}, parallelism)
+        areas = {r["model"]: r["auc"] for r in exact_auc(model_scores(fitted, scored)).collect()} if fitted.models else {}
     finally:
         scored.unpersist()
-    rows = []
-    for name, auc in areas.items():
+    rows, errors = [], {}
+    for name in fitted.models:
         if name not in others:  # no test rows
             errors[name] = "no rows to evaluate"
             continue
-        measures = [auc, *(others[name][m] for m in METRICS[1:])]
+        measures = [areas.get(name) or 0.0, *(others[name][m] for m in METRICS[1:])]
         rows.append((name, *(round(m, digits) for m in measures), None))
     for name, error in {**errors, **fitted.errors}.items():
         rows.append((name, *(0.0 for _ in METRICS), error))

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -27,11 +27,17 @@ DEFAULT_K = 4
 
 @dataclass
 class Sweep:
-    """Scores per k, and the customers with the cluster that the best model gives them."""
+    """Scores per k, the customers with the cluster that the best model gives them, and that model with its feature steps."""
 
     scores: DataFrame
     best_k: int
     assigned: DataFrame
+    model: PipelineModel
+
+
+def _feature_steps(cols: Sequence[str]) -> Pipeline:
+    gathered = VectorAssembler(inputCols=list(cols), outputCol="raw_features")
+    return Pipeline(stages=[gathered, StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=False)])
 
 
 def kmeans_sweep(
@@ -49,12 +55,7 @@ def kmeans_sweep(
     """
     spark = features.sparkSession
     stored = materialize(features, "customer-features")
-    steps = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(cols), outputCol="raw_features"),
-            StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=False),
-        ]
-    ).fit(stored)
+    steps = _feature_steps(cols).fit(stored)
     scaled = steps.transform(stored)
     vectors = scaled.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette")
@@ -77,18 +78,41 @@ def kmeans_sweep(
         [(k, round(scored[k][1], digits) if k in scored else None, errors.get(k), k == best_k) for k in ks],
         "k INT, silhouette_score DOUBLE, error STRING, is_best BOOLEAN",
     )
-    return Sweep(table, best_k, best.transform(scaled).drop("raw_features", "features"))
+    model = PipelineModel([*steps.stages, best])
+    return Sweep(table, best_k, assign(model, stored), model)
+
+
+def save_segments(model: PipelineModel, path: str) -> str:
+    """Store the model of a sweep, feature steps included, and return the path."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_segments(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def assign(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """``features`` with the cluster that a kept model gives each row, be it of the fit or new; nothing is fitted again."""
+    return model.transform(features).drop("raw_features", "features")
+
+
+def centre_distances(model: PipelineModel) -> Column:
+    """Array of a row's squared distances to the model's centres, by cluster, from the feature columns and the model's numbers alone.
+
+    A feature without spread in the fit counts nothing, as in the scaling of the model.
+    """
+    gathered, scaler, kmeans = model.stages
+    cols = gathered.getInputCols()
+    scale = [1 / spread if spread > 0 else 0.0 for spread in scaler.std]
+    parts = [[(F.col(c) * by - float(at)) ** 2 for c, by, at in zip(cols, scale, centre)] for centre in kmeans.clusterCenters()]
+    return F.array(*[sum(squares[1:], squares[0]) for squares in parts])
 
 
 def gaussian_mixture(features: DataFrame, cols: Sequence[str] = CUSTOMER_FEATURES, k: int = DEFAULT_K, seed: int = 42) -> DataFrame:
     """Soft segments: ``features`` with the likeliest of k Gaussian components and its probability."""
     stored = materialize(features, "customer-features")
-    steps = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(cols), outputCol="raw_features"),
-            StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=False),
-        ]
-    ).fit(stored)
+    steps = _feature_steps(cols).fit(stored)
     scaled = steps.transform(stored)
     model = GaussianMixture(featuresCol="features", predictionCol="cluster", probabilityCol="chances", k=k, seed=seed, maxIter=20).fit(scaled)
     chance = F.array_max(vector_to_array("chances"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.columns import label_map, near
 from shoplens.operators import distributions as d
-from shoplens.operators import profile
+from shoplens.operators import distincts, profile
 from shoplens.operators.features import class_weights
 from shoplens.plans.reports import succeeded
 from shoplens.registry import bindings as b
@@ -256,3 +256,23 @@ def key_quality(spark: SparkSession, sf: str) -> DataFrame:
     return profile.key_quality(
         load_table(spark, "orders", sf), "o_orderkey", {"o_custkey": (load_table(spark, "customer", sf), "c_custkey")}
     )
+
+
+@query(f"""WITH {b.SQL_ORDERS},
+periods AS (
+    SELECT unit, date_trunc(unit, created_at)::DATE AS period_start, customer_id
+    FROM orders_v, (VALUES ('month'), ('quarter'), ('year')) u(unit) WHERE created_at IS NOT NULL)
+SELECT unit, period_start, count(DISTINCT customer_id) AS customers FROM periods WHERE customer_id IS NOT NULL GROUP BY 1, 2""")
+def bitmap_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct customers per month, and per quarter and year from the months' bitmaps."""
+    return distincts.distinct_per_period(b.orders(spark, sf), "customer_id", "created_at", out="customers")
+
+
+@query(f"""WITH {b.SQL_CLICKS}
+SELECT event_time::DATE AS day, traffic_source, count(DISTINCT event_id) AS events
+FROM clicks WHERE event_id IS NOT NULL GROUP BY 1, 2""")
+def bitmap_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct events per day and source; rows without time are a group of their own."""
+    by = ["day", "traffic_source"]
+    clicks = b.clickstream(spark, sf).withColumn("day", F.to_date("event_time"))
+    return distincts.count_bitmaps(distincts.bitmaps(clicks, "event_id", by), by, "events")

@@ -9,12 +9,14 @@ from shoplens.functions.columns import near
 from shoplens.ml import classification as c
 from shoplens.ml import density as d
 from shoplens.ml import segmentation as s
+from shoplens.ml.ranking import exact_auc
 from shoplens.operators import features as f
 from shoplens.operators import history as h
 from shoplens.operators import oversample as o
 from shoplens.operators.clean import present
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
+from shoplens.scratch import scratch_path
 
 # One fit per session and state of the tables serves all the queries that report on it.
 _fitted: dict[tuple, tuple[c.Classifiers, DataFrame]] = {}
@@ -110,10 +112,10 @@ _MODELS = "(VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient-Booste
 
 @query(f"""WITH {_LABELLED}
 SELECT booking_id, payment_status FROM labelled
-WHERE {_place("booking_id", 7)} * (SELECT count(*) FROM labelled) < 50000""")
+WHERE {_place("booking_id", 7)} * (SELECT count(*) FROM labelled) < 5000""")
 def sample_to_budget(spark: SparkSession, sf: str) -> DataFrame:
-    """A budget of 50,000 labelled rows for fitting; a table below it comes back whole."""
-    return f.sample_to_budget(_features(spark, sf), "booking_id", rows=50_000).select("booking_id", "payment_status")
+    """A budget of 5,000 labelled rows for fitting; a table below it comes back whole."""
+    return f.sample_to_budget(_features(spark, sf), "booking_id", rows=5_000).select("booking_id", "payment_status")
 
 
 @query(f"""WITH {b.SQL_ORDERS}
@@ -323,3 +325,38 @@ def gaussian_segments(spark: SparkSession, sf: str) -> DataFrame:
     segments = s.gaussian_mixture(f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID))
     sound = F.col("cluster").between(0, s.DEFAULT_K - 1) & F.col("probability").between(1 / s.DEFAULT_K - 1e-9, 1 + 1e-9)
     return segments.select("customer_id", "num_transactions", "num_sessions", "device_type", "gender", sound.alias("has_component"))
+
+
+@query(f"""WITH {_SEGMENTED} SELECT customer_id, num_transactions, true AS has_nearest_centre FROM segmented
+WHERE {_place("customer_id", 42)} >= 0.8""")
+def kept_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored and reloaded model gives customers that were not in its fit the cluster whose centre is nearest."""
+    features = f.customer_features(b.transactions(spark, sf), b.customers(spark, sf), b.PAID)
+    known, new = f.train_test_split(features, "customer_id")
+    path = s.save_segments(s.kmeans_sweep(known, ks=(s.DEFAULT_K,)).model, scratch_path(spark, "segments"))
+    model = s.load_segments(path)
+    assigned = s.assign(model, new).withColumn("far", s.centre_distances(model))
+    # The last bits of the two ways to compute a distance differ.
+    nearest = F.col("far")[F.col("cluster")] <= F.array_min("far") * (1 + 1e-9) + 1e-9
+    return assigned.select("customer_id", "num_transactions", nearest.alias("has_nearest_centre"))
+
+
+_MEASURES = ("total_amount", "shipment_fee", "promo_amount")
+
+
+@query(f"""WITH {b.SQL_TRANSACTIONS},
+scored AS (
+    SELECT m AS measure, payment_status = 'O' AS failed, CASE m {" ".join(f"WHEN '{m}' THEN {b.near(m)}" for m in _MEASURES)} END AS score
+    FROM tx, (VALUES {", ".join(f"('{m}')" for m in _MEASURES)}) t(m) WHERE payment_status IN ('F', 'O')),
+ranked AS (
+    SELECT *, rank() OVER (PARTITION BY measure ORDER BY score) + (count(*) OVER (PARTITION BY measure, score) - 1) / 2 AS place
+    FROM scored WHERE score IS NOT NULL)
+SELECT measure, count(*) FILTER (failed) AS positives, count(*) FILTER (NOT failed) AS negatives,
+       {b.near("(sum(place) FILTER (failed) - positives * (positives + 1) / 2) / (positives * negatives)", 9)} AS auc
+FROM ranked GROUP BY 1""")
+def measure_auc(spark: SparkSession, sf: str) -> DataFrame:
+    """How well each amount of an order, by itself, ranks failed payments above paid ones: the exact area under the curve."""
+    tx = b.transactions(spark, sf).where(F.col("payment_status").isin(b.PAID, b.FAILED))
+    label = F.when(F.col("payment_status") == b.FAILED, 1.0).otherwise(0.0).alias("label")
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), near(m, 2).alias("score")) for m in _MEASURES])
+    return exact_auc(tx.select(label, F.inline(each)), by="measure").withColumn("auc", near("auc", 9))

@@ -13,6 +13,7 @@ from shoplens.registry.entries import query
 from shoplens.scratch import scratch_path
 from shoplens.sources.catalog import load_table
 from shoplens.sources.readers import read_csv, read_json
+from shoplens.sources.rejects import read_csv_checked
 from shoplens.sources.schemas import CLICKSTREAM, ORDER_ITEMS_JSON, STREAM_EVENTS
 from shoplens.sources.writers import write_table
 
@@ -220,3 +221,24 @@ def parse_event_props(spark: SparkSession, sf: str) -> DataFrame:
     """A flat struct; a field that the text lacks is NULL."""
     parsed = clean.parse_json(load_table(spark, "events", sf), "props", "k INT, page STRING", "parsed")
     return parsed.select("event_id", "parsed.k", "parsed.page")
+
+
+@query("""WITH marked AS (
+    SELECT *, concat_ws(',', CASE WHEN o_orderkey % 7 = 0 AND o_totalprice IS NOT NULL THEN 'o_totalprice' END,
+                             CASE WHEN o_orderkey % 11 = 0 THEN 'o_orderdate' END) AS faults FROM orders)
+SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'cells' ELSE nullif(faults, '') END AS reason, count(*) AS num_rows,
+       sum(o_orderkey)::BIGINT AS keys
+FROM marked GROUP BY 1""")
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a CSV file with spoilt cells and cut lines: good rows (no reason) and rejected ones, by reason, with all their keys."""
+    key = F.col("o_orderkey")
+    price = F.when((key % 7 == 0) & F.col("o_totalprice").isNotNull(), "12,50 EUR").otherwise(F.col("o_totalprice").cast("string"))
+    date = F.when(key % 11 == 0, "soon").otherwise(F.col("o_orderdate").cast("string"))
+    cells = [F.coalesce(c, F.lit("")) for c in (key.cast("string"), F.when(price.isNotNull(), F.concat(F.lit('"'), price, F.lit('"'))), date)]
+    line = F.when(key % 13 == 0, key.cast("string")).otherwise(F.concat_ws(",", *cells))
+    path = scratch_path(spark, "spoilt-csv")
+    load_table(spark, "orders", sf).select(line.alias("value")).write.text(path)
+    checked = read_csv_checked(spark, path, "o_orderkey BIGINT NOT NULL, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ", header=False)
+    good = checked.good.select(F.lit(None).cast("string").alias("reason"), "o_orderkey")
+    bad = checked.rejected.select("reason", F.split("line", ",")[0].cast("bigint").alias("o_orderkey"))
+    return good.unionByName(bad).groupBy("reason").agg(F.count("*").alias("num_rows"), F.sum("o_orderkey").alias("keys"))

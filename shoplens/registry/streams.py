@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shoplens.registry import bindings as b
 from shoplens.registry.entries import query
 from shoplens.registry.storage import text_clicks
-from shoplens.scratch import scratch_path
+from shoplens.scratch import materialize, scratch_path
 from shoplens.sources.catalog import load_table
 from shoplens.sources.readers import stream_json, stream_parquet
 from shoplens.sources.schemas import STREAM_EVENTS
@@ -142,3 +142,46 @@ def traffic_rollup_approx(spark: SparkSession, sf: str) -> DataFrame:
     exact = w.rollup_counts(clicks, "traffic_source", exact=True)
     near = F.abs(F.col("estimate") - F.col("unique_sessions")) <= F.greatest(F.lit(1.0), 0.2 * F.col("unique_sessions"))
     return exact.join(estimates, "traffic_source").select("traffic_source", "event_count", "unique_sessions", near.alias("estimate_is_near"))
+
+
+def _sessions_sql(closed: str) -> str:
+    return f"""WITH {b.SQL_CLICKS},
+cut AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, event_time) AS w FROM clicks WHERE event_time IS NOT NULL),
+kept AS (SELECT * FROM cut {closed}),
+periods AS (SELECT unit, date_trunc(unit, w)::TIMESTAMP AS window_start, traffic_source, session_id FROM kept, (VALUES ('hour'), ('day')) u(unit))
+SELECT unit, window_start, traffic_source, count(*) AS event_count, count(DISTINCT session_id) AS sessions, true AS estimate_is_near
+FROM periods GROUP BY 1, 2, 3"""
+
+
+def _united(sketches: DataFrame, exact_from: DataFrame) -> DataFrame:
+    """Hours and days from stored sketches of five minutes, beside the exact sessions of the same events."""
+    found = None
+    hours = w.unite_sketches(sketches, "traffic_source", "hour")
+    for unit, stored in (("hour", hours), ("day", w.unite_sketches(hours, "traffic_source", "day"))):
+        keys = ["window_start", "traffic_source"]
+        start = F.date_trunc(unit, "event_ts").alias("window_start")
+        exact = exact_from.groupBy(start, "traffic_source").agg(F.count_distinct("session_id").alias("exact"))
+        near = F.abs(F.col("sessions") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.065 * F.col("exact"))
+        both = w.sketch_estimates(stored).join(exact, keys)
+        rows = both.select(
+            F.lit(unit).alias("unit"), F.col("window_start").cast("timestamp_ntz").alias("window_start"), "traffic_source",
+            "event_count", F.col("exact").alias("sessions"), near.alias("estimate_is_near"),
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query(_sessions_sql(""))
+def sketch_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions of hours and days as unions of stored five-minute sketches: within four times the sketch's error of the exact ones."""
+    events = batch_events(spark, sf).where("event_ts IS NOT NULL")
+    return _united(materialize(w.window_sketches(events, "traffic_source"), "sketches"), events)
+
+
+@query(_sessions_sql("WHERE w + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"))
+def stream_session_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the sketches that an append stream has stored, for the windows that the watermark has closed."""
+    closed, _ = runner.append_stream(w.window_sketches(live_events(spark, sf), "traffic_source"))
+    last = closed.agg(F.max("window_end")).scalar()
+    events = batch_events(spark, sf).withColumn("last", last).where(F.col("event_ts") < F.col("last"))
+    return _united(closed, events)
