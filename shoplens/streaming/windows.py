@@ -11,6 +11,14 @@ def with_event_time(events: DataFrame, col: str, out: str = "event_ts") -> DataF
     return events.withColumn(out, F.col(col).try_cast("timestamp"))
 
 
+def _estimated(session: str, precision: int = 12) -> Column:
+    """Approximate distinct values: some hundreds are all but exactly counted, more of them with an error of about 1.6 %.
+
+    ``approx_count_distinct`` has 512 registers however few the values are, so two or three of seven sessions may share one.
+    """
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.col(session).cast("string"), precision))
+
+
 def _bounds() -> list[Column]:
     return [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")]
 
@@ -34,7 +42,7 @@ def window_counts(
     timed = events.withWatermark(ts, watermark) if watermark else events
     return (
         timed.groupBy(F.window(ts, window, slide).alias("w"), key)
-        .agg(F.count("*").alias("event_count"), F.approx_count_distinct(session).alias(sessions_as))
+        .agg(F.count("*").alias("event_count"), _estimated(session).alias(sessions_as))
         .select(*_bounds(), key, "event_count", sessions_as)
     )
 
@@ -96,5 +104,5 @@ def sketch_estimates(sketches: DataFrame, out: str = "sessions") -> DataFrame:
 
 def rollup_counts(events: DataFrame, key: str, session: str = "session_id", exact: bool = False) -> DataFrame:
     """Events and distinct sessions per key over the whole table."""
-    distinct = F.count_distinct(session) if exact else F.approx_count_distinct(session)
+    distinct = F.count_distinct(session) if exact else _estimated(session)
     return events.groupBy(key).agg(F.count("*").alias("event_count"), distinct.alias("unique_sessions"))

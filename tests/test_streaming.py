@@ -212,3 +212,14 @@ def test_an_empty_source_gives_an_empty_result(spark, tmp_path):
     (tmp_path / "in").mkdir()
     result = runner.upsert_stream(w.window_counts(events(spark, str(tmp_path / "in")), "event_name"), KEYS)
     assert result.count() == 0 and {*KEYS, "event_count"} <= set(result.columns)
+
+
+def test_few_sessions_are_counted_exactly(spark):
+    rows = spark.range(14_000).selectExpr(
+        "timestamp_seconds(1700000100 + 300 * (id div 7)) AS event_ts", "'a' AS event_name",
+        "IF(id % 7 = 6, NULL, concat('u', id, '-2024-03-01')) AS session_id",
+    )
+    found = w.window_counts(rows, "event_name").select("event_count", "unique_sessions").distinct().collect()
+    assert [tuple(r) for r in found] == [(7, 6)]
+    few = w.rollup_counts(rows.limit(200), "event_name").collect()[0]
+    assert few.unique_sessions == w.rollup_counts(rows.limit(200), "event_name", exact=True).collect()[0].unique_sessions
