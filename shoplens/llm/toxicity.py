@@ -9,12 +9,14 @@ class has evidence of its own. A count is the number of documents with the word,
 The log-likelihoods are compared length-normalised, for the text as a whole and for its most toxic words;
 a logistic curve, fitted on labelled texts that the counts have not seen, turns the comparison into a score.
 
-Bounds, all parameters: labelled rows per class for the counts and for the curve, and 5-grams in the model that
-no labelled document holds (those in most documents). Whatever else is counted covers every document.
+Bounds, both parameters: labelled rows per class for the counts and for the curve. Whatever else is counted covers every
+document. A task holds the shared counts themselves as long as they are few; of more it holds the probabilities of the
+4-grams in most documents, and Spark looks up those of the words with any other, so no count is left out.
 """
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -35,7 +37,7 @@ DISCOUNT = 0.75
 CLASS_DISCOUNTS = (0.75, 1.5, 3.0)
 #: Labelled rows of each class, at most: for the counts, and for the curve.
 COUNT_ROWS, CURVE_ROWS = 20_000, 5_000
-#: 5-grams in the model that no labelled document holds, at most, and the documents that a 5-gram must be found in.
+#: n-grams in a task that no labelled document holds, at most, and the documents that a 5-gram must be found in.
 MODEL_GRAMS, MIN_DOCS = 1_000_000, 2
 #: Distinct words that a task counts before it hands on their 5-grams, and words whose likelihood it remembers.
 COUNTED, REMEMBERED = 100_000, 100_000
@@ -102,15 +104,19 @@ def _order(keys: np.ndarray, counts: np.ndarray, n: int, lower, discount: float
 
 
 class Model:
-    """Log-likelihoods of words under both classes. counts: 5-grams with documents that are toxic, ordinary, any."""
+    """Log-likelihoods of words under both classes. counts: 5-grams with documents that are toxic, ordinary, any.
+
+    With ``held``, shared probabilities of some 4-grams, the lower orders are elsewhere: words with other 4-grams give NaN.
+    """
 
     def __init__(
-        self, keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, every: np.ndarray, discount: float = DISCOUNT
+        self, keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, every: np.ndarray, discount: float = DISCOUNT, held: Table | None = None
     ) -> None:
+        self.held = held
         order = np.argsort(keys)
         keys, counts, every = keys[order], (toxic[order], ordinary[order]), every[order]
         self.shared: list[tuple[Table, Table]] = []
-        grams = keys[every >= MIN_DOCS]
+        grams = keys[every >= MIN_DOCS] if held is None else keys[:0]
         levels = []
         for n in range(ORDER - 1, 0, -1):  # continuation counts: kinds of (n+1)-grams that end in the n-gram
             grams, kinds = _summed(grams & ((1 << BITS * n) - 1), np.ones(len(grams)))
@@ -124,6 +130,9 @@ class Model:
 
     def _shared(self, keys: np.ndarray, n: int) -> np.ndarray:
         """Shared probability of the last letter of n-grams."""
+        if self.held is not None:
+            at, there = self.held.find(keys)
+            return np.where(there, self.held.columns[0][at], np.nan) if len(self.held.keys) else np.full(len(keys), np.nan)
         if n == 0:
             return np.full(len(keys), 1 / (self.letters + 1))
         return self._back(keys, n, *self.shared[n - 1], lambda low: self._shared(low, n - 1))
@@ -139,6 +148,12 @@ class Model:
         out[~there] = share * lower(rest & ((1 << BITS * (n - 1)) - 1))
         return out
 
+    def holding(self, held: Table) -> Model:
+        """The same model with the shared probabilities of other 4-grams."""
+        other = copy.copy(self)
+        other.held = held
+        return other
+
     def word_likelihoods(self, words: list[str]) -> np.ndarray:
         """Rows: length with the end, log-likelihood if toxic, if ordinary."""
         if not words:
@@ -159,28 +174,55 @@ class Reader:
     def __init__(self, model: Model) -> None:
         self.model, self.known, self.rows = model, {}, np.zeros((0, 3))
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        """Rows: log-likelihood per letter if toxic, if ordinary, then mean and peaks of their difference."""
-        out, start, size = [np.zeros((0, 5))], 0, 0
+    def features(self, texts: list[str | None], more: list[dict | None] | None = None) -> np.ndarray:
+        """Rows: log-likelihood per letter if toxic, if ordinary, then mean and peaks of their difference.
+
+        ``more``: for each text the rows of ``word_likelihoods`` of the words that the model itself cannot judge.
+        """
+        out = [np.zeros((0, 5))]
+        for start, split in self._split(texts):
+            out.append(self._features(split, more[start : start + len(split)] if more else [None] * len(split)))
+        return np.concatenate(out)
+
+    def unjudged(self, texts: list[str | None]) -> list[list[str]]:
+        """The distinct words of each text that have 4-grams the model does not hold."""
+        out = []
+        for _, split in self._split(texts):
+            self._learn(split)
+            for words in split:
+                distinct = sorted(set(words))
+                at = np.array([self.known[w] for w in distinct], dtype=np.int64)
+                out.append([distinct[i] for i in np.flatnonzero(np.isnan(self.rows[at, 1:]).any(axis=1))])
+        return out
+
+    @staticmethod
+    def _split(texts: list[str | None]) -> Iterator[tuple[int, list[list[str]]]]:
+        """The words of a few texts at a time, and where those start."""
+        start, size = 0, 0
         for i, x in enumerate(texts):
             size += len(x or "")
-            if size >= CHUNK or i == len(texts) - 1:  # a few texts at a time are words in memory
-                out.append(self._features(texts[start : i + 1]))
+            if size >= CHUNK or i == len(texts) - 1:
+                yield start, [words_of(x) for x in texts[start : i + 1]]
                 start, size = i + 1, 0
-        return np.concatenate(out)
 
-    def _features(self, texts: list[str | None]) -> np.ndarray:
-        split = [words_of(x) for x in texts]
+    def _learn(self, split: list[list[str]]) -> None:
         new = list({w for words in split for w in words}.difference(self.known))
         if len(self.known) + len(new) > REMEMBERED:
             self.known, self.rows = {}, np.zeros((0, 3))
             new = list({w for words in split for w in words})
         self.known.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
         self.rows = np.concatenate([self.rows, self.model.word_likelihoods(new)])
-        out = np.zeros((len(texts), 5))
+
+    def _features(self, split: list[list[str]], more: list[dict | None]) -> np.ndarray:
+        self._learn(split)
+        out = np.zeros((len(split), 5))
         for i, words in enumerate(split):
             if words:
-                sizes, toxic, ordinary = self.rows[[self.known[w] for w in words]].T
+                rows = self.rows[[self.known[w] for w in words]]
+                if more[i]:
+                    for at in np.flatnonzero(np.isnan(rows[:, 1:]).any(axis=1)):
+                        rows[at] = more[i][words[at]]
+                sizes, toxic, ordinary = rows.T
                 ratio = toxic - ordinary
                 n = sizes.sum()
                 top = np.partition(ratio, -min(3, len(ratio)))[-3:]
@@ -192,21 +234,46 @@ def _scaled(features: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(features)), features[:, 2] * 10, features[:, 3] / 4, features[:, 4] / 4])
 
 
-def fit_curve(features: np.ndarray, toxic: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, float]:
-    """Logistic regression by Newton's method, and its mean loss. The rarer class weighs more, by the root of the ratio."""
-    if not 0 < toxic.sum() < len(toxic):
-        return DEFAULT_CURVE, 0.0
-    x, y = _scaled(features), toxic.astype(float)
-    weight = np.where(y == 1, np.sqrt((1 - y).sum() / y.sum()), 1.0)
-    ridge = np.diag([1e-6] + [penalty] * (x.shape[1] - 1))
-    beta = np.zeros(x.shape[1])
-    for _ in range(25):
-        p = _curve(x @ beta)
-        slope = x.T @ (weight * (y - p)) - ridge @ beta
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge
-        beta = beta + np.linalg.solve(bend, slope)
-    p = _curve(x @ beta)
-    return beta, float(-(weight * np.log(np.where(y == 1, p, 1 - p))).sum() / weight.sum())
+def fit_curves(seen: DataFrame, models: int, penalty: float = 1.0, rounds: int = 25) -> list[tuple[np.ndarray, float]]:
+    """Logistic regressions by Newton's method, one for each model, and their mean losses.
+
+    ``seen``: toxic, and found, the features of a text under one model after the other; Spark sums over all of its rows.
+    The rarer class weighs more, by the root of the ratio.
+    """
+    rows, bad = seen.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < bad < rows:
+        return [(DEFAULT_CURVE, 0.0)] * models
+    heavy, size = float(np.sqrt((rows - bad) / bad)), len(DEFAULT_CURVE)
+    ridge = np.diag([1e-6] + [penalty] * (size - 1))
+
+    def summed(betas: list[np.ndarray]) -> np.ndarray:
+        """Rows: for each model the slope, the bend, the loss and the weight."""
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((models, size + size * size + 2))
+            for batch in batches:
+                y = batch.column("toxic").to_numpy().astype(float)
+                found = batch.column("found").flatten().to_numpy().reshape(len(y), models, -1)
+                weight = np.where(y == 1, heavy, 1.0)
+                for m, beta in enumerate(betas):
+                    x = _scaled(found[:, m])
+                    p = _curve(x @ beta)
+                    bend = (x * (weight * p * (1 - p))[:, None]).T @ x
+                    loss = -(weight * np.log(np.where(y == 1, p, 1 - p))).sum()
+                    total[m] += np.concatenate([x.T @ (weight * (y - p)), bend.ravel(), [loss, weight.sum()]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["place", "value"])
+
+        sums = seen.mapInArrow(each, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
+        return sums.orderBy("place").toPandas()["value"].to_numpy().reshape(models, -1)
+
+    betas = [np.zeros(size)] * models
+    for _ in range(rounds):
+        sums = summed(betas)
+        steps = [np.linalg.solve(t[size:-2].reshape(size, size) + ridge, t[:size] - ridge @ b) for t, b in zip(sums, betas)]
+        betas = [b + step for b, step in zip(betas, steps)]
+        if max(np.abs(step).max() for step in steps) < 1e-9:
+            break
+    return [(b, float(t[-2] / t[-1])) for b, t in zip(betas, summed(betas))]
 
 
 def _curve(z: np.ndarray) -> np.ndarray:
@@ -215,11 +282,15 @@ def _curve(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Scorer:
-    """model and curve, or where a class has no labelled rows the score of everything."""
+    """model and curve, or where a class has no labelled rows the score of everything.
+
+    ``levels``: the lower orders of a model that does not hold them, see ``_levels``.
+    """
 
     model: Model | None
     curve: np.ndarray
     constant: float = 0.0
+    levels: list[tuple[DataFrame, DataFrame]] | None = None
 
 
 def _labelled(labels: DataFrame, key: str, toxic: str, rows: int, curve_rows: int) -> dict:
@@ -270,11 +341,118 @@ def _counted(rows: Iterator[pa.RecordBatch], known: dict) -> Iterator[pa.RecordB
         yield handed()
 
 
+def _tail(gram: Column, n: int) -> Column:
+    """The last n letters of an n-gram's number."""
+    return gram.bitwiseAND(F.lit((1 << BITS * n) - 1))
+
+
+def _levels(sums: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Shared probabilities by order, from 1: (gram, docs, p) and (context, left), what a context leaves to the order below.
+
+    As in ``Model``, for any number of n-grams. The first entry, of order 0, has the probability of a letter never seen.
+    """
+    above, counts = sums.select("gram", F.col("every").alias("docs")), {}
+    for n in range(ORDER - 1, 0, -1):
+        kinds = above.groupBy(_tail(F.col("gram"), n).alias("gram")).agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs"))
+        above = counts[n] = materialize(kinds, f"{n}-grams")
+    base = counts[1].agg((1 / (F.greatest(F.count("*"), F.lit(1)) + 1)).alias("p")).withColumn("gram", F.lit(0).cast("long"))
+    levels = [(materialize(base, "0-grams"), None)]
+    for n in range(1, ORDER):
+        per = counts[n].withColumn("context", F.shiftright("gram", BITS))
+        left = per.groupBy("context").agg(
+            F.sum("kinds").alias("total"), (F.sum(F.least("kinds", F.lit(DISCOUNT))) / F.sum("kinds")).alias("left")
+        )
+        left = materialize(left, "contexts")
+        lower = levels[-1][0].select(F.col("gram").alias("tail"), F.col("p").alias("lower"))
+        own = F.greatest(F.col("kinds") - DISCOUNT, F.lit(0.0)) / F.col("total") + F.col("left") * F.col("lower")
+        joined = per.join(left, "context").join(lower, _tail(F.col("gram"), n - 1) == F.col("tail"))
+        levels.append((materialize(joined.select("gram", "docs", own.alias("p")), "probabilities"), left.select("context", "left")))
+    return levels
+
+
+def _backed_off(grams: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """4-grams (gram) -> gram, p: the shared probability of the longest end that is known, less for each context on the way."""
+    out = grams.select("gram", F.lit(1.0).alias("share"), F.lit(None).cast("double").alias("p"))
+    for n in range(ORDER - 1, -1, -1):
+        known, left = levels[n]
+        tail = _tail(F.col("gram"), n)
+        known = known.select(F.col("gram").alias("tail"), F.col("p").alias("own"))
+        out = out.join(known, tail == F.col("tail"), "left").withColumn("p", F.coalesce("p", F.col("share") * F.col("own")))
+        if left is not None:
+            out = out.join(left, F.shiftright(tail, BITS) == F.col("context"), "left")
+            out = out.withColumn("share", F.col("share") * F.coalesce("left", F.lit(1.0)))
+        out = out.select("gram", "share", "p")
+    return out.select("gram", "p")
+
+
+def _judged(words: DataFrame, models: list[Model], levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Distinct words -> word, found: the rows of ``word_likelihoods`` under one model after the other."""
+    sent = words.sparkSession.sparkContext.broadcast(models)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            if batch.num_rows:
+                grams, sizes = _letters(_plain(batch.column("word").to_pylist()))
+                at = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
+                tails = pa.array(grams & ((1 << BITS * (ORDER - 1)) - 1))
+                yield pa.RecordBatch.from_arrays([batch.column("word").take(at), tails], ["word", "gram"])
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            if batch.num_rows:
+                given, names = batch.column("grams").flatten(), batch.column("word").to_pylist()
+                keys, first = np.unique(given.field("gram").to_numpy(), return_index=True)
+                held = Table(keys, given.field("p").to_numpy()[first])
+                found = np.hstack([m.holding(held).word_likelihoods(names) for m in sent.value])
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([batch.column("word"), lists], ["word", "found"])
+
+    grams = materialize(words.mapInArrow(cut, "word string, gram long").distinct(), "grams-of-words")
+    known = materialize(_backed_off(grams.select("gram").distinct(), levels), "backed-off")
+    lists = grams.join(known, "gram").groupBy("word").agg(F.collect_list(F.struct("gram", "p")).alias("grams"))
+    return lists.mapInArrow(weighed, "word string, found array<double>")
+
+
+_MORE = "array<struct<word: string, found: array<double>>>"
+
+
+def _completed(rows: DataFrame, text: str, models: list[Model], levels: list[tuple[DataFrame, DataFrame]] | None) -> DataFrame:
+    """``rows`` with ``_more``: likelihoods of the words that the models, which hold the same 4-grams, cannot judge."""
+    if levels is None:
+        return rows.withColumn("_more", F.lit(None).cast(_MORE))
+    sent = rows.sparkSession.sparkContext.broadcast(models[0])
+    at = rows.columns.index(text)
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(sent.value)
+        for batch in parts(batches):
+            words = pa.array(reader.unjudged(batch.column(at).to_pylist()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, words], [*batch.schema.names, "_words"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    # Rows are numbered as they are stored: a number made while reading might differ the next time.
+    numbered = rows.mapInArrow(asked, f"{schema}, _words array<string>").withColumn("_row", F.monotonically_increasing_id())
+    stored = materialize(numbered, "unjudged")
+    each = stored.select("_row", F.explode("_words").alias("word"))
+    judged = materialize(_judged(each.select("word").distinct(), models, levels), "judged-words")
+    more = each.join(judged, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "found")).alias("_more"))
+    return stored.drop("_words").join(more, "_row", "left").drop("_row")
+
+
+def _more_of(batch: pa.RecordBatch, models: int) -> list[list[dict | None]]:
+    """For each model and row the rows of further words, by word."""
+    lists = batch.column("_more").to_pylist()
+    return [[x and {w["word"]: w["found"][3 * m : 3 * m + 3] for w in x} for x in lists] for m in range(models)]
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic",
     rows: int = COUNT_ROWS, curve_rows: int = CURVE_ROWS, grams: int = MODEL_GRAMS,
 ) -> Scorer:
-    """Learns from labelled rows whose crc32(key as text) leaves a remainder by 5 other than 0."""
+    """Learns from labelled rows whose crc32(key as text) leaves a remainder by 5 other than 0.
+
+    ``grams`` says how much of the shared counts a task holds; the scores do not depend on it.
+    """
     context = docs.sparkSession.sparkContext
     known = _labelled(labels, key, toxic, rows, curve_rows)
     classes = {is_toxic for _, is_toxic in known.values()}
@@ -285,31 +463,41 @@ def fit(
     counted = texts.mapInArrow(lambda it: _counted(it, shared.value), "gram long, toxic long, ordinary long, every long")
     sums = counted.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("toxic", "ordinary", "every"))).where(f"every >= {MIN_DOCS}")
     sums = materialize(sums, "grams")
-    # What labelled documents hold is bounded by them and never cut; the bound is for the others, of shared counts alone.
+    # What labelled documents hold is bounded by them. The others have shared counts alone, which too many stay in Spark.
     ours = F.col("toxic") + F.col("ordinary") > 0
-    kept = sums.where(ours).unionByName(sums.where(~ours).orderBy(F.desc("every"), "gram").limit(grams)).toPandas()
+    few = sums.where(~ours).count() <= grams
+    levels = None if few else _levels(sums)
+    kept = (sums if few else sums.where(ours)).toPandas()
     counts = [kept[c].to_numpy(dtype=t) for c, t in (("gram", np.int64), ("toxic", float), ("ordinary", float), ("every", float))]
-    models = [Model(*counts, discount=d) for d in CLASS_DISCOUNTS]
+    held = None
+    if levels:
+        probable = levels[-1][0]
+        tails = sums.where(ours).select(_tail(F.col("gram"), ORDER - 1).alias("gram")).distinct()
+        often = probable.orderBy(F.desc("docs"), "gram").limit(grams)
+        near = probable.join(tails, "gram", "left_semi").unionByName(often).select("gram", "p").distinct().orderBy("gram").toPandas()
+        held = Table(near["gram"].to_numpy(dtype=np.int64), near["p"].to_numpy(dtype=float))
+    models = [Model(*counts, discount=d, held=held) for d in CLASS_DISCOUNTS]
     sent = context.broadcast(models)
 
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [shared.value.get(k, (False, 0)) for k in batch.column("key").to_pylist()]
+            mine = [i for i, (for_curve, _) in enumerate(marks) if for_curve]
+            toxic_ = pa.array([marks[i][1] for i in mine], type=pa.int64())
+            yield pa.RecordBatch.from_arrays([toxic_, batch.column("text").take(pa.array(mine, type=pa.int64()))], ["toxic", "text"])
+
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         readers = [Reader(m) for m in sent.value]
         for batch in parts(batches):
-            marks = [shared.value.get(k, (False, 0)) for k in batch.column("key").to_pylist()]
-            mine = [i for i, (for_curve, _) in enumerate(marks) if for_curve]
-            mine_texts = batch.column("text").take(pa.array(mine, type=pa.int64())).to_pylist()
-            found = np.hstack([r.features(mine_texts) for r in readers])
+            theirs = batch.column("text").to_pylist()
+            found = np.hstack([r.features(theirs, more) for r, more in zip(readers, _more_of(batch, len(readers)))])
             lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array([marks[i][1] for i in mine], type=pa.int64()), lists], ["toxic", "found"])
-
-    # Repeated rows of a labelled key may be many: only so many of them are fetched.
-    sample = texts.mapInArrow(seen, "toxic long, found array<double>").limit(4 * curve_rows).toPandas()
-    if sample.empty:
-        return Scorer(models[0], DEFAULT_CURVE)
-    found, is_toxic = np.stack(sample["found"]).reshape(len(sample), len(models), -1), sample["toxic"].to_numpy()
-    curves = [fit_curve(found[:, i], is_toxic) for i in range(len(models))]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), lists], ["toxic", "found"])
+
+    for_curve = _completed(texts.mapInArrow(marked, "toxic long, text string"), "text", models, levels)
+    curves = fit_curves(materialize(for_curve.mapInArrow(seen, "toxic long, found array<double>"), "curve-rows"), len(models))
     best = min(range(len(models)), key=lambda i: curves[i][1])
-    return Scorer(models[best], curves[best][0])
+    return Scorer(models[best], curves[best][0], levels=levels)
 
 
 def score(docs: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
@@ -318,7 +506,8 @@ def score(docs: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "tex
     Null and empty texts, and texts without letters, have no evidence: their score is the curve's at 0. Repeated
     rows stay repeated; an empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(scorer)
+    model, curve, constant = scorer.model, scorer.curve, scorer.constant
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
     rows = docs.toDF(*(f"_{i}" for i in range(len(docs.columns)))) if keep else pick(docs, key=key, text=text)
     text_at = at if keep else 1
@@ -326,16 +515,16 @@ def score(docs: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "tex
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        reader = Reader(known.model) if known.model else None
+        reader = Reader(sent.value) if sent.value else None
         for batch in parts(batches):
-            found = reader.features(batch.column(text_at).to_pylist()) if reader else np.zeros((batch.num_rows, 5))
-            values = _curve(_scaled(found) @ known.curve) if reader else np.full(batch.num_rows, known.constant)
+            found = reader.features(batch.column(text_at).to_pylist(), _more_of(batch, 1)[0]) if reader else np.zeros((batch.num_rows, 5))
+            values = _curve(_scaled(found) @ curve) if reader else np.full(batch.num_rows, constant)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(kept)], pa.array(values), pa.array(found[:, 0]), pa.array(found[:, 1])],
                 [*(f.name for f in kept), "score", "toxic_per_letter", "ordinary_per_letter"],
             )
 
+    rows = _completed(rows, rows.columns[text_at], [model], scorer.levels)
     out = rows.mapInArrow(scored, f"{schema}, score double, toxic_per_letter double, ordinary_per_letter double")
     return out.drop("toxic_per_letter", "ordinary_per_letter").toDF(*docs.columns, "score") if keep else out
 

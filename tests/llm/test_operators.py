@@ -175,6 +175,34 @@ def test_class_counts_are_not_cut(spark, make, words):
         assert len(b.keys) > 1000 and np.array_equal(a.keys, b.keys)
 
 
+def test_toxicity_does_not_depend_on_what_a_task_holds(spark, make, words):
+    docs = [(i, f"{prose(words, 30, i)} {f'zvuqkorz{words[i][:2]}' if i % 9 == 0 else ''}", "en", "a") for i in range(300)]
+    # Words that no labelled document has, in two documents, in one and more than once in a text.
+    docs += [(1_000 + i, f"{words[i][::-1]}ük{i // 2} {words[i][::-1]}ük{i // 2} {prose(words, 4, i)} qx{i}", "en", "a") for i in range(300)]
+    docs += [(2_000, None, "en", "a"), (2_001, "?!", "en", "a")]
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(300)], "doc_id long, toxic int")
+    few, whole = (toxicity.fit(make(docs), labels, grams=g) for g in (10, 10**6))
+    assert few.levels and not whole.levels and few.model.held is not None
+    a, b = ({r.key: tuple(r)[1:] for r in toxicity.score(make(docs), s).collect()} for s in (few, whole))
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-6) for k in a)
+    kept = toxicity.score(make(docs, clash=False), few, keep=True)
+    assert {r.doc_id: r.score for r in kept.collect()} == {k: pytest.approx(v[0], rel=1e-6) for k, v in b.items()}
+
+
+def test_the_curve_sees_every_row(spark):
+    rng = np.random.default_rng(3)
+    toxic = np.arange(400) % 4 == 0
+    found = rng.normal(size=(400, 10)) / 5 + toxic[:, None]
+    rows = spark.createDataFrame([(int(t), f.tolist()) for t, f in zip(toxic, found)], "toxic long, found array<double>").repartition(5)
+    for m, (beta, loss) in enumerate(toxicity.fit_curves(rows, 2)):
+        x, y = toxicity._scaled(found[:, 5 * m : 5 * m + 5]), toxic.astype(float)
+        weight = np.where(y == 1, np.sqrt(3), 1.0)
+        p = toxicity._curve(x @ beta)
+        slope = x.T @ (weight * (y - p)) - np.diag([1e-6, 1, 1, 1]) @ beta
+        assert np.abs(slope).max() < 1e-6
+        assert loss == pytest.approx(-(weight * np.log(np.where(y == 1, p, 1 - p))).sum() / weight.sum())
+
+
 def test_toxicity_without_labels(spark, make, odd):
     none = spark.createDataFrame([], "doc_id BIGINT, toxic INT")
     assert {r.score for r in toxicity.score(make(odd), toxicity.fit(make(odd), none)).collect()} == {0.0}
