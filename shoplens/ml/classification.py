@@ -16,7 +16,7 @@ from pyspark.storagelevel import StorageLevel
 
 from shoplens.ml.attempts import attempt_all
 from shoplens.ml.ranking import exact_auc
-from shoplens.operators.features import CLASSES, fold_of, sample_to_budget, train_test_split, with_class_weight
+from shoplens.operators.features import CLASSES, fold_of, sample_to_budget, split_part, with_class_weight
 from shoplens.scratch import materialize
 
 NUMERIC = ("total_amount", "shipment_fee", "promo_amount", "has_promo")
@@ -57,13 +57,16 @@ def prepare(
     """Label, class weight and a repeatable split, from a stored copy of the features.
 
     The positive class is named, not left to which label is rarer. The joins behind the
-    features run once; the class counts then read one column of the stored copy. All rows are
-    used unless a ``budget`` of rows is given.
+    features run once; the class counts then read one column of the stored copy. The side of a
+    row is stored too: each pass of the feature steps reads it, none hashes the keys again. All rows
+    are used unless a ``budget`` of rows is given.
     """
     label = F.when(F.col("payment_status") == positive, 1.0).otherwise(0.0)
-    stored = materialize(features.withColumn("label", label), "classification-features")
+    labelled = features.withColumn("label", label)
+    stored = materialize(labelled.withColumn("_part", split_part(labelled, key, frac)), "classification-features")
     used = sample_to_budget(stored, key, budget) if budget else stored
-    return train_test_split(with_class_weight(used, "payment_status", classes), key, frac)
+    weighted = with_class_weight(used, "payment_status", classes)
+    return tuple(weighted.where(F.col("_part") == part).drop("_part") for part in ("train", "test"))
 
 
 def feature_steps() -> Pipeline:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shoplens.ml import classification as c
 from shoplens.ml import segmentation as s
+from shoplens.operators import features as f
 from shoplens.registry import queries
 from shoplens.registry.models import _classifiers, _state, _sweep
 from shoplens.sources.writers import write_table
@@ -137,3 +138,14 @@ def test_sweep_without_a_score_uses_the_default(spark, folder):
     sweep = s.kmeans_sweep(features, cols=["x", "y"], ks=(1,))
     assert sweep.best_k == s.DEFAULT_K
     assert sweep.scores.collect()[0].error and sweep.assigned.count() == 6
+
+
+def test_the_split_is_stored_with_the_features(spark, testdata):
+    rows = spark.range(500).selectExpr(
+        "id AS booking_id", "IF(id % 3 = 0, 'Failed', 'Success') AS payment_status", "id * 1.0D AS total_amount"
+    )
+    train, test = c.prepare(rows, "booking_id")
+    for found, expected in zip((train, test), f.train_test_split(rows, "booking_id")):
+        assert "md5" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {r.booking_id for r in found.collect()} == {r.booking_id for r in expected.collect()}
+        assert found.columns == [*rows.columns, "label", "class_weight"]
