@@ -61,7 +61,8 @@ def kmeans_sweep(
     silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette")
 
     def fit(k: int) -> KMeansModel:
-        return KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=42, maxIter=20).fit(vectors)
+        # In blocks: the same steps, but rows are unpacked once a fit and distances are products of matrices.
+        return KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=42, maxIter=20, solver="block").fit(vectors)
 
     def fit_and_score(k: int) -> tuple[KMeansModel, float]:
         model = fit(k)

@@ -149,3 +149,11 @@ def test_the_split_is_stored_with_the_features(spark, testdata):
         assert "md5" not in found._jdf.queryExecution().executedPlan().toString()
         assert {r.booking_id for r in found.collect()} == {r.booking_id for r in expected.collect()}
         assert found.columns == [*rows.columns, "label", "class_weight"]
+
+
+def test_k_means_is_fitted_in_blocks(spark):
+    rows = spark.range(300).selectExpr("id", "(id % 3) * 50.0D + id / 300 AS x", "(id % 3) * 20.0D AS y")
+    sweep = s.kmeans_sweep(rows, cols=("x", "y"), ks=(3,))
+    assert sweep.model.stages[-1].getSolver() == "block"
+    assert sweep.assigned.groupBy((sweep.assigned.id % 3).alias("k")).agg({"cluster": "min"}).count() == 3
+    assert sweep.assigned.select((sweep.assigned.id % 3).alias("k"), "cluster").distinct().count() == 3
