@@ -256,6 +256,28 @@ def test_frequent_passages_are_linked_past_documents_with_a_part(spark, make, wo
     assert {r.b for r in found if r.a == 100} == set(range(101, 120))
 
 
+def test_edited_copies_whose_seeds_are_all_frequent_are_linked(spark, make, words):
+    text = prose(words, 56, "p").split()
+    docs = []
+    for i, at in enumerate(((2, 27, 52), (5, 30, 49), (2, 30, 52), (5, 27, 49))):
+        edited = " ".join(f"changed{i}" if j in at else w for j, w in enumerate(text))
+        docs.append((500 + i, f"{prose(words, 70, f'a{i}')} {edited} {prose(words, 70, f'b{i}')}", "en", "a"))
+    # Parts of the passage, too short to be one, make its seeds frequent; they are in the first and the last documents.
+    for i, at in enumerate((0, 14, 28) * 20):
+        docs.append((i if i % 2 else 900 + i, f"{prose(words, 60, f'c{i}')} {' '.join(text[at : at + 28])} {prose(words, 60, f'd{i}')}", "en", "a"))
+    pairs = {(r.a, r.b) for r in passages.passages(make(docs)).collect()}
+    assert {d for p in pairs for d in p} == set(range(500, 504))
+    linked = {500}
+    for _ in range(4):
+        linked |= {d for p in pairs if linked & set(p) for d in p}
+    assert linked == set(range(500, 504))
+
+
+def test_blocks_of_a_frequent_seed_lose_no_link(spark, make, words, monkeypatch):
+    monkeypatch.setattr(passages, "BLOCK", 3)
+    test_edited_copies_whose_seeds_are_all_frequent_are_linked(spark, make, words)
+
+
 def test_every_occurrence_of_a_passage_has_its_span(spark, make, words):
     def times(n, gap, name):
         return " ".join(f"{prose(words, gap, f'{name}{i}')} {prose(words, 60, 'p')}" for i in range(n))
