@@ -11,8 +11,8 @@ are candidates. First all sets of a bucket are held against one, that which meet
 buckets. It lies amid them, so a group of near copies is mostly one component then, whatever its size. After that only
 buckets whose sets are in several components are looked at again. Where few sets lie beside the largest
 component, they are held against the whole bucket, and pairs whose register bits allow it are candidates. Any
-other bucket is compared block by block: bounded groups of sets meet in one task, which gives out nothing but similar
-pairs, each in one bucket. That takes time with the square of such a bucket, which holds sets close below the
+other bucket is compared block by block, together with those it shares sets with: bounded groups of sets meet in one task,
+which gives out nothing but similar pairs. That takes time with the square of such a cluster, which holds sets close below the
 asked similarity; nothing is left out. Candidates whose registers, together with the sizes of the sets, make the asked
 similarity too unlikely are dropped, and the others are confirmed on the full sets.
 
@@ -44,7 +44,7 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 #: Sets beside a bucket's largest component that are held against the whole bucket by a join.
 FEW = 16
-#: Sets of a block of a larger bucket.
+#: Sets of a block of a cluster of larger buckets.
 BLOCK = 256
 #: Register bits by which two sets at the asked similarity may differ: 25 of 252 are expected, 58 is seven deviations more.
 BITS_APART = 58
@@ -262,21 +262,28 @@ def _pairs_within(few: DataFrame, members: DataFrame, on: list[str]) -> DataFram
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Members of large buckets, dealt to pairs of blocks (x, y) of some ``BLOCK`` sets, so that each two meet in one pair; own is their block."""
-    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.withColumns({"blocks": n_blocks, "own": F.pmod(F.xxhash64("bucket", "row"), n_blocks).cast("int")})
+    """Members of large buckets (bucket, row, part, n) -> row, part, n, own, cluster, x, y: each set, once for every pair of blocks (x, y) that its own is in.
+
+    Buckets that share sets are one cluster, dealt to blocks of some ``BLOCK`` sets, so that a set which is in many of them
+    is sent no more often than if it were in one. Each two sets of a cluster meet in one pair of blocks.
+    """
+    least = members.groupBy("bucket").agg(F.min("row").alias("a"))
+    linked = stars(members.join(least, "bucket").select("a", F.col("row").alias("b")))
+    sets = members.select("row", "part", "n").distinct().join(linked, F.col("row") == F.col("node"), "left")
+    sets = materialize(sets.select("row", "part", "n", F.coalesce("root", "row").alias("cluster")), "crowded-sets")
+    sizes = sets.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = sets.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("cluster", "row"), "blocks").cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least("own", i).alias("x"), F.greatest("own", i).alias("y")))
-    return dealt.withColumn("at", F.explode(others)).select("*", "at.x", "at.y")
+    return dealt.select("row", "part", "n", "own", "cluster", F.inline(others))
 
 
 def _similar_in_blocks(table: pa.Table) -> pa.Table:
-    """One pair of blocks (row, part, n, registers, hashes, own, x, y, bucket) -> a, b: its similar pairs of different parts, each in the first band they share."""
+    """One pair of blocks (row, part, n, registers, hashes, own, x, y) -> a, b: its similar pairs of different parts that share a band."""
     out = []
     own, x, y = (table.column(c).to_numpy() for c in ("own", "x", "y"))
     row, part, n = (table.column(c).to_numpy() for c in ("row", "part", "n"))
     values, hashes = _rows_of(table.column("registers")), table.column("hashes")
     bands = _buckets_of(values)
-    here = bands == table.column("bucket").to_numpy()[:, None]
     left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
     same_block = len(left) and x[0] == y[0]
     sets = {}
@@ -290,8 +297,8 @@ def _similar_in_blocks(table: pa.Table) -> pa.Table:
     for i in left:
         js = right[right > i] if same_block else right
         js = js[(part[js] != part[i]) & (100 * np.minimum(n[js], n[i]) >= SIMILAR * np.maximum(n[js], n[i]))]
+        js = js[(bands[js] == bands[i]).any(axis=1)]
         if len(js):
-            js = js[here[i, (bands[js] == bands[i]).argmax(axis=1)]]
             met.append(np.stack([np.full(len(js), i), js]))
     pairs = np.concatenate(met, axis=1) if met else np.zeros((2, 0), dtype=np.intp)
     for start in range(0, pairs.shape[1], 8_192):
@@ -339,10 +346,10 @@ def links(given: DataFrame, marked: DataFrame, sets: DataFrame) -> DataFrame:
     bounded, crowded = signed.where(few), signed.where(~few)
     pairs = _pairs_within(bounded.where("part <> most"), bounded, ["bucket"]).distinct()
     found = found.unionByName(confirmed(pairs, spoken, full))
-    dealt = _blocks(crowded.select("bucket", "row", "part", "n", "size"))
+    dealt = _blocks(crowded.select("bucket", "row", "part", "n"))
     whole = dealt.join(spoken.select("row", "registers"), "row").join(full, "row")
-    whole = whole.select("bucket", "x", "y", "own", "row", "part", "n", "registers", "hashes")
-    return found.unionByName(materialize(whole.groupBy("bucket", "x", "y").applyInArrow(_similar_in_blocks, "a long, b long"), "crowded-pairs"))
+    whole = whole.select("cluster", "x", "y", "own", "row", "part", "n", "registers", "hashes")
+    return found.unionByName(materialize(whole.groupBy("cluster", "x", "y").applyInArrow(_similar_in_blocks, "a long, b long"), "crowded-pairs"))
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

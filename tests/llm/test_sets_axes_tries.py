@@ -82,6 +82,20 @@ def test_crowded_buckets_lose_no_link(make, texts, monkeypatch):
     assert found_components(make([(k, t, "en", "a") for k, t in texts], clash=False)) == brute_components(texts)
 
 
+def test_sets_of_many_crowded_buckets_are_sent_once_per_block(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "BLOCK", 5)
+    members = [(bucket, row, row, 9, 20) for bucket in range(40) for row in range(20)]
+    members += [(99, row, row, 9, 7) for row in range(50, 57)]
+    dealt = setsketch._blocks(spark.createDataFrame(members, "bucket long, row long, part long, n long, size long")).collect()
+    assert len(dealt) == 20 * 4 + 7 * 2
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r.cluster, r.x, r.y), []).append((r.own, r.row))
+    met = [(a, b) for (_, x, y), rows in groups.items() for o, a in rows for p, b in rows if o == x and p == y and (x != y or a < b)]
+    pairs = [{a, b} for a, b in met]
+    assert len(pairs) == 20 * 19 // 2 + 7 * 6 // 2 and len(set(map(frozenset, pairs))) == len(pairs)
+
+
 def test_no_documents_no_components(make):
     assert found_components(make([])) == []
 
