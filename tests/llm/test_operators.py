@@ -278,6 +278,24 @@ def test_blocks_of_a_frequent_seed_lose_no_link(spark, make, words, monkeypatch)
     test_edited_copies_whose_seeds_are_all_frequent_are_linked(spark, make, words)
 
 
+def test_lines_too_short_for_a_passage_are_not_aligned(words, monkeypatch):
+    """Places of two seeds with a common line of 40 words, and two of either whose line goes on, edited, to 70 words."""
+    lines = [prose(words, 70, f"p{seed}").split() for seed in range(2)]
+    rows = []
+    for seed, line in enumerate(lines):
+        for i in range(60):
+            inner = line[:40] + [w if j % 9 else f"changed{seed}" for j, w in enumerate(line[40:])] * (i < 2)
+            text = " ".join([prose(words, 60, f"a{seed}-{i}"), *inner, prose(words, 60, f"b{seed}-{i}")])
+            said = (passages.word_hashes(text) >> np.uint64(32)).astype(np.uint32).view(np.int32)[: 60 + 15 + 5 + 80]
+            rows.append({"seed": seed, "key": 100 * seed + i, "at": 75, "begin": 0, "words": said, "part": None, "own": 0, "x": 0, "y": 0})
+    kinds = [(c, pa.int64() if c in ("seed", "key", "part") else pa.list_(pa.int32()) if c == "words" else pa.int32()) for c in rows[0]]
+    jobs, aligned = [], passages.stretches
+    monkeypatch.setattr(passages, "stretches", lambda some: jobs.append(len(some)) or aligned(some))
+    found = passages._compared(pa.Table.from_pylist(rows, schema=pa.schema(kinds)))
+    assert set(zip(found["a"].to_pylist(), found["b"].to_pylist())) == {(0, 1), (100, 101)}
+    assert sum(jobs) < 600 and len(jobs) < 40
+
+
 def test_every_occurrence_of_a_passage_has_its_span(spark, make, words):
     def times(n, gap, name):
         return " ".join(f"{prose(words, gap, f'{name}{i}')} {prose(words, 60, 'p')}" for i in range(n))
