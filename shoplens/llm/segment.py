@@ -37,7 +37,7 @@ from shoplens.llm.tables import parts, pick
 
 SAMPLES = 2
 #: Rows and letters of the texts that are segmented together; a text alone may have more.
-ROWS, CHUNK = 64, 125_000
+ROWS, CHUNK = 64, 50_000
 #: Nodes whose sets are valued at a time, and how far above its log-mass a Gumbel value can be: the largest
 #: number of ``_uniform`` is 1 - 2^-54.
 BLOCK, HIGHEST = 512, 37.5

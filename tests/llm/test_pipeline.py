@@ -19,6 +19,20 @@ def stages(spark, testdata):
     return out
 
 
+def test_stages_hold_few_texts_at_once(spark, testdata):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.read.parquet(f"{testdata}/sf0.01/documents.parquet")
+    try:
+        for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.mask_personal_data, corpus_pipeline.encode):
+            for before, after in (("10000", 256), ("0", 256), ("100", 100)):
+                spark.conf.set(name, before)
+                stage(spark, docs.limit(3), f"{testdata}/sf0.01")
+                assert int(spark.conf.get(name)) == after
+    finally:
+        spark.conf.unset(name)
+    assert max(s.stop - s.start for s in segment._chunks(["x" * 20_000] * 10)) <= 2
+
+
 def test_all_but_the_last_return_documents(stages):
     assert all(s.schema == stages[0].schema for s in stages[:-1])
 
