@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, components, fertility, golay, licenses, mixing, passages, pii, segment, simhash, topk, toxicity
+from shoplens.llm import chat, components, fertility, golay, licenses, mixing, passages, pii, segment, simhash, tables, topk, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -296,6 +296,50 @@ def test_lines_too_short_for_a_passage_are_not_aligned(words, monkeypatch):
     assert sum(jobs) < 600 and len(jobs) < 40
 
 
+def test_words_are_stored_only_around_places_that_may_be_connected(spark, make, words, monkeypatch):
+    """A line of 25 words that 60 documents have, two of which go on, edited, to 70 words; the words of no others are stored."""
+    line = prose(words, 70, "p").split()
+    docs = []
+    for i in range(60):
+        inner = line[:25] + [w if j % 9 else "changed" for j, w in enumerate(line[25:])] * (i in (20, 30))
+        docs.append((i, " ".join([prose(words, 60, f"a{i}"), *inner, prose(words, 60, f"b{i}")]), "en", "a"))
+    stored, materialize = {}, passages.materialize
+
+    def kept(df, label):
+        out = materialize(df, label)
+        if "words" in out.columns and dict(out.dtypes)["words"] == "array<int>":
+            stored[label] = {r.key for r in out.select("key").collect()}
+        return out
+
+    monkeypatch.setattr(passages, "materialize", kept)
+    assert {(r.a, r.b) for r in passages.passages(make(docs)).collect()} == {(20, 30)}
+    assert set(stored) == {"around-places"} and {20, 30} <= stored["around-places"] and len(stored["around-places"]) <= 6
+
+
+def test_a_byte_of_each_word_loses_no_place_that_words_connect(words):
+    """Edited copies of one text around a seed's places, amid others: all that ``_compared`` connects are kept, block by block."""
+    text, rows = prose(words, 120, "p").split(), []
+    for i in range(90):
+        inner = [w if 58 <= j < 63 or (j * 7 + i) % 13 > i % 5 else f"changed{i}" for j, w in enumerate(text)] if i % 3 else prose(words, 120, i).split()
+        said = (passages.word_hashes(" ".join(inner)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        rows.append({"seed": 1, "key": i, "at": 58, "begin": 0, "words": said, "part": i % 2 if i % 7 == 0 else None, "own": i % 2, "x": 0, "y": 1})
+    kinds = [(c, pa.int64() if c in ("seed", "key", "part") else pa.list_(pa.int32()) if c == "words" else pa.int32()) for c in rows[0]]
+    found = passages._compared(pa.Table.from_pylist(rows, schema=pa.schema(kinds)))
+    short = [
+        {"seed": 1, "said": r["key"], "place": 58, "words": (r["words"].view(np.uint32) >> 24).astype(np.uint8).tobytes(), "settled": r["part"] is not None}
+        | {"least": r["key"], "most": r["key"], "own": r["own"], "x": 0, "y": 1}
+        for r in rows
+    ]
+    kept = set(passages._hopeful(pa.Table.from_pylist(short))["said"].to_pylist())
+    assert len(found) > 20 and set(found["a"].to_pylist() + found["b"].to_pylist()) <= kept
+    assert not kept & set(range(0, 90, 3))
+
+
+def test_texts_taken_for_copies_by_the_bitmap_are_compared(spark, make, words, monkeypatch):
+    monkeypatch.setattr(tables, "FILTER_BITS", 64)
+    test_planted_passages_are_found_and_clean_documents_left(spark, make, words)
+
+
 def test_every_occurrence_of_a_passage_has_its_span(spark, make, words):
     def times(n, gap, name):
         return " ".join(f"{prose(words, gap, f'{name}{i}')} {prose(words, 60, 'p')}" for i in range(n))
